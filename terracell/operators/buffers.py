@@ -41,6 +41,11 @@ def _sums(columns: list[str]) -> list[Column]:
     return [F.sum(c).alias(c) for c in columns]
 
 
+def _spread(units: DataFrame, unit: str) -> DataFrame:
+    """Unit coordinates in even partitions: a small table in one file would be blown up in one task."""
+    return units.select(unit, "x", "y").repartition(unit)
+
+
 def _middles(segs: DataFrame) -> DataFrame:
     return segs.select(((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"))
 
@@ -96,7 +101,7 @@ def buffer_points(
     spots = points.select("x", "y", *by, *[m.alias(n) for n, m in measures.items()]).groupBy("x", "y", *by).agg(
         *_sums(names)
     )
-    centers = units.select(unit, "x", "y")
+    centers = _spread(units, unit)
     stats = measure_density(radius, points=spots, units=centers)
     cover = _Cover(centers, radius, stats["points"], stats["units"], shape, steps=steps)
     placed = with_cell(spots.withColumnsRenamed({"x": "px", "y": "py"}), cover.size, "px", "py")
@@ -119,7 +124,7 @@ def buffer_lines(
 ) -> DataFrame:
     """Sums of weight x length of the line parts inside each unit's zone."""
     names = list(weights)
-    centers = units.select(unit, "x", "y")
+    centers = _spread(units, unit)
     lines = segs.select("x1", "y1", "x2", "y2", *[w.alias(n) for n, w in weights.items()])
     stats = measure_density(radius, lines=_middles(lines), units=centers)
     cover = _Cover(centers, radius, stats["lines"], stats["units"], shape, steps=steps)
@@ -172,7 +177,7 @@ def buffer_areas(
     sums over (unit, edge) pairs, so polygons are never assembled; polygons of one ``by`` group
     that overlap each other count each on its own.
     """
-    centers = units.select(unit, "x", "y")
+    centers = _spread(units, unit)
     ring = edges.select(*by, "x1", "y1", "x2", "y2")
     stats = measure_density(radius, lines=_middles(ring), units=centers)
     cover = _Cover(centers, radius, stats["lines"], stats["units"], "poly32", steps=steps)
@@ -227,7 +232,7 @@ def buffer_holds(
     is looked at corner by corner.
     """
     names = list(measures)
-    centers = units.select(unit, "x", "y")
+    centers = _spread(units, unit)
     first, second = (F.struct(F.col(a).alias("x"), F.col(b).alias("y")) for a, b in (("x1", "y1"), ("x2", "y2")))
     boxes = (
         segs.groupBy(feature)
@@ -303,7 +308,7 @@ def buffer_pairs(
     """
     stats = measure_density(radius, points=points.select("x", "y"), units=units.select("x", "y"))
     size = radius / 16 if hole else radius / 2
-    touched = ring_cells(units, size, radius, hole, shrink_of(shape))
+    touched = ring_cells(units.repartition(unit), size, radius, hole, shrink_of(shape))
     placed = with_cell(points.withColumnsRenamed({"x": "px", "y": "py"}), size, "px", "py")
     dx, dy = F.col("px") - F.col("x"), F.col("py") - F.col("y")
     keep = in_zone(dx, dy, radius, shape)
@@ -319,7 +324,7 @@ def buffer_overlaps(units: DataFrame, radius: float, unit: str = "tot_reg_cd") -
     Equal 32-gons map onto each other through the midpoint of their centres, so both halves of
     the boundary sum are equal and only one side's edges are clipped.
     """
-    centers = units.select(unit, "x", "y")
+    centers = _spread(units, unit)
     stats = measure_density(2 * radius, units=centers)
     other = centers.select(F.col(unit).alias("other"), F.col("x").alias("px"), F.col("y").alias("py"))
     touched = ring_cells(centers, radius, 2 * radius)

@@ -107,7 +107,7 @@ def nearest(
     Units are absent when the layer is empty.
     """
     carry = carry or []
-    centers = units.select(unit, "x", "y")
+    centers = units.select(unit, "x", "y").repartition(unit)
     edges = as_edges(layer).select(*EDGE, *carry)
     grid = _finest(edges)
     if grid is None:

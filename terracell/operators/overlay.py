@@ -23,10 +23,10 @@ EDGE = ("x1", "y1", "x2", "y2")
 
 
 class Tiles:
-    """Tile rows (key columns, cx, cy, x1, y1, x2, y2), their grid size and fullest cell."""
+    """Tile rows (key columns, cx, cy, x1, y1, x2, y2, w), their grid size, and the edges' places."""
 
-    def __init__(self, rows: DataFrame, key: list[str], size: float):
-        self.rows, self.key, self.size = rows, key, size
+    def __init__(self, rows: DataFrame, key: list[str], size: float, outline: DataFrame):
+        self.rows, self.key, self.size, self.outline = rows, key, size, outline
 
 
 def tile_size(edges: DataFrame, key: list[str]) -> float:
@@ -84,22 +84,20 @@ def tile_polygons(edges: DataFrame, key: list[str], size: float | None = None) -
         F.least("top", bottom + F.lit(float(size))).alias("y2"),
         F.col("w").cast("int").alias("w"),
     ).filter(F.col("y2") > F.col("y1"))
-    return Tiles(pieces.unionByName(sides), list(key), size)
+    outline = shape.select(F.col("x1").alias("x"), F.col("y1").alias("y"))
+    return Tiles(pieces.unionByName(sides), list(key), size, outline)
 
 
-def _peaks(tiles: Tiles, places: DataFrame, x: Column, y: Column) -> tuple[int, int]:
-    mid = tiles.rows.select(
-        (line_x(F.col("cx"), tiles.size) + F.lit(tiles.size / 2)).alias("x"),
-        (line_y(F.col("cy"), tiles.size) + F.lit(tiles.size / 2)).alias("y"),
-    )
-    stats = measure_density(tiles.size, tiles=mid, places=places.select(x.alias("x"), y.alias("y")))
-    return stats["places"].peak, stats["tiles"].peak
+def _peaks(tiles: Tiles, x: Column, y: Column, places: DataFrame) -> tuple[int, int]:
+    """Rows of the fullest cell of the places and of the boundary they meet."""
+    stats = measure_density(tiles.size, edges=tiles.outline, places=places.select(x.alias("x"), y.alias("y")))
+    return stats["places"].peak, stats["edges"].peak
 
 
 def _crossings(points: DataFrame, tiles: Tiles) -> DataFrame:
     """(point, polygon) rows with the signed crossing count of one tile row in ``_s``."""
     placed = with_cell(points, tiles.size, "x", "y")
-    point_peak, tile_peak = _peaks(tiles, points, F.col("x"), F.col("y"))
+    point_peak, tile_peak = _peaks(tiles, F.col("x"), F.col("y"), points)
     sign = crossing_sign(*[F.col(c) for c in ("x", "y", *EDGE)]) * F.col("w")
     return (
         cell_join(placed, tiles.rows, left_peak=point_peak, right_peak=tile_peak)
@@ -139,9 +137,7 @@ def clip_by_polygons(segs: DataFrame, tiles: Tiles) -> DataFrame:
     wanted: length per zone, cross products per pair, and so on.
     """
     pieces = split_at_grid(segs, tiles.size, ("ax", "ay", "bx", "by"))
-    seg_peak, tile_peak = _peaks(
-        tiles, segs, (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2
-    )
+    seg_peak, tile_peak = _peaks(tiles, (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2, segs)
     pairs = cell_join(pieces, tiles.rows, left_peak=seg_peak, right_peak=tile_peak)
     return with_inside_share(pairs, "share").withColumn("share", F.col("share") * F.col("w")).drop(*CELL, *EDGE, "w")
 
