@@ -36,8 +36,8 @@ _dec = ", ".join(f"cast({p} AS decimal(16,8)) AS {p}" for p in LABELS)
 
 
 def _corners_inside(layer: str) -> str:
-    """Features whose corners all lie on the inner side of every edge of a (convex) border."""
-    side = "(b.x2-b.x1)*({y}-b.y1)-(b.y2-b.y1)*({x}-b.x1) > 0"
+    """Features whose corners all lie on or within every edge of a (convex) border."""
+    side = "(b.x2-b.x1)*({y}-b.y1)-(b.y2-b.y1)*({x}-b.x1) >= 0"
     both = " AND ".join(side.format(x=f"f.x{i}", y=f"f.y{i}") for i in (1, 2))
     return f"""SELECT sigungu_cd, {_dec} FROM (SELECT b.sigungu_cd, f.fid FROM {layer} f CROSS JOIN border_edge b
    WHERE f.year = {YEAR} GROUP BY b.sigungu_cd, f.fid HAVING bool_and({both})) h
@@ -118,7 +118,7 @@ variable_query("border_road", _length("road_seg", 2005, "road_length"), digits=3
 
 def stats_sql(value: str, prefix: str) -> str:
     return (
-        f"count({value}) AS {prefix}_count, round(sum({value}),4) AS {prefix}_sum, round(avg({value}),4) AS {prefix}_mean, "
+        f"count({value}) AS {prefix}_count, round(sum({value}),4) AS {prefix}_sum, round(avg({value}),10) AS {prefix}_mean, "
         f"round(stddev_pop({value}),4) AS {prefix}_std, round(min({value}),4) AS {prefix}_min, round(max({value}),4) AS {prefix}_max"
     )
 
@@ -131,14 +131,14 @@ variable_query(
     "border_ndvi",
     f"""WITH {border_points(cells(f"year = {YEAR} AND statistic = 'mean'", 'ndvi_cell'), 'val')}
 SELECT sigungu_cd, {stats_sql('val', 'ndvi')} FROM inside GROUP BY sigungu_cd""",
-    year=YEAR,
+    own={"ndvi_mean": 10}, year=YEAR,
 )
 variable_query(
     "border_topographic_model",
     f"""WITH {border_points(cells('true', 'raster_cell', 'layer, val'), 'layer, val')}
 SELECT sigungu_cd, {', '.join(stats_sql(f"(CASE WHEN layer = '{v}' THEN val END)", v) for v in ('dem', 'dsm'))}
 FROM inside GROUP BY sigungu_cd""",
-    year=YEAR,
+    own={"dem_mean": 10, "dsm_mean": 10}, year=YEAR,
 )
 _added = """SELECT pollutant_type, col, row, CASE WHEN count(val) = 3 THEN sum(val) END AS val
   FROM emission_cell WHERE year = 2019 GROUP BY pollutant_type, col, row HAVING count(*) = 3"""

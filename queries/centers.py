@@ -24,8 +24,9 @@ for _v, _layer, _out in (("dem_value", "dem", "Altitude_k"), ("dsm_value", "dsm"
 
 
 def _count(layer: str, where: str, out: str, r: float = R) -> str:
-    return f"""SELECT c.tot_reg_cd, count(t.id) AS "{out}" FROM centers c LEFT JOIN (SELECT * FROM {layer} WHERE {where}) t
-ON {near('c', 't', r)} AND {in_gon('t.x-c.x', 't.y-c.y', r)} GROUP BY c.tot_reg_cd"""
+    return f"""WITH hits AS (SELECT c.tot_reg_cd, count(*) AS n FROM centers c JOIN (SELECT * FROM {layer} WHERE {where}) t
+ON {near('c', 't', r)} AND {in_gon('t.x-c.x', 't.y-c.y', r)} GROUP BY c.tot_reg_cd)
+SELECT c.tot_reg_cd, coalesce(h.n,0) AS "{out}" FROM centers c LEFT JOIN hits h ON h.tot_reg_cd = c.tot_reg_cd"""
 
 
 def _alive(year: int) -> str:
@@ -205,9 +206,9 @@ variable_query(
   WHERE t.year = 2010 AND t.statistic = 'median' AND t.val IS NOT NULL),
 tile AS (SELECT c.tot_reg_cd, tc, tr, avg(t.val) AS m FROM centers c JOIN cell t ON {near('c', 't', 1000)}
   AND {in_gon('t.x-c.x', 't.y-c.y', 1000)} GROUP BY c.tot_reg_cd, tc, tr)
-SELECT c.tot_reg_cd, round(coalesce(avg(m),0),5) AS "ndvi_y1_mm_median_1000" FROM centers c LEFT JOIN tile t ON t.tot_reg_cd = c.tot_reg_cd
+SELECT c.tot_reg_cd, round(coalesce(avg(m),0),12) AS "ndvi_y1_mm_median_1000" FROM centers c LEFT JOIN tile t ON t.tot_reg_cd = c.tot_reg_cd
 GROUP BY c.tot_reg_cd""",
-    digits=5, year=2010, radius=1000,
+    digits=12, year=2010, radius=1000,
 )
 
 for _layer in ("dem", "dsm"):
@@ -266,9 +267,9 @@ def custom_points(spark: SparkSession) -> DataFrame:
 
 def _custom(layer: str, where: str, out: str, r: int) -> str:
     return f"""WITH {_projected()}
-SELECT m.point_id, round(m.lon,7) AS x, round(m.lat,7) AS y, count(t.id) AS "{out}" FROM metric m
-LEFT JOIN (SELECT * FROM {layer} WHERE {where}) t ON {near('m', 't', r)} AND {in_disc('t.x-m.x', 't.y-m.y', r)}
-GROUP BY m.point_id, m.lon, m.lat"""
+SELECT m.point_id, round(m.lon,7) AS x, round(m.lat,7) AS y, coalesce(h.n,0) AS "{out}" FROM metric m LEFT JOIN (
+  SELECT m.point_id, count(*) AS n FROM metric m JOIN (SELECT * FROM {layer} WHERE {where}) t
+  ON {near('m', 't', r)} AND {in_disc('t.x-m.x', 't.y-m.y', r)} GROUP BY m.point_id) h ON h.point_id = m.point_id"""
 
 
 @query("custom_bus_stop_count", _custom("bus_stop", "year = 2023", "C_Bus_0500", 500))

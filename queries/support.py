@@ -76,10 +76,12 @@ def rounded(df: DataFrame, digits: int = 4, **own: int) -> DataFrame:
     return df.select(*columns)
 
 
-def variable_query(name: str, sql: str, key: str | None = None, digits: int = 4, **args) -> None:
+def variable_query(
+    name: str, sql: str, key: str | None = None, digits: int = 4, own: dict[str, int] | None = None, **args
+) -> None:
     @query(key or name, sql)
     def run(spark: SparkSession, lay: Layers) -> DataFrame:
-        return rounded(compute(lay, name, **args), digits)
+        return rounded(compute(lay, name, **args), digits, **(own or {}))
 
 
 # SQL building blocks
@@ -167,8 +169,15 @@ def poly_clip(name: str, segs: str, seg_key: str, polys: str, poly_key: str) ->
 
 
 def in_border(px: str, py: str, alias: str = "b") -> str:
-    """Join condition: border edge ``alias`` crossed by the ray going east from the point."""
-    return f"({alias}.y1 > {py}) <> ({alias}.y2 > {py}) AND {px} < ({alias}.x2-{alias}.x1)*({py}-{alias}.y1)/nullif({alias}.y2-{alias}.y1,0)+{alias}.x1"
+    """Join condition: border edge ``alias`` crossed by the ray going east from the point.
+
+    Edges are taken lower end first, so both borders at a common edge compute the same number.
+    """
+    a = alias
+    low_x, high_x = f"(CASE WHEN {a}.y1 < {a}.y2 THEN {a}.x1 ELSE {a}.x2 END)", f"(CASE WHEN {a}.y1 < {a}.y2 THEN {a}.x2 ELSE {a}.x1 END)"
+    low_y, high_y = f"least({a}.y1,{a}.y2)", f"greatest({a}.y1,{a}.y2)"
+    return (f"({a}.y1 > {py}) <> ({a}.y2 > {py}) AND "
+            f"{px} < {low_x}+({py}-{low_y})*({high_x}-{low_x})/nullif({high_y}-{low_y},0)")
 
 
 def border_points(points: str, keep: str) -> str:

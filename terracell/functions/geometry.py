@@ -120,18 +120,21 @@ def point_segment_distance2(px: Column, py: Column, x1: Column, y1: Column, x2:
     return ex * ex + ey * ey
 
 
-def crossing_sign(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """+1/-1 when the ray from the point to the east meets the edge, else 0.
+def crossing_sign(px: Column, py: Column) -> Column:
+    """Tile row's sign ``s`` when the ray from the point to the east meets it, else 0.
 
     Rings run with their interior on the left, so the signs of all edges of a polygon add up
-    to 1 inside and 0 outside: a plain sum, which Spark can combine on the map side.
+    to 1 inside and 0 outside: a plain sum, which Spark can combine on the map side.  Edges are
+    stored lower end first and tested by their own ends, so that both polygons at a common edge
+    reach the same verdict and a point on it belongs to exactly one.
     """
-    hit = ((y1 > py) != (y2 > py)) & (px < F.try_divide((x2 - x1) * (py - y1), y2 - y1) + x1)
-    return F.when(hit, F.when(y2 > y1, F.lit(1)).otherwise(F.lit(-1))).otherwise(F.lit(0))
+    c = F.col
+    east = c("x1") + (py - c("y1")) * (c("x2") - c("x1")) / (c("y2") - c("y1"))
+    return F.when((c("lo") <= py) & (py < c("hi")) & (px < east), c("s")).otherwise(F.lit(0))
 
 
 def with_inside_share(df: DataFrame, out: str) -> DataFrame:
-    """Signed share of segment (ax, ay, bx, by) lying west of edge (x1, y1, x2, y2).
+    """Signed share of segment (ax, ay, bx, by) lying west of a tile row's edge.
 
     This is :func:`crossing_sign` averaged along the segment, in closed form.  Summed over the
     edges of a polygon it gives the share of the segment inside the polygon - for any polygon,
@@ -139,26 +142,29 @@ def with_inside_share(df: DataFrame, out: str) -> DataFrame:
     areas of polygons with common boundaries come out right.
     """
     c = F.col
-    lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
     df = df.filter(
-        (hi > lo)
-        & (F.least("ay", "by") <= hi)
-        & (F.greatest("ay", "by") >= lo)
+        (F.least("ay", "by") <= c("hi"))
+        & (F.greatest("ay", "by") >= c("lo"))
         & (F.least("ax", "bx") <= F.greatest("x1", "x2") + F.lit(TOUCH))
-    ).withColumns({"_dy": c("by") - c("ay"), "_lo": lo, "_hi": hi})
+    )
     # No filters beyond this point: Spark would push them, and all they are made of, into the join.
+    df = df.withColumns({"_dy": c("by") - c("ay"), "_slope": (c("x2") - c("x1")) / (c("y2") - c("y1"))})
     flat = c("_dy") == 0
-    ta, tb = F.try_divide(c("_lo") - c("ay"), c("_dy")), F.try_divide(c("_hi") - c("ay"), c("_dy"))
-    df = df.withColumn("_t0", F.when(flat, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(ta, tb))))
-    df = df.withColumn("_t1", F.when(flat, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(ta, tb))))
-    slope = (c("x2") - c("x1")) / (c("y2") - c("y1"))
+    ta, tb = F.try_divide(c("lo") - c("ay"), c("_dy")), F.try_divide(c("hi") - c("ay"), c("_dy"))
+    df = df.withColumns(
+        {
+            "_t0": F.when(flat, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(ta, tb))),
+            "_t1": F.when(flat, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(ta, tb))),
+        }
+    )
 
     def gap(t: Column) -> Column:
-        return c("x1") + (c("ay") + t * c("_dy") - c("y1")) * slope - (c("ax") + t * (c("bx") - c("ax")))
+        return c("x1") + (c("ay") + t * c("_dy") - c("y1")) * c("_slope") - (c("ax") + t * (c("bx") - c("ax")))
 
-    df = df.withColumn("_g0", gap(c("_t0"))).withColumn("_g1", gap(c("_t1")))
-    steep = (c("_hi") - c("_lo")) / F.hypot(c("x2") - c("x1"), c("y2") - c("y1"))
-    on_edge = (F.abs("_g0") * steep < F.lit(TOUCH)) & (F.abs("_g1") * steep < F.lit(TOUCH))
+    df = df.withColumns({"_g0": gap(c("_t0")), "_g1": gap(c("_t1"))})
+    # Distance across the edge follows from the gap measured along x.
+    lean = F.sqrt(F.lit(1.0) + c("_slope") * c("_slope"))
+    on_edge = (F.abs("_g0") < F.lit(TOUCH) * lean) & (F.abs("_g1") < F.lit(TOUCH) * lean)
     west = (
         F.when(on_edge, F.lit(0.5))
         .when((c("_g0") >= 0) & (c("_g1") >= 0), F.lit(1.0))
@@ -166,7 +172,6 @@ def with_inside_share(df: DataFrame, out: str) -> DataFrame:
         .otherwise(F.try_divide(F.greatest("_g0", "_g1"), F.abs("_g0") + F.abs("_g1")))
     )
     # A level segment at the height of an edge's end sees that edge on one side only.
-    level = F.when(flat & ((c("ay") == c("_lo")) | (c("ay") == c("_hi"))), F.lit(0.5)).otherwise(F.lit(1.0))
-    sign = F.when(c("y2") > c("y1"), F.lit(1.0)).otherwise(F.lit(-1.0))
-    share = sign * level * west * F.greatest(F.lit(0.0), c("_t1") - c("_t0"))
-    return df.withColumn(out, share).drop("_dy", "_lo", "_hi", "_t0", "_t1", "_g0", "_g1")
+    level = F.when(flat & ((c("ay") == c("lo")) | (c("ay") == c("hi"))), F.lit(0.5)).otherwise(F.lit(1.0))
+    share = c("s") * level * west * F.greatest(F.lit(0.0), c("_t1") - c("_t0"))
+    return df.withColumn(out, share).drop("_dy", "_slope", "_t0", "_t1", "_g0", "_g1")

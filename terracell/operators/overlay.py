@@ -16,21 +16,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import crossing_sign, segment_length, with_inside_share
-from ..grid import CELL, GRID_X0, cell_index, cell_join, cell_y, line_x, line_y, measure_density, with_cell
+from ..grid import CELL, GRID_X0, HOT_ROWS, cell_index, cell_join, cell_y, line_x, line_y, measure_density, with_cell
 from .segments import split_at_grid
 
 EDGE = ("x1", "y1", "x2", "y2")
 
 
 class Tiles:
-    """Tile rows (key columns, cx, cy, x1, y1, x2, y2, w), their grid size, and the edges' places."""
+    """Tile rows, their grid size, and the places of the edges.
+
+    A row has the key columns, its cell, the whole edge it belongs to (lower end first), the
+    height range ``lo..hi`` that lies in the cell, and the sign ``s`` of crossing it eastwards.
+    """
+
+    def __init__(self, rows: DataFrame, key: list[str], size: float, outline: DataFrame, edges: int):
+        self.rows, self.key, self.size, self.outline, self.edges = rows, key, size, outline, edges
 
-    def __init__(self, rows: DataFrame, key: list[str], size: float, outline: DataFrame):
-        self.rows, self.key, self.size, self.outline = rows, key, size, outline
 
+_sizes: dict[int, tuple[float, int]] = {}
 
-def tile_size(edges: DataFrame, key: list[str]) -> float:
-    """Grid size at which tiles wholly inside are about as many as the edges."""
+
+def tile_size(edges: DataFrame, key: list[str]) -> tuple[float, int]:
+    """Grid size at which tiles wholly inside are about as many as the edges, and the edge count.
+
+    Remembered per plan, as it steers speed only.
+    """
+    known = _sizes.get(edges.semanticHash())
+    if known:
+        return known
     boxes = edges.groupBy(*key).agg(
         F.min(F.least("x1", "x2")).alias("lx"),
         F.max(F.greatest("x1", "x2")).alias("hx"),
@@ -41,16 +54,29 @@ def tile_size(edges: DataFrame, key: list[str]) -> float:
     row = boxes.agg(
         F.sum((F.col("hx") - F.col("lx")) * (F.col("hy") - F.col("ly"))).alias("area"), F.sum("n").alias("n")
     ).first()
-    if not row["n"] or not row["area"]:
-        return 1000.0
-    return min(100_000.0, max(10.0, math.sqrt(row["area"] / row["n"])))
+    size = min(100_000.0, max(10.0, math.sqrt(row["area"] / row["n"]))) if row["area"] else 1000.0
+    if len(_sizes) > 10_000:
+        _sizes.clear()
+    _sizes[edges.semanticHash()] = (size, row["n"] or 0)
+    return _sizes[edges.semanticHash()]
 
 
 def tile_polygons(edges: DataFrame, key: list[str], size: float | None = None) -> Tiles:
-    """Cut polygons into tiles.  Polygons of one key may overlap; ``w`` then counts the layers."""
-    size = size or tile_size(edges, key)
+    """Cut polygons into tiles.  Polygons of one key may overlap; they add up."""
     shape = edges.select(*key, *EDGE)
-    pieces = split_at_grid(shape, size).select(*key, *CELL, *EDGE, F.lit(1).alias("w"))
+    measured, count = tile_size(shape, key)
+    size = size or measured
+    up = F.col("y2") > F.col("y1")
+    ends = (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))
+    # Level edges never meet a ray to the east.
+    rising = shape.filter(F.col("y2") != F.col("y1")).select(
+        *key, *EDGE, *[F.when(up, F.col(a)).otherwise(F.col(b)).alias(f"_{a}") for a, b in ends],
+        F.when(up, 1).otherwise(-1).alias("s"),
+    )
+    pieces = split_at_grid(rising, size).select(
+        *key, *CELL, *[F.col(f"_{c}").alias(c) for c in EDGE],
+        F.least("y1", "y2").alias("lo"), F.greatest("y1", "y2").alias("hi"), "s",
+    )
 
     # East sides: along each vertical grid line, polygon boundary crossings sorted by height
     # switch between outside and inside.
@@ -74,36 +100,39 @@ def tile_polygons(edges: DataFrame, key: list[str], size: float | None = None) -
     )
     bottom = line_y(F.col("cy"), size)
     east = line_x(F.col("line"), size)
+    low, high = F.greatest("y", bottom), F.least("top", bottom + F.lit(float(size)))
     sides = runs.select(
         *key,
         (F.col("line") - 1).alias("cx"),
         "cy",
         east.alias("x1"),
-        F.greatest("y", bottom).alias("y1"),
+        low.alias("y1"),
         east.alias("x2"),
-        F.least("top", bottom + F.lit(float(size))).alias("y2"),
-        F.col("w").cast("int").alias("w"),
-    ).filter(F.col("y2") > F.col("y1"))
+        high.alias("y2"),
+        low.alias("lo"),
+        high.alias("hi"),
+        F.col("w").cast("int").alias("s"),
+    ).filter(F.col("hi") > F.col("lo"))
     outline = shape.select(F.col("x1").alias("x"), F.col("y1").alias("y"))
-    return Tiles(pieces.unionByName(sides), list(key), size, outline)
+    return Tiles(pieces.unionByName(sides), list(key), size, outline, count)
 
 
 def _peaks(tiles: Tiles, x: Column, y: Column, places: DataFrame) -> tuple[int, int]:
     """Rows of the fullest cell of the places and of the boundary they meet."""
-    stats = measure_density(tiles.size, edges=tiles.outline, places=places.select(x.alias("x"), y.alias("y")))
-    return stats["places"].peak, stats["edges"].peak
+    sides = {"places": places.select(x.alias("x"), y.alias("y"))}
+    # A layer with few edges cannot crowd any cell.
+    if tiles.edges > HOT_ROWS:
+        sides["edges"] = tiles.outline
+    stats = measure_density(tiles.size, **sides)
+    return stats["places"].peak, stats["edges"].peak if "edges" in stats else 0
 
 
 def _crossings(points: DataFrame, tiles: Tiles) -> DataFrame:
     """(point, polygon) rows with the signed crossing count of one tile row in ``_s``."""
     placed = with_cell(points, tiles.size, "x", "y")
     point_peak, tile_peak = _peaks(tiles, F.col("x"), F.col("y"), points)
-    sign = crossing_sign(*[F.col(c) for c in ("x", "y", *EDGE)]) * F.col("w")
-    return (
-        cell_join(placed, tiles.rows, left_peak=point_peak, right_peak=tile_peak)
-        .withColumn("_s", sign)
-        .filter(F.col("_s") != 0)
-    )
+    pairs = cell_join(placed, tiles.rows, left_peak=point_peak, right_peak=tile_peak)
+    return pairs.withColumn("_s", crossing_sign(F.col("x"), F.col("y"))).filter(F.col("_s") != 0)
 
 
 def sum_in_polygons(points: DataFrame, tiles: Tiles, measures: dict[str, Column]) -> DataFrame:
@@ -139,7 +168,7 @@ def clip_by_polygons(segs: DataFrame, tiles: Tiles) -> DataFrame:
     pieces = split_at_grid(segs, tiles.size, ("ax", "ay", "bx", "by"))
     seg_peak, tile_peak = _peaks(tiles, (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2, segs)
     pairs = cell_join(pieces, tiles.rows, left_peak=seg_peak, right_peak=tile_peak)
-    return with_inside_share(pairs, "share").withColumn("share", F.col("share") * F.col("w")).drop(*CELL, *EDGE, "w")
+    return with_inside_share(pairs, "share").drop(*CELL, *EDGE, "lo", "hi", "s")
 
 
 def _as_segments(edges: DataFrame) -> DataFrame:
@@ -192,13 +221,18 @@ def polygon_areas(edges: DataFrame, key: list[str]) -> DataFrame:
 def lines_within_polygons(segs: DataFrame, tiles: Tiles, feature: str = "fid") -> DataFrame:
     """(feature, polygon) rows of line features lying wholly inside a polygon.
 
-    Whole means that the length inside equals the feature's length.
+    Whole means that the length inside equals the feature's length; a segment without length
+    weighs as one metre, so that it is still looked up.
     """
-    length = segment_length(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    whole = segs.groupBy(feature).agg(F.sum(length).alias("_whole"))
+
+    def weight(*ends: str) -> Column:
+        length = segment_length(*[F.col(c) for c in ends])
+        return F.when(length > 0, length).otherwise(F.lit(1.0))
+
+    whole = segs.groupBy(feature).agg(F.sum(weight(*EDGE)).alias("_whole"))
     parts = clip_by_polygons(_as_segments(segs.select(feature, *EDGE)), tiles)
     inside = parts.groupBy(feature, *tiles.key).agg(
-        F.sum(F.col("share") * segment_length(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))).alias("_in")
+        F.sum(F.col("share") * weight("ax", "ay", "bx", "by")).alias("_in")
     )
     held = inside.join(whole, feature).filter(F.col("_in") >= F.col("_whole") * (1 - 1e-9) - 1e-6)
     return held.select(feature, *tiles.key)
