@@ -32,7 +32,7 @@ SELECT sigungu_cd, round(coalesce(area,0),2) AS river_area_sum FROM {ALL_BORDERS
 )
 
 _held = ", ".join(f"sum({p}) AS {p}" for p in LABELS)
-_dec = ", ".join(f"cast({p} AS decimal(16,8)) AS {p}" for p in LABELS)
+_dec = ", ".join(f"cast(round({p}*800000) AS bigint) AS {p}" for p in LABELS)
 
 
 def _corners_inside(layer: str) -> str:
@@ -51,7 +51,7 @@ variable_query(
 held AS (SELECT sigungu_cd, {_pollutants} FROM inside
   UNION ALL {_corners_inside('emission_line')} UNION ALL {_corners_inside('emission_area')}),
 sums AS (SELECT sigungu_cd, {_held} FROM held GROUP BY sigungu_cd)
-SELECT sigungu_cd, {', '.join(f'cast(coalesce({p},0) AS double) AS "EM_{v}_{YEAR}"' for p, v in LABELS.items())}
+SELECT sigungu_cd, {', '.join(f'cast(coalesce({p},0) AS double)/800000 AS "EM_{v}_{YEAR}"' for p, v in LABELS.items())}
 FROM {ALL_BORDERS} LEFT JOIN sums USING (sigungu_cd)""",
     year=YEAR,
 )

@@ -128,7 +128,7 @@ variable_query(
 
 
 def _emission(r: int) -> str:
-    dec = ", ".join(f"cast(t.{p} AS decimal(16,8)) AS {p}" for p in LABELS)
+    dec = ", ".join(f"cast(round(t.{p}*800000) AS bigint) AS {p}" for p in LABELS)
 
     def held(layer: str) -> str:
         ends = " AND ".join(in_gon(f"t.x{i}-c.x", f"t.y{i}-c.y", r) for i in (1, 2))
@@ -140,7 +140,7 @@ def _emission(r: int) -> str:
     return f"""WITH held AS (SELECT c.tot_reg_cd, {dec} FROM centers c JOIN emission_point t ON t.year = {YEAR} AND {near('c', 't', r)}
    AND {in_gon('t.x-c.x', 't.y-c.y', r)} UNION ALL {held('emission_line')} UNION ALL {held('emission_area')}),
 sums AS (SELECT tot_reg_cd, {', '.join(f'sum({p}) AS {p}' for p in LABELS)} FROM held GROUP BY tot_reg_cd)
-SELECT c.tot_reg_cd, {', '.join(f'cast(coalesce({p},0) AS double) AS "EM_{v}_{r:05d}"' for p, v in LABELS.items())}
+SELECT c.tot_reg_cd, {', '.join(f'cast(coalesce({p},0) AS double)/800000 AS "EM_{v}_{r:05d}"' for p, v in LABELS.items())}
 FROM centers c LEFT JOIN sums s ON s.tot_reg_cd = c.tot_reg_cd"""
 
 

@@ -24,6 +24,7 @@ from .centers import AT_CELL, POINTS, _alive, _emission, _projected, custom_poin
 from .support import (
     BORDER_MEASURES,
     COS,
+    amounts,
     border_points,
     gon_clip,
     in_border,
@@ -637,10 +638,8 @@ def environmental_score(spark: SparkSession, lay: Layers) -> DataFrame:
     merged = compute_many(
         lay, [{"name": "emission_vector", "radius": 3000}, {"name": "ndvi_mean", "radius": 1000}], year=2010
     )
-    amounts = ["EM_CO_03000", "EM_NOx_03000"]
-    merged = merged.withColumns({a: F.col(a).cast("double") for a in amounts})
-    score = indices.environmental_score("ndvi_y1_mean_1000", amounts)
-    return rounded(merged.select("tot_reg_cd", score.alias("environmental_score")), 6)
+    score = indices.environmental_score("ndvi_y1_mean_1000", ["EM_CO_03000", "EM_NOx_03000"])
+    return rounded(amounts(merged).select("tot_reg_cd", score.alias("environmental_score")), 6)
 
 
 @query(
@@ -648,7 +647,7 @@ def environmental_score(spark: SparkSession, lay: Layers) -> DataFrame:
     f"""WITH {weights_sql(500)}, {gon_area_sql('SELECT fid, code, x1, y1, x2, y2 FROM landuse_edge WHERE year = 2020 AND code IN (110,120)', 'fid', 'code', 500)
     .replace('lay AS', 'lu_lay AS', 1).replace('FROM lay', 'FROM lu_lay').replace('lay_box', 'lu_box').replace('sides', 'lu_sides').replace('near_segs', 'lu_near').replace('cuts', 'lu_cuts').replace('gon_parts', 'lu_parts').replace('rim AS', 'lu_rim AS').replace('FROM rim)', 'FROM lu_rim)').replace('FROM rim ', 'FROM lu_rim ').replace('FROM rim', 'FROM lu_rim').replace('lu_rimin', 'rimin').replace('rimin', 'lu_in').replace('covered', 'lu_covered')},
 lu AS (SELECT tot_reg_cd, sum(area)/{math.pi * 250000!r} AS v FROM lu_covered GROUP BY tot_reg_cd),
-idx AS (SELECT c.tot_reg_cd, p.v*0.6 + coalesce(l.v,0)*0.4 AS i FROM centers c JOIN {_weight('sgis_pop', 'pop', 500)} p ON p.tot_reg_cd = c.tot_reg_cd
+idx AS (SELECT c.tot_reg_cd, round(p.v*0.6 + coalesce(l.v,0)*0.4,8) AS i FROM centers c JOIN {_weight('sgis_pop', 'pop', 500)} p ON p.tot_reg_cd = c.tot_reg_cd
   LEFT JOIN lu l ON l.tot_reg_cd = c.tot_reg_cd),
 q AS (SELECT quantile_cont(i, [0.2,0.4,0.6,0.8]) AS e FROM idx)
 SELECT tot_reg_cd, round(i,6) AS urbanization_index, CASE """
@@ -659,7 +658,7 @@ def urbanization_levels(spark: SparkSession, lay: Layers) -> DataFrame:
     merged = compute_many(lay, [{"name": "population"}, {"name": "landuse"}], year=2020, radius=500)
     index = indices.urbanization_index("POP_0500", ["LS110_0500", "LS120_0500"])
     # The classes need the index twice, for the bounds and for the rows: keep it once computed.
-    scored = merged.select("tot_reg_cd", index.alias("urbanization_index")).checkpoint()
+    scored = merged.select("tot_reg_cd", F.round(index, 8).alias("urbanization_index")).checkpoint()
     level = quantiles.quantile_level(scored, "urbanization_index").alias("urbanization_level")
     return rounded(scored.select("tot_reg_cd", "urbanization_index", level), 6)
 

@@ -18,6 +18,9 @@ from terracell.sources.layers import POLLUTANTS, Layers
 PI = math.pi
 COS = math.cos(PI / 32)
 
+# All emission amounts of the fixture are multiples of 1/800000.
+AMOUNTS = 800_000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -43,8 +46,8 @@ def layers(spark: SparkSession) -> Layers:
             return spark.table("sgis_wide")
         df = spark.table(name)
         if name.startswith("emission_") and name != "emission_cell":
-            # Decimal amounts add up exactly, whatever the order.
-            df = df.withColumns({p: F.col(p).cast("decimal(16,8)") for p in POLLUTANTS})
+            # Whole multiples of the smallest amount add up exactly, whatever the order.
+            df = df.withColumns({p: F.round(F.col(p) * AMOUNTS).cast("bigint") for p in POLLUTANTS})
         return df
 
     return Layers(resolve)
@@ -62,15 +65,18 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
+def amounts(df: DataFrame) -> DataFrame:
+    """Emission columns back in their own unit."""
+    return df.select(*[(F.col(c) / AMOUNTS).alias(c) if c.startswith("EM_") else F.col(c) for c in df.columns])
+
+
 def rounded(df: DataFrame, digits: int = 4, **own: int) -> DataFrame:
-    """Doubles rounded, as summation order differs between engines; decimals to doubles."""
+    """Doubles rounded, as summation order differs between engines."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         kind = f.dataType.typeName()
-        if kind == "decimal":
-            c = c.cast("double")
-        elif kind == "double":
+        if kind == "double":
             c = F.round(c, own.get(f.name, digits))
         columns.append(c.alias(f.name))
     return df.select(*columns)
@@ -81,7 +87,10 @@ def variable_query(
 ) -> None:
     @query(key or name, sql)
     def run(spark: SparkSession, lay: Layers) -> DataFrame:
-        return rounded(compute(lay, name, **args), digits, **(own or {}))
+        result = compute(lay, name, **args)
+        if name in ("border_emission", "emission_vector"):
+            return amounts(result)
+        return rounded(result, digits, **(own or {}))
 
 
 # SQL building blocks

@@ -51,8 +51,8 @@ def with_zone_share(
 
     ``ends`` are the segment's ends relative to the centre.  Most rows whose segment misses the
     zone are dropped.  The line's two crossings with the circumscribed circle come from a quadratic.
-    A 32-gon's boundary is left within half a side of such a crossing, so three sides around
-    each crossing decide where the polygon is entered and left.
+    A 32-gon's boundary is crossed within half a side of there, so the two sides that reach so
+    far decide where the polygon is entered and left.
     """
     c = F.col
     df = df.withColumns(dict(zip(("_ax", "_ay", "_bx", "_by"), ends)))
@@ -83,24 +83,24 @@ def with_zone_share(
         enter.append(c("_lo"))
         leave.append(c("_hi"))
     elif shape == "poly32":
-        angles = {
+        sides = {
             f"_m{end}{k}": (
-                F.floor((F.atan2(c("_ay") + c(t) * c("_dy"), c("_ax") + c(t) * c("_dx")) + F.lit((k - 1) * STEP / 2)) / F.lit(STEP))
+                F.floor((F.atan2(c("_ay") + c(t) * c("_dy"), c("_ax") + c(t) * c("_dx")) + F.lit(turn)) / F.lit(STEP))
                 + F.lit(0.5)
             ) * F.lit(STEP)
             for end, t in (("i", "_lo"), ("o", "_hi"))
-            for k in range(3)
+            for k, turn in enumerate((-STEP / 2, STEP / 2))
         }
-        df = df.withColumns(angles)
-        df = df.withColumns({f"{n}c": F.cos(n) for n in angles} | {f"{n}s": F.sin(n) for n in angles})
-        rates = {f"{n}r": c(f"{n}c") * c("_dx") + c(f"{n}s") * c("_dy") for n in angles}
-        rooms = {f"{n}g": F.lit(r * APOTHEM) - (c(f"{n}c") * c("_ax") + c(f"{n}s") * c("_ay")) for n in angles}
+        df = df.withColumns(sides)
+        df = df.withColumns({f"{n}c": F.cos(n) for n in sides} | {f"{n}s": F.sin(n) for n in sides})
+        rates = {f"{n}r": c(f"{n}c") * c("_dx") + c(f"{n}s") * c("_dy") for n in sides}
+        rooms = {f"{n}g": F.lit(r * APOTHEM) - (c(f"{n}c") * c("_ax") + c(f"{n}s") * c("_ay")) for n in sides}
         df = df.withColumns(rates | rooms)
-        for n in angles:
+        for n in sides:
             rate, room = c(f"{n}r"), c(f"{n}g")
             enter.append(F.when(rate < 0, room / rate).when((rate == 0) & (room <= 0), F.lit(2.0)))
             leave.append(F.when(rate > 0, room / rate))
-        work += [f"{n}{x}" for n in angles for x in ("", "c", "s", "r", "g")]
+        work += [f"{n}{x}" for n in sides for x in ("", "c", "s", "r", "g")]
     else:
         raise ValueError(f"Unknown zone shape '{shape}'. Valid shapes are: poly32, disc")
     return df.withColumn(out, F.greatest(F.lit(0.0), F.least(*leave) - F.greatest(*enter))).drop(*work)

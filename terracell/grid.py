@@ -115,7 +115,7 @@ def cell_join(
     keys: list[str] | None = None,
     left_peak: int = 0,
     right_peak: int = 0,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Inner equi-join on grid keys with hot keys split over several tasks.
 
@@ -125,6 +125,7 @@ def cell_join(
     """
     keys = keys or CELL
     on = list(keys)
+    hot_rows = hot_rows or HOT_ROWS
     hot_left = _hot_cells(left, keys, hot_rows, "_nl") if left_peak > hot_rows else None
     hot_right = _hot_cells(right, keys, hot_rows, "_nr") if right_peak > hot_rows else None
     left_base, right_base = list(left.columns), list(right.columns)

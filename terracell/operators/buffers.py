@@ -241,20 +241,20 @@ def buffer_holds(
             F.max(F.greatest("x1", "x2")).alias("qx"),
             F.min(F.least("y1", "y2")).alias("py"),
             F.max(F.greatest("y1", "y2")).alias("qy"),
+            F.max(F.greatest(first, second)).alias("_east"),
             F.count(F.lit(1)).alias("_edges"),
             *[F.first(m).alias(n) for n, m in measures.items()],
         )
-        .withColumn("px", F.col("_west.x"))
-        .withColumn("wy", F.col("_west.y"))
-        .drop("_west")
+        .withColumns({"px": F.col("_west.x"), "wy": F.col("_west.y"), "ey": F.col("_east.y")})
+        .drop("_west", "_east")
     )
     widths = F.greatest(F.col("qx") - F.col("px"), F.col("qy") - F.col("py"))
     stats = measure_density(radius, boxes=boxes.select(F.col("px").alias("x"), F.col("wy").alias("y")), units=centers)
+    shape = boxes.agg(F.avg(widths).alias("width"), F.max("_edges").alias("edges")).first()
     if steps is None:
         # Cells much smaller than the features could never be covered with room to spare.
         steps = cover_steps(stats["boxes"])
-        typical = boxes.agg(F.avg(widths)).first()[0] or 0.0
-        while steps and radius / 2 ** (steps + 1) < 2 * typical:
+        while steps and radius / 2 ** (steps + 1) < 2 * (shape["width"] or 0.0):
             steps -= 1
     size = radius / 2 ** (steps + 1)
     cover = _Cover(centers, radius, stats["boxes"], stats["units"], "poly32", grow=size, steps=steps)
@@ -270,27 +270,29 @@ def buffer_holds(
     def inside(a: str, b: str) -> Column:
         return in_zone(F.col(a) - F.col("x"), F.col(b) - F.col("y"), radius, "poly32")
 
-    r = F.lit(float(radius))
-    near = near.filter(
-        (F.col("qx") - F.col("x") <= r)
-        & (F.col("qy") - F.col("y") <= r)
-        & (F.col("x") - F.col("px") <= r)
-        & (F.col("y") - F.col("py") <= r)
-        & inside("px", "wy")
-    ).withColumn("_boxed", inside("px", "py") & inside("qx", "qy") & inside("px", "qy") & inside("qx", "py"))
-    sure = near.filter(F.col("_boxed")).select(unit, *names)
-    unsure = near.filter(~F.col("_boxed")).select(unit, "x", "y", feature, "_edges", *names)
-    corners = segs.select(feature, "x1", "y1", "x2", "y2")
-    checked = (
-        unsure.join(corners, feature)
-        .filter(inside("x1", "y1") & inside("x2", "y2"))
-        .groupBy(unit, feature)
-        .agg(F.count(F.lit(1)).alias("_in"), F.first("_edges").alias("_edges"), *[F.first(n).alias(n) for n in names])
-        .filter(F.col("_in") == F.col("_edges"))
-        .select(unit, *names)
-    )
+    # The westernmost and the easternmost corner are the two ends of a single edge; otherwise a
+    # box wholly inside settles the matter, and one that sticks out does not.
+    near = near.filter(inside("px", "wy") & inside("qx", "ey"))
+    boxed = inside("px", "py") & inside("qx", "qy") & inside("px", "qy") & inside("qx", "py")
+    settled = (F.col("_edges") == 1) | boxed
+    sure = near.filter(settled).select(unit, *names)
+    if (shape["edges"] or 0) > 1:
+        unsure = near.filter(~settled).select(unit, "x", "y", feature, "_edges", *names)
+        corners = segs.select(feature, "x1", "y1", "x2", "y2")
+        checked = (
+            unsure.join(corners, feature)
+            .filter(inside("x1", "y1") & inside("x2", "y2"))
+            .groupBy(unit, feature)
+            .agg(
+                F.count(F.lit(1)).alias("_in"), F.first("_edges").alias("_edges"),
+                *[F.first(n).alias(n) for n in names],
+            )
+            .filter(F.col("_in") == F.col("_edges"))
+            .select(unit, *names)
+        )
+        sure = sure.unionByName(checked)
     small = filed.filter(~F.col("_wide"))
-    return _gather(sure.unionByName(checked), cover.totals(small, names, []), [unit], names)
+    return _gather(sure, cover.totals(small, names, []), [unit], names)
 
 
 def buffer_pairs(

@@ -12,6 +12,8 @@ RUNTIME = {
     # work: let them be merged only down to one per core, not up to the default of 1 MB.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    # The JVM never compiles methods above 8000 bytes; split generated code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Settings fixed when a session starts.
