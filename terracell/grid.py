@@ -150,6 +150,19 @@ def _spread_salt(df: DataFrame, count: str, salt: str) -> DataFrame:
     return df.withColumn(salt, F.explode(F.sequence(F.lit(0), n - F.lit(1)))).drop(count)
 
 
+# Tables up to this many rows are redistributed before a join multiplies their rows.
+SPREAD_ROWS = 5_000_000
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Even out a table over the cores by its cells.
+
+    A layer of a few megabytes may come from one file, and thus in one task, while the pairs made
+    of it keep all cores busy.  Larger layers have many files, and moving them costs more.
+    """
+    return df.repartition(*CELL) if rows <= SPREAD_ROWS else df
+
+
 def _cell_reach(x: Column, y: Column, size: float, grow: float = 0.0) -> tuple[Column, Column]:
     """Squared least and greatest distance from (x, y) to cell (cx, cy); ``grow`` widens the cell for the latter."""
     g, m = F.lit(float(size)), F.lit(float(grow))

@@ -26,6 +26,7 @@ from ..grid import (
     measure_density,
     pyramid,
     ring_cells,
+    spread,
     with_cell,
 )
 from .overlay import clip_by_polygons, tile_polygons
@@ -59,14 +60,15 @@ class _Cover:
     ):
         self.steps = cover_steps(layer) if steps is None else steps
         self.size = radius / 2 ** (self.steps + 1)
-        self.layer_peak, self.unit_peak = layer.peak, 4 * units.peak
+        self.layer_rows, self.layer_peak, self.unit_peak = layer.rows, layer.peak, 4 * units.peak
         cells = disc_cover(centers, radius, self.steps, shrink_of(shape), grow)
         # Without halving there is nothing to gain from totals: test every touched cell.
         self.rim = (cells.filter(~F.col("covered")) if self.steps else cells).drop("covered", "lvl")
         self.whole = cells.filter(F.col("covered")).drop("covered") if self.steps else None
 
     def candidates(self, placed: DataFrame) -> DataFrame:
-        return cell_join(self.rim, placed, left_peak=self.unit_peak, right_peak=self.layer_peak)
+        even = spread(placed, self.layer_rows)
+        return cell_join(self.rim, even, left_peak=self.unit_peak, right_peak=self.layer_peak)
 
     def totals(self, placed: DataFrame, sums: list[str], by: list[str]) -> DataFrame | None:
         if self.whole is None:
@@ -316,6 +318,7 @@ def buffer_pairs(
     keep = in_zone(dx, dy, radius, shape)
     if hole:
         keep = keep & ~in_zone(dx, dy, hole, shape)
+    placed = spread(placed, stats["points"].rows)
     pairs = cell_join(touched, placed, left_peak=4 * stats["units"].peak, right_peak=stats["points"].peak)
     return pairs.filter(keep).drop(*CELL)
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import point_segment_distance2
-from ..grid import GRID_X0, GRID_Y0, CELL, cell_join, cell_x, cell_y, level_sizes, measure_density
+from ..grid import GRID_X0, GRID_Y0, CELL, cell_join, cell_x, cell_y, level_sizes, measure_density, spread
 from .overlay import EDGE, match_polygons, tile_polygons
 from .segments import split_at_grid
 
@@ -44,7 +44,7 @@ def _finest(segs: DataFrame) -> tuple[float, float, tuple[float, float, float, f
     if row["lx"] is None:
         return None
     extent = max(row["hx"] - row["lx"], row["hy"] - row["ly"], 1.0)
-    even = max(extent * math.sqrt(4 / row["n"]), extent / 2**20, 0.5)
+    even = max(extent * math.sqrt(16 / row["n"]), extent / 2**20, 0.5)
     starts = segs.select(F.col("x1").alias("x"), F.col("y1").alias("y"))
     peak = measure_density(even, layer=starts)["layer"].peak if row["n"] > CELL_FEATURES else row["n"]
     # Crowded places get a finer grid; empty cells cost nothing.
@@ -122,11 +122,15 @@ def nearest(
     cells = _candidate_cells(placed, pieces.select(*CELL).distinct(), size, extent, bounds)
     tried = cell_join(placed, cells, ["ux", "uy"], left_peak=stats["units"].peak)
     tried = cell_join(
-        tried.drop("ux", "uy"), pieces, left_peak=16 * stats["units"].peak, right_peak=stats["layer"].peak
+        tried.drop("ux", "uy"), spread(pieces, stats["layer"].rows), left_peak=16 * stats["units"].peak, right_peak=stats["layer"].peak
     )
     d2 = point_segment_distance2(*[F.col(c) for c in ("x", "y", *EDGE)])
-    best = tried.groupBy(unit).agg(F.min(F.struct(d2.alias("d2"), *carry)).alias("best"))
-    found = best.select(unit, F.sqrt("best.d2").alias("distance"), *[F.col(f"best.{c}").alias(c) for c in carry])
+    if carry:
+        best = tried.groupBy(unit).agg(F.min(F.struct(d2.alias("d2"), *carry)).alias("best"))
+        found = best.select(unit, F.sqrt("best.d2").alias("distance"), *[F.col(f"best.{c}").alias(c) for c in carry])
+    else:
+        # A plain minimum is hashed; one over structs would sort all candidates.
+        found = tried.groupBy(unit).agg(F.sqrt(F.min(d2)).alias("distance"))
     if areal:
         # Carry columns double as the polygon's identity; without any, one tile set serves all.
         tiles = tile_polygons(edges, carry) if carry else tile_polygons(edges.withColumn("_all", F.lit(1)), ["_all"])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import crossing_sign, segment_length, with_inside_share
-from ..grid import CELL, GRID_X0, HOT_ROWS, cell_index, cell_join, cell_y, line_x, line_y, measure_density, with_cell
+from ..grid import CELL, GRID_X0, HOT_ROWS, cell_index, cell_join, cell_y, line_x, line_y, measure_density, spread, with_cell
 from .segments import split_at_grid
 
 EDGE = ("x1", "y1", "x2", "y2")
@@ -117,21 +117,21 @@ def tile_polygons(edges: DataFrame, key: list[str], size: float | None = None) -
     return Tiles(pieces.unionByName(sides), list(key), size, outline, count)
 
 
-def _peaks(tiles: Tiles, x: Column, y: Column, places: DataFrame) -> tuple[int, int]:
-    """Rows of the fullest cell of the places and of the boundary they meet."""
+def _peaks(tiles: Tiles, x: Column, y: Column, places: DataFrame) -> tuple[int, int, int]:
+    """Rows of the places, and rows of the fullest cell of the places and of the boundary."""
     sides = {"places": places.select(x.alias("x"), y.alias("y"))}
     # A layer with few edges cannot crowd any cell.
     if tiles.edges > HOT_ROWS:
         sides["edges"] = tiles.outline
     stats = measure_density(tiles.size, **sides)
-    return stats["places"].peak, stats["edges"].peak if "edges" in stats else 0
+    return stats["places"].rows, stats["places"].peak, stats["edges"].peak if "edges" in stats else 0
 
 
 def _crossings(points: DataFrame, tiles: Tiles) -> DataFrame:
     """(point, polygon) rows with the signed crossing count of one tile row in ``_s``."""
     placed = with_cell(points, tiles.size, "x", "y")
-    point_peak, tile_peak = _peaks(tiles, F.col("x"), F.col("y"), points)
-    pairs = cell_join(placed, tiles.rows, left_peak=point_peak, right_peak=tile_peak)
+    rows, point_peak, tile_peak = _peaks(tiles, F.col("x"), F.col("y"), points)
+    pairs = cell_join(spread(placed, rows), tiles.rows, left_peak=point_peak, right_peak=tile_peak)
     return pairs.withColumn("_s", crossing_sign(F.col("x"), F.col("y"))).filter(F.col("_s") != 0)
 
 
@@ -166,8 +166,8 @@ def clip_by_polygons(segs: DataFrame, tiles: Tiles) -> DataFrame:
     wanted: length per zone, cross products per pair, and so on.
     """
     pieces = split_at_grid(segs, tiles.size, ("ax", "ay", "bx", "by"))
-    seg_peak, tile_peak = _peaks(tiles, (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2, segs)
-    pairs = cell_join(pieces, tiles.rows, left_peak=seg_peak, right_peak=tile_peak)
+    rows, seg_peak, tile_peak = _peaks(tiles, (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2, segs)
+    pairs = cell_join(spread(pieces, rows), tiles.rows, left_peak=seg_peak, right_peak=tile_peak)
     return with_inside_share(pairs, "share").drop(*CELL, *EDGE, "lo", "hi", "s")
 
 
