@@ -34,8 +34,8 @@ def as_edges(layer: DataFrame) -> DataFrame:
     )
 
 
-def _finest(segs: DataFrame) -> tuple[float, float, tuple[float, float, float, float]] | None:
-    """Finest cell size, extent and bounds of a layer; None for an empty one."""
+def _finest(segs: DataFrame) -> tuple[float, float, tuple[float, float, float, float], int, int] | None:
+    """Finest cell size, extent, bounds, rows and crowding of a layer; None for an empty one."""
     row = segs.agg(
         F.min(F.least("x1", "x2")).alias("lx"), F.max(F.greatest("x1", "x2")).alias("hx"),
         F.min(F.least("y1", "y2")).alias("ly"), F.max(F.greatest("y1", "y2")).alias("hy"),
@@ -50,7 +50,7 @@ def _finest(segs: DataFrame) -> tuple[float, float, tuple[float, float, float, f
     # Crowded places get a finer grid; empty cells cost nothing.
     while peak > CELL_FEATURES and even > max(extent / 2**16, 1.0):
         even, peak = even / 4, peak / 16
-    return even, extent, (row["lx"], row["hx"], row["ly"], row["hy"])
+    return even, extent, (row["lx"], row["hx"], row["ly"], row["hy"]), row["n"], peak
 
 
 def _gap(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column) -> tuple[Column, Column]:
@@ -113,16 +113,14 @@ def nearest(
     if grid is None:
         fields = [F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in carry]
         return centers.select(unit, F.lit(None).cast("double").alias("distance"), *fields).filter(F.lit(False))
-    size, extent, bounds = grid
+    size, extent, bounds, rows, peak = grid
     pieces = split_at_grid(edges.dropDuplicates(), size)
     placed = centers.withColumn("ux", cell_x(F.col("x"), size)).withColumn("uy", cell_y(F.col("y"), size))
-    stats = measure_density(
-        size, units=centers.select("x", "y"), layer=pieces.select(F.col("x1").alias("x"), F.col("y1").alias("y"))
-    )
+    unit_peak = measure_density(size, units=centers.select("x", "y"))["units"].peak
     cells = _candidate_cells(placed, pieces.select(*CELL).distinct(), size, extent, bounds)
-    tried = cell_join(placed, cells, ["ux", "uy"], left_peak=stats["units"].peak)
+    tried = cell_join(placed, cells, ["ux", "uy"], left_peak=unit_peak)
     tried = cell_join(
-        tried.drop("ux", "uy"), spread(pieces, stats["layer"].rows), left_peak=16 * stats["units"].peak, right_peak=stats["layer"].peak
+        tried.drop("ux", "uy"), spread(pieces, rows), left_peak=16 * unit_peak, right_peak=4 * peak
     )
     d2 = point_segment_distance2(*[F.col(c) for c in ("x", "y", *EDGE)])
     if carry:

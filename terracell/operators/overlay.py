@@ -78,8 +78,10 @@ def tile_polygons(edges: DataFrame, key: list[str], size: float | None = None) -
         F.least("y1", "y2").alias("lo"), F.greatest("y1", "y2").alias("hi"), "s",
     )
 
-    # East sides: along each vertical grid line, polygon boundary crossings sorted by height
-    # switch between outside and inside.
+    # East sides: above each place where the boundary crosses a vertical grid line, the line lies
+    # inside the polygon for one more or one less time.  A crossing itself only marks the rest of
+    # its own cell; the cells above get one row with the sum of all steps below, so crossings
+    # are never sorted or gathered, however many meet one line.
     lo = cell_index(F.least("x1", "x2"), size, GRID_X0)
     hi = cell_index(F.greatest("x1", "x2"), size, GRID_X0)
     met = shape.filter(hi > lo).withColumn("line", F.explode(F.sequence(lo + 1, hi)))
@@ -89,30 +91,30 @@ def tile_polygons(edges: DataFrame, key: list[str], size: float | None = None) -
     steps = (
         met.select(*key, "line", at.alias("y"), F.when(F.col("x2") > F.col("x1"), 1).otherwise(-1).alias("step"))
         .groupBy(*key, "line", "y")
-        .agg(F.sum("step").alias("step"))
+        .agg(F.sum("step").cast("int").alias("step"))
+        .filter(F.col("step") != 0)
+        .withColumn("cy", cell_y(F.col("y"), size))
     )
-    upwards = Window.partitionBy(*key, "line").orderBy("y")
-    runs = (
-        steps.withColumn("w", F.sum("step").over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("top", F.lead("y").over(upwards))
-        .filter((F.col("w") != 0) & F.col("top").isNotNull())
-        .withColumn("cy", F.explode(F.sequence(cell_y(F.col("y"), size), cell_y(F.col("top"), size))))
+    upwards = Window.partitionBy(*key, "line").orderBy("cy")
+    below = (
+        steps.groupBy(*key, "line", "cy")
+        .agg(F.sum("step").alias("step"))
+        .withColumn("s", F.sum("step").over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("next", F.lead("cy").over(upwards))
+        .filter((F.col("s") != 0) & F.col("next").isNotNull())
+        .withColumn("cy", F.explode(F.sequence(F.col("cy") + 1, F.col("next"))))
     )
     bottom = line_y(F.col("cy"), size)
-    east = line_x(F.col("line"), size)
-    low, high = F.greatest("y", bottom), F.least("top", bottom + F.lit(float(size)))
-    sides = runs.select(
-        *key,
-        (F.col("line") - 1).alias("cx"),
-        "cy",
-        east.alias("x1"),
-        low.alias("y1"),
-        east.alias("x2"),
-        high.alias("y2"),
-        low.alias("lo"),
-        high.alias("hi"),
-        F.col("w").cast("int").alias("s"),
-    ).filter(F.col("hi") > F.col("lo"))
+    top = bottom + F.lit(float(size))
+
+    def side(rows: DataFrame, low: Column, sign: Column) -> DataFrame:
+        east = line_x(F.col("line"), size)
+        return rows.select(
+            *key, (F.col("line") - 1).alias("cx"), "cy", east.alias("x1"), low.alias("y1"), east.alias("x2"),
+            top.alias("y2"), low.alias("lo"), top.alias("hi"), sign.cast("int").alias("s"),
+        ).filter(F.col("hi") > F.col("lo"))
+
+    sides = side(steps, F.col("y"), F.col("step")).unionByName(side(below, bottom, F.col("s")))
     outline = shape.select(F.col("x1").alias("x"), F.col("y1").alias("y"))
     return Tiles(pieces.unionByName(sides), list(key), size, outline, count)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.facilities import open_by_year_prefix
-from ..operators.attributes import areal_weights, fill_units, prefix_join, row_total
+from ..operators.attributes import areal_weights, fill_units, lookup_join, prefix_join, row_total
 from ..operators.buffers import buffer_areas, buffer_holds, buffer_lines, buffer_overlaps, buffer_points
 from ..operators.measures import border_measures
 from ..operators.nearest import nearest
@@ -237,7 +237,7 @@ def _length(q: Request, layer: str, name: str, weight: str = "", lanes: bool = F
     segs = q.layers.at(layer, q.year)
     if lanes:
         lane = q.layers.at("road_lane", q.year).select(F.col("id").alias("original_id"), "lanes", "width")
-        segs = segs.select("original_id", "x1", "y1", "x2", "y2").join(lane, "original_id")
+        segs = lookup_join(segs.select("original_id", "x1", "y1", "x2", "y2"), lane, ["original_id"])
     weights = {"": F.lit(1.0), "lanes": F.col("lanes"), "surface": F.col("lanes") * F.col("width")}
     found = buffer_lines(q.centers(), segs, q.radius, {name: weights[weight].cast("double")})
     return _filled(q, found, {name: 0.0})
