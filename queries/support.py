@@ -33,7 +33,8 @@ def prepare(spark: SparkSession, sf_dir: str) -> Layers:
     if not spark.conf.get("spark.checkpoint.dir", None):
         # Only where no cluster folder is named, as in local tests.
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="terracell-"))
-    session = spark.sparkContext.applicationId
+    # Temporary views belong to one session of one application.
+    session = f"{spark.sparkContext.applicationId}/{spark._jsparkSession.hashCode()}"
     if _registered.get(session) != sf_dir:
         fixture_layers.register(spark, sf_dir)
         _registered[session] = sf_dir

@@ -172,6 +172,10 @@ def _weighted(q: Request, table: str, columns: dict[str, str], total: str | None
     return found.withColumn(total, row_total(list(columns.values()))) if total else found
 
 
+# Variables that read the overlap table.
+WEIGHTED = ("business_registration_count", "business_employee_count", "house_type_count", "population")
+
+
 def _fan(prefix: str, count: int, radius: int) -> dict[str, str]:
     return {f"v_{i:03d}": f"{prefix}_{i}_{_r4(radius)}" for i in range(1, count + 1)}
 

@@ -141,8 +141,9 @@ def compute_many(layers: Layers, wanted: list[dict[str, Any]], **shared: Any) ->
     would share a column name get the year appended.
     """
     frames, seen, key = [], set(), None
-    for args in wanted:
-        df = compute(layers, **{**shared, **args})
+    calls = _share_overlaps(layers, [{**shared, **args} for args in wanted])
+    for args in calls:
+        df = compute(layers, **args)
         code = df.columns[0]
         if key is not None and code != key:
             raise ValueError(f"Cannot merge units '{key}' and '{code}'")
@@ -151,3 +152,28 @@ def compute_many(layers: Layers, wanted: list[dict[str, Any]], **shared: Any) ->
         frames.append(df.withColumnsRenamed(renames))
         seen.update(frames[-1].columns[1:])
     return merge_by_id(frames, key or CENTER_CODE)
+
+
+def _share_overlaps(layers: Layers, calls: list[dict[str, Any]]) -> list[dict[str, Any]]:
+    """Let census variables of one year and radius use one overlap table, computed once.
+
+    The table is checkpointed, so the variables neither repeat it nor depend on a cache.
+    """
+    from .centers import WEIGHTED, intersection_areas
+
+    def key(args: dict[str, Any]) -> tuple | None:
+        if args["name"] not in WEIGHTED or "overlaps" in args or "units" in args:
+            return None
+        radius = args.get("radius")
+        return args.get("year"), radius.value if isinstance(radius, Enum) else radius, args.get("border_type", "sgg"), args.get("mode")
+
+    keys = [key(args) for args in calls]
+    tables: dict[tuple, DataFrame] = {}
+    for k, args in zip(keys, calls):
+        if k is not None and keys.count(k) > 1 and k not in tables:
+            spec = find(args["name"])
+            validate_year(k[0], spec.years)
+            validate_choice("buffer size", "sizes", k[1], tuple(e.value for e in spec.radii))
+            request = Request(layers, args.get("grid") or RasterGrid(), k[0], k[0], k[1], getattr(k[2], "value", k[2]))
+            tables[k] = intersection_areas(request, k[3] or "border").checkpoint()
+    return [{**args, "overlaps": tables[k]} if k in tables else args for k, args in zip(keys, calls)]
