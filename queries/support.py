@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import os
-import tempfile
 from collections.abc import Callable
 
 import fixture_layers
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terracell.plans.registry import compute
-from terracell.session import tune
+from terracell.session import scratch_root, tune
 from terracell.sources.layers import POLLUTANTS, Layers
 
 PI = math.pi
@@ -30,9 +29,7 @@ _registered: dict[str, str] = {}
 def prepare(spark: SparkSession, sf_dir: str) -> Layers:
     """Layers derived from the driver's tables, as views of this session."""
     tune(spark)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        # Only where no cluster folder is named, as in local tests.
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="terracell-"))
+    scratch_root(spark)
     # Temporary views belong to one session of one application.
     session = f"{spark.sparkContext.applicationId}/{spark._jsparkSession.hashCode()}"
     if _registered.get(session) != sf_dir:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings that may change while a session runs.
@@ -37,3 +40,17 @@ def local_session(cpus: int | str = "*", checkpoint_dir: str | None = None, **co
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     return builder.getOrCreate()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder for intermediate tables that driver and executors share, as ``spark.checkpoint.dir`` names it.
+
+    Only a session whose executors run on this machine may do without: it gets a folder of its own here.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="terracell-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terracell.session import scratch_root
+
 FORMATS = ["json", "csv", "parquet"]
 
 
@@ -34,7 +36,4 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the session names for checkpoints."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
