@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terracell.llm import decontaminate, mixing, quality, simhash, token_counts, token_files
+from terracell.llm import decontaminate, mixing, pseudonyms, quality, sentence_spans, simhash, suffixes, token_counts, token_files, toxicity
 from terracell.llm.common import documents, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# For trials; a user gives an own secret.
+PSEUDONYM_KEY = "trial key"
+
 
 def query(name: str, sql: str | None = None) -> Callable:
     def add(run: Callable[[SparkSession, str], DataFrame]) -> Callable:
@@ -50,16 +53,36 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_to_files(documents(spark, sf_dir))
 
 
+@query("op4_pseudonyms")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymize(documents(spark, sf_dir), PSEUDONYM_KEY)
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query("op6_quality")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
 
+@query("op7_sentence_spans")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.drop_repeated_spans(documents(spark, sf_dir))
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op9_substrings")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_report(documents(spark, sf_dir))
+
+
 @query("op10_decontamination")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
