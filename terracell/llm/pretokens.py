@@ -21,9 +21,11 @@ STRANGE = re.compile("[^\t-\r\x20-\x7e\xa0-\xff]|<\\|")
 BYTE_LEVEL = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^\\s{LETTER}{DIGIT}]+|\\s+(?!\\S)|\\s+")
 WORD_LEVEL = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{DIGIT}]|[^\\s{LETTER}{DIGIT}]+")
 
+SPACED = re.compile(f" [{LETTER}]+")
+
 # Longer pre-tokens are encoded each time; more cached ones than this are dropped together.
 LONGEST = 64
-CACHED = 300_000
+CACHED = 400_000
 
 
 @lru_cache(maxsize=4)
@@ -39,16 +41,23 @@ class IdCache:
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.library.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        # Ids that begin with the vocabulary's sign for a blank.
+        self.begins = np.zeros(size, bool)
+        self.begins[[i for t, i in self.library.get_vocab().items() if t[0] == "\u0120"]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if STRANGE.search(t) else BYTE_LEVEL.findall(t) for t in texts]
-        if len(self.known) > CACHED:
-            self.known.clear()
-        known = self.known
+        if len(self.known) > CACHED // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         missing = {p for pieces in split if pieces for p in pieces}.difference(known)
-        fresh = dict(zip(missing, self._whole(list(missing))))
+        again = missing.intersection(older)
+        known.update((p, older[p]) for p in again)
+        fresh = self._pieces(missing - again)
         known.update((k, v) for k, v in fresh.items() if len(k) <= LONGEST)
         long = {k: v for k, v in fresh.items() if len(k) > LONGEST}
         strange = iter(self._whole([t for t, pieces in zip(texts, split) if pieces is None]))
@@ -56,10 +65,33 @@ class IdCache:
             known = known | long
         return [next(strange) if pieces is None else b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
+    def _pieces(self, pieces: set[str], together: int = 1000) -> dict[str, bytes]:
+        """Ids of single pre-tokens. Words behind a blank go to the library many in a row: it cuts them at
+        the blanks, and only a word's first id begins with one."""
+        words = [p for p in pieces if SPACED.fullmatch(p)]
+        others = [p for p in pieces if not SPACED.fullmatch(p)]
+        out = dict(zip(others, self._whole(others)))
+        for at in range(0, len(words), together):
+            row = words[at : at + together]
+            ids = np.frombuffer(self._whole(["".join(row)])[0], self.dtype)
+            cuts = np.append(np.flatnonzero(self.begins[ids]), len(ids))
+            if len(cuts) != len(row) + 1:
+                out.update(zip(row, self._whole(row)))
+                continue
+            raw, cuts = ids.tobytes(), (cuts * self.dtype.itemsize).tolist()
+            out.update(zip(row, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+        return out
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+@lru_cache(maxsize=1)
+def id_cache(path: str) -> IdCache:
+    """The worker's own cache, which tasks that run in it one after the other share."""
+    return IdCache(path)
+
+
 class LengthCache:
     """Token counts of texts under a vocabulary of lower-case words: a shared table first, then this worker's cache."""
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terracell.llm.common import text_blocks
-from terracell.llm.pretokens import IdCache
+from terracell.llm.pretokens import id_cache
 
 # Sequences to a batch of a file.
 BATCH = 128
@@ -84,7 +84,7 @@ def write_token_files(
     spark = docs.sparkSession
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = IdCache(tokenizer_path)
+        cache = id_cache(tokenizer_path)
         end = np.array([end_id], cache.dtype).tobytes()
         part = TaskContext.get().partitionId()
         store, folder = _store(out)
