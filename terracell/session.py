@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +56,17 @@ def scratch_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="terracell-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_terracell_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="terracell-")) / "terracell.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._terracell_shipped = True
