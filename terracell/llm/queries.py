@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terracell.llm import decontaminate, mixing, pseudonyms, quality, sentence_spans, simhash, suffixes, token_counts, token_files, toxicity
 from terracell.llm.common import documents, scratch_path
+from terracell.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +20,11 @@ PSEUDONYM_KEY = "trial key"
 
 def query(name: str, sql: str | None = None) -> Callable:
     def add(run: Callable[[SparkSession, str], DataFrame]) -> Callable:
-        QUERIES[name] = run
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql is not None:
             ORACLES[name] = sql
         return run
