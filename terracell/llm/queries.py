@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable:
         QUERIES[name] = shipped
         if sql is not None:
             ORACLES[name] = sql
-        return run
+        return shipped
 
     return add
 
