@@ -168,7 +168,7 @@ def _pair(a: np.uint64, b: np.uint64) -> int:
 
 
 def _windows(table: pa.Table, length: int) -> tuple[np.ndarray, ...]:
-    """(row, offset, name) of all windows of the rows' bytes; the name pairs those of its first and last 64 bytes."""
+    """(row, offset, name) of all windows of the rows' bytes; the name pairs those of 64 bytes up to the last ones."""
     data = table.column("bytes").combine_chunks()
     data = data.chunk(0) if isinstance(data, pa.ChunkedArray) else data
     begin = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data)].astype(np.int64)
@@ -178,7 +178,10 @@ def _windows(table: pa.Table, length: int) -> tuple[np.ndarray, ...]:
     whole = np.frombuffer(data.buffers()[2], np.uint8)
     half = scramble(names(BYTE[whole], 2 * GRAM))
     at = begin[row] + offset
-    return row, offset, scramble(half[at] * U64(BASE) + half[at + length - 2 * GRAM])
+    window = half[at]
+    for step in [*range(2 * GRAM, length - 2 * GRAM, 2 * GRAM), length - 2 * GRAM]:
+        window = scramble(window * U64(BASE) + half[at + step])
+    return row, offset, window
 
 
 def _settle_halves(rows: DataFrame, length: int) -> DataFrame:
