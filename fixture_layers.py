@@ -28,6 +28,39 @@ SELECT cast(11000 + n.n_nationkey*10 as string) AS sigungu_cd, n.n_name AS sigun
   FROM nation n CROSS JOIN (SELECT 0 AS seg, 0 AS ai, 0 AS aj, 1 AS bi, 0 AS bj UNION ALL SELECT 1,1,0,1,1 UNION ALL SELECT 2,1,1,0,1 UNION ALL SELECT 3,0,1,0,0) e
   JOIN corner p ON p.i = n.n_nationkey % 5 + e.ai AND p.j = cast(floor(n.n_nationkey/5) as int) + e.aj
   JOIN corner q ON q.i = n.n_nationkey % 5 + e.bi AND q.j = cast(floor(n.n_nationkey/5) as int) + e.bj
+""",
+    "border_edge_emd": """
+SELECT cast(1100000 + n.n_nationkey*1000 + h.half as string) AS adm_dr_cd, n.n_name AS adm_dr_nm, e.seg, y.year,
+  CASE e.a WHEN 0 THEN a.x WHEN 1 THEN b.x WHEN 2 THEN c.x WHEN 3 THEN d.x ELSE a.x*0.4e0 + b.x*0.35e0 + c.x*0.25e0 END AS x1,
+  CASE e.a WHEN 0 THEN a.y WHEN 1 THEN b.y WHEN 2 THEN c.y WHEN 3 THEN d.y ELSE a.y*0.4e0 + b.y*0.35e0 + c.y*0.25e0 END AS y1,
+  CASE e.b WHEN 0 THEN a.x WHEN 1 THEN b.x WHEN 2 THEN c.x WHEN 3 THEN d.x ELSE a.x*0.4e0 + b.x*0.35e0 + c.x*0.25e0 END AS x2,
+  CASE e.b WHEN 0 THEN a.y WHEN 1 THEN b.y WHEN 2 THEN c.y WHEN 3 THEN d.y ELSE a.y*0.4e0 + b.y*0.35e0 + c.y*0.25e0 END AS y2
+  FROM nation n CROSS JOIN (SELECT 1 AS half UNION ALL SELECT 2) h
+  JOIN (SELECT 1 AS half, 0 AS seg, 0 AS a, 1 AS b UNION ALL SELECT 1,1,1,2 UNION ALL SELECT 1,2,2,4 UNION ALL SELECT 1,3,4,0
+    UNION ALL SELECT 2,0,0,4 UNION ALL SELECT 2,1,4,2 UNION ALL SELECT 2,2,2,3 UNION ALL SELECT 2,3,3,0) e ON e.half = h.half
+  JOIN corner a ON a.i = n.n_nationkey % 5 AND a.j = cast(floor(n.n_nationkey/5) as int)
+  JOIN corner b ON b.i = n.n_nationkey % 5 + 1 AND b.j = cast(floor(n.n_nationkey/5) as int)
+  JOIN corner c ON c.i = n.n_nationkey % 5 + 1 AND c.j = cast(floor(n.n_nationkey/5) as int) + 1
+  JOIN corner d ON d.i = n.n_nationkey % 5 AND d.j = cast(floor(n.n_nationkey/5) as int) + 1
+  CROSS JOIN (SELECT 2000 AS year UNION ALL SELECT 2005 UNION ALL SELECT 2010 UNION ALL SELECT 2015 UNION ALL SELECT 2020) y
+""",
+    "town_edge": """
+SELECT adm_dr_cd, adm_dr_nm, seg, x1, y1, x2, y2 FROM border_edge_emd WHERE year = 2010
+""",
+    "border_edge_jgg": """
+SELECT cast(1100000000000 + a.n_nationkey*100 + b.n_nationkey as string) AS tot_reg_cd, 2023 AS year, e.seg,
+  950000.0e0 + (a.n_nationkey + e.ai)*800 AS x1, 1940000.0e0 + (b.n_nationkey + e.aj)*800 AS y1,
+  950000.0e0 + (a.n_nationkey + e.bi)*800 AS x2, 1940000.0e0 + (b.n_nationkey + e.bj)*800 AS y2
+  FROM nation a CROSS JOIN nation b
+  CROSS JOIN (SELECT 0 AS seg, 0 AS ai, 0 AS aj, 1 AS bi, 0 AS bj UNION ALL SELECT 1,1,0,1,1 UNION ALL SELECT 2,1,1,0,1 UNION ALL SELECT 3,0,1,0,0) e
+""",
+    "unit_edge": """
+SELECT tot_reg_cd AS unit_cd, seg, x1, y1, x2, y2 FROM border_edge_jgg
+""",
+    "unit_pop": """
+SELECT cast(1100000000000 + i*100 + j as string) AS tot_reg_cd, y.year, count(*)*10 + y.year % 7 AS pop, count(*)*4 AS pop_m, count(*)*6 + y.year % 7 AS pop_f
+  FROM (SELECT cast(floor((x-950000)/800) as bigint) AS i, cast(floor((y-1940000)/800) as bigint) AS j FROM centers) c
+  CROSS JOIN (SELECT 2000 AS year UNION ALL SELECT 2005 UNION ALL SELECT 2010 UNION ALL SELECT 2015 UNION ALL SELECT 2020) y GROUP BY i, j, y.year
 """,
     "bus_stop": """
 SELECT p_partkey AS id, 2023 AS year, 950000.0e0 + (p_partkey*7253) % 19991 AS x, 1940000.0e0 + (p_partkey*9341) % 19979 AS y FROM part
@@ -142,6 +175,9 @@ RECIPES["sgis_wide"] = (
 )
 
 
+RECIPES["unit_wide"] = RECIPES["sgis_wide"].replace("sgis_pop", "unit_pop")
+
+
 def _uses(sql: str) -> list[str]:
     words = set(re.findall(r"[a-z_0-9]+", sql))
     return [n for n in RECIPES if n in words]

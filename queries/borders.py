@@ -65,17 +65,14 @@ FROM measures m JOIN car_registration c ON substring(m.sigungu_cd,1,5) = c.sgg_c
     year=YEAR,
 )
 
-variable_query(
-    "border_landuse_area",
-    f"""WITH {overlay_sql(f'SELECT fid, code, x1, y1, x2, y2 FROM landuse_edge WHERE year = {YEAR}', 'code')},
+_LANDUSE = f"""WITH {overlay_sql(f'SELECT fid, code, x1, y1, x2, y2 FROM landuse_edge WHERE year = {YEAR}', 'code')},
 {BORDER_MEASURES.split('measures AS')[0].split('loc AS')[1].join(['loc AS', '']).rstrip().rstrip(',')},
 measures AS (SELECT sigungu_cd, sum(cr)/2 AS area FROM loc GROUP BY sigungu_cd)
 SELECT m.sigungu_cd, {', '.join(f"round(coalesce(sum(o.area) FILTER (WHERE o.code = {c}),0),3) AS lu_{c}_area, "
                               f"round(coalesce(sum(o.area) FILTER (WHERE o.code = {c}),0)/max(m.area),3) AS lu_{c}_ratio"
                               for c in CODES)}
-FROM measures m LEFT JOIN overlay o USING (sigungu_cd) GROUP BY m.sigungu_cd""",
-    digits=3, year=YEAR,
-)
+FROM measures m LEFT JOIN overlay o USING (sigungu_cd) GROUP BY m.sigungu_cd"""
+variable_query("border_landuse_area", _LANDUSE, digits=3, year=YEAR)
 
 variable_query(
     "border_coastline_distance",
@@ -127,12 +124,9 @@ def cells(where: str, table: str, extra: str = "val") -> str:
     return f"SELECT 950000e0 + col*200 + 100 AS x, 1940000e0 + row*200 + 100 AS y, {extra} FROM {table} WHERE {where}"
 
 
-variable_query(
-    "border_ndvi",
-    f"""WITH {border_points(cells(f"year = {YEAR} AND statistic = 'mean'", 'ndvi_cell'), 'val')}
-SELECT sigungu_cd, {stats_sql('val', 'ndvi')} FROM inside GROUP BY sigungu_cd""",
-    own={"ndvi_mean": 10}, year=YEAR,
-)
+_NDVI = f"""WITH {border_points(cells(f"year = {YEAR} AND statistic = 'mean'", 'ndvi_cell'), 'val')}
+SELECT sigungu_cd, {stats_sql('val', 'ndvi')} FROM inside GROUP BY sigungu_cd"""
+variable_query("border_ndvi", _NDVI, own={"ndvi_mean": 10}, year=YEAR)
 variable_query(
     "border_topographic_model",
     f"""WITH {border_points(cells('true', 'raster_cell', 'layer, val'), 'layer, val')}
@@ -160,3 +154,21 @@ SELECT z.sigungu_cd, count(i.id) AS {out} FROM {ALL_BORDERS} LEFT JOIN inside i
 
 variable_query("border_clinic", _facility("clinics", "clinic_count"), year=YEAR)
 variable_query("border_hospital", _facility("hospitals", "hospital_count"), year=YEAR)
+
+
+def _towns(sql: str) -> str:
+    """An oracle over counties turned to towns, of which half are concave."""
+    return sql.replace("border_edge", "town_edge").replace("sigungu_cd", "adm_dr_cd")
+
+
+def _grid(sql: str) -> str:
+    """An oracle over counties turned to census grid units."""
+    return f"SELECT unit_cd AS tot_reg_cd, * EXCLUDE (unit_cd) FROM ({sql.replace('border_edge', 'unit_edge').replace('sigungu_cd', 'unit_cd')}) q"
+
+
+for _kind, _turn in (("emd", _towns), ("jgg", _grid)):
+    variable_query("border_road", _turn(_length("road_seg", YEAR, "road_length")), f"border_road_{_kind}", digits=3, year=YEAR, border_type=_kind)
+    variable_query("border_hospital", _turn(_facility("hospitals", "hospital_count")), f"border_hospital_{_kind}", year=YEAR, border_type=_kind)
+    _mean = _NDVI.replace(",10) AS ndvi_mean", ",8) AS ndvi_mean")
+    variable_query("border_ndvi", _turn(_mean), f"border_ndvi_{_kind}", own={"ndvi_mean": 8}, year=YEAR, border_type=_kind)
+variable_query("border_landuse_area", _towns(_LANDUSE), "border_landuse_area_emd", digits=3, year=YEAR, border_type="emd")

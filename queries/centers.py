@@ -119,14 +119,32 @@ def _fan(prefix: str, n: int) -> dict[str, str]:
     return {f"v_{i:03d}": f"{prefix}_{i}_0500" for i in range(1, n + 1)}
 
 
-variable_query("business_registration_count", _weighted("sgis_wide", _fan("B_bnu", 19), total="B_bnu_0500"), year=YEAR, radius=R)
-variable_query("business_employee_count", _weighted("sgis_wide", _fan("B_bem", 19), total="B_bem_0500"), year=YEAR, radius=R)
-variable_query("house_type_count", _weighted("sgis_wide", _fan("H_gb", 6), total="H_gb_0500"), year=YEAR, radius=R)
+variable_query("business_registration_count", _weighted("sgis_wide", _fan("B_bnu", 19), total="B_bnu_0500"), year=YEAR, radius=R, border_type="sgg")
+variable_query("business_employee_count", _weighted("sgis_wide", _fan("B_bem", 19), total="B_bem_0500"), year=YEAR, radius=R, border_type="sgg")
+variable_query("house_type_count", _weighted("sgis_wide", _fan("H_gb", 6), total="H_gb_0500"), year=YEAR, radius=R, border_type="sgg")
 variable_query(
-    "population", _weighted("sgis_pop", {"pop": "POP_0500", "pop_m": "POP_M_0500", "pop_f": "POP_F_0500"}), year=YEAR, radius=R
+    "population", _weighted("sgis_pop", {"pop": "POP_0500", "pop_m": "POP_M_0500", "pop_f": "POP_F_0500"}), year=YEAR, radius=R, border_type="sgg",
 )
 
 
+def of_units(sql: str) -> str:
+    """An oracle over counties turned to census units and their census tables."""
+    for county, unit in (("border_edge", "unit_edge"), ("sigungu_cd", "unit_cd"), ("sgis_pop", "unit_pop"), ("sgis_wide", "unit_wide")):
+        sql = sql.replace(county, unit)
+    return sql
+
+
+# The same four over census units, their own unit where none is named.
+UNIT_TABLES = {"sgis_pop": "unit_pop", "sgis_bnu": "unit_wide", "sgis_bem": "unit_wide", "sgis_ho_gb": "unit_wide"}
+for _name, _table, _columns, _total in (
+    ("population", "sgis_pop", {"pop": "POP_0500", "pop_m": "POP_M_0500", "pop_f": "POP_F_0500"}, None),
+    ("business_registration_count", "sgis_wide", _fan("B_bnu", 19), "B_bnu_0500"),
+    ("business_employee_count", "sgis_wide", _fan("B_bem", 19), "B_bem_0500"),
+    ("house_type_count", "sgis_wide", _fan("H_gb", 6), "H_gb_0500"),
+):
+    variable_query(_name, of_units(_weighted(_table, _columns, total=_total)), f"{_name}_units", tables=UNIT_TABLES, year=YEAR, radius=R)
+
+
 def _emission(r: int) -> str:
     dec = ", ".join(f"cast(round(t.{p}*800000) AS bigint) AS {p}" for p in LABELS)
 

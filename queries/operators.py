@@ -19,11 +19,14 @@ from terracell.sources import sinks
 from terracell.sources.layers import Layers, read_layer
 from terracell.streaming.scoring import score_csv, score_stream
 
-from .borders import cells
+from .borders import cells, stats_sql
 from .centers import AT_CELL, POINTS, _alive, _emission, _projected, custom_points, gon_area_sql, weights_sql
 from .support import (
     BORDER_MEASURES,
     COS,
+    GRID,
+    ORACLES,
+    TIMELESS,
     amounts,
     border_points,
     gon_clip,
@@ -37,8 +40,6 @@ from .support import (
     rounded,
 )
 
-GRID = raster.RasterGrid()
-
 # Sources and sinks
 
 # A coordinate file with other column names, an extra column and rows that are not numbers.
@@ -106,6 +107,9 @@ FILES = """SELECT '/data/' || CASE WHEN o_orderkey % 9 = 8 THEN 'misc' ELSE cast
   || CASE o_orderkey % 6 WHEN 0 THEN 'co.tif' WHEN 1 THEN '2001_nh3.tif' WHEN 2 THEN '2005_voc_v2.old.tif' WHEN 3 THEN 'pm10.r' || cast(o_orderkey AS string) || '.tif'
      WHEN 4 THEN 'sox' ELSE 'tsp_' || cast(o_orderkey AS string) || '.tif' END AS path FROM orders"""
 
+# Files whose cells arrived in the store.
+STORED = FILES + " WHERE o_orderstatus <> 'P'"
+
 META = f"""files AS ({FILES}), named AS (SELECT path, regexp_extract(path, '[^/]*$') AS filename,
   try_cast(nullif(regexp_extract(path, '(?:^|/)([0-9]{{4}})_emission/[^/]*$', 1), '') AS int) AS year FROM files),
 meta AS (SELECT path, filename, year,
@@ -124,11 +128,12 @@ def raster_file_meta(spark: SparkSession, lay: Layers) -> DataFrame:
 
 @query(
     "raster_load_report",
-    f"""WITH {META} SELECT year, count(*) FILTER (WHERE emission_type <> 'unknown' AND pollutant_type <> 'unknown') AS loaded,
-  count(*) FILTER (WHERE emission_type = 'unknown' OR pollutant_type = 'unknown') AS failed FROM meta WHERE year IS NOT NULL GROUP BY year""",
+    f"""WITH {META}, stored AS ({STORED}) SELECT year, count(*) FILTER (WHERE path IN (SELECT path FROM stored)) AS loaded,
+  count(*) FILTER (WHERE path NOT IN (SELECT path FROM stored)) AS failed FROM meta WHERE year IS NOT NULL AND path LIKE '%.tif' GROUP BY year""",
 )
 def raster_load_report(spark: SparkSession, lay: Layers) -> DataFrame:
-    return raster_source.load_report(raster_source.with_raster_meta(spark.sql(FILES)))
+    """Files of early orders hold no cells."""
+    return raster_source.load_report(raster_source.with_raster_meta(spark.sql(FILES)), spark.sql(STORED))
 
 
 @query(
@@ -171,8 +176,10 @@ def write_formats(spark: SparkSession, lay: Layers) -> DataFrame:
     for fmt in [*sinks.FORMATS, "table"]:
         path = sinks.scratch_path(spark, fmt)
         if fmt == "table":
-            sinks.write_result(centers, path, "parquet", "append")
-            back = spark.read.parquet(path)
+            table = f"centers_{path[-32:]}"
+            sinks.write_table(centers.filter("x < 960000"), table, path=path)
+            sinks.write_table(centers.filter("x >= 960000"), table)
+            back = spark.table(table)
         else:
             sinks.write_result(centers, path, fmt)
             reader = spark.read.option("header", True) if fmt == "csv" else spark.read
@@ -288,7 +295,11 @@ ends AS (SELECT fid, x, y, sum(d) AS d FROM (SELECT fid, x1 AS x, y1 AS y, 1 AS
 basic AS (SELECT fid, count(*) < 3 AS too_few_edges, bool_or(x1 = x2 AND y1 = y2) AS zero_length_edge FROM faulty GROUP BY fid),
 crossing AS (SELECT DISTINCT a.fid FROM faulty a JOIN faulty b ON a.fid = b.fid AND a.seg < b.seg
   WHERE sign((a.x2-a.x1)*(b.y1-a.y1)-(a.y2-a.y1)*(b.x1-a.x1)) * sign((a.x2-a.x1)*(b.y2-a.y1)-(a.y2-a.y1)*(b.x2-a.x1)) < 0
-  AND sign((b.x2-b.x1)*(a.y1-b.y1)-(b.y2-b.y1)*(a.x1-b.x1)) * sign((b.x2-b.x1)*(a.y2-b.y1)-(b.y2-b.y1)*(a.x2-b.x1)) < 0)
+  AND sign((b.x2-b.x1)*(a.y1-b.y1)-(b.y2-b.y1)*(a.x1-b.x1)) * sign((b.x2-b.x1)*(a.y2-b.y1)-(b.y2-b.y1)*(a.x2-b.x1)) < 0
+  UNION SELECT p.fid FROM faulty p JOIN faulty e ON p.fid = e.fid
+  WHERE ((e.x2-e.x1)*(p.y1-e.y1)-(e.y2-e.y1)*(p.x1-e.x1) = 0 AND (e.x1-p.x1)*(e.x2-p.x1)+(e.y1-p.y1)*(e.y2-p.y1) < 0)
+  OR ((e.x2-e.x1)*(p.y2-e.y1)-(e.y2-e.y1)*(p.x2-e.x1) = 0 AND (e.x1-p.x2)*(e.x2-p.x2)+(e.y1-p.y2)*(e.y2-p.y2) < 0)
+  UNION SELECT fid FROM (SELECT fid FROM faulty WHERE x1 <> x2 OR y1 <> y2 GROUP BY fid, x1, y1 HAVING count(*) > 1) t)
 SELECT b.fid, b.fid IN (SELECT fid FROM ends WHERE d <> 0) AS open_ring, too_few_edges, zero_length_edge,
   b.fid IN (SELECT fid FROM crossing) AS self_crossing FROM basic b
 WHERE too_few_edges OR zero_length_edge OR b.fid IN (SELECT fid FROM ends WHERE d <> 0) OR b.fid IN (SELECT fid FROM crossing)""",
@@ -429,7 +440,7 @@ SELECT tot_reg_cd AS center_reg_cd, sigungu_cd AS border_reg_cd, round(area,2) A
 FROM covered JOIN za USING (sigungu_cd) WHERE area > 1e-6""",
 )
 def buffer_border_overlap(spark: SparkSession, lay: Layers) -> DataFrame:
-    return rounded(intersection_areas(Request(lay, GRID, 2010, 2010, 1000)), 2)
+    return rounded(intersection_areas(Request(lay, None, 2010, 2010, 1000)), 2)
 
 
 @query(
@@ -448,24 +459,24 @@ SELECT u AS center_reg_cd, v AS border_reg_cd, round(a,2) AS area, round({16 * m
 UNION ALL SELECT tot_reg_cd, tot_reg_cd, round({16 * math.sin(math.pi / 16) * 90000!r}e0,2), round({16 * math.sin(math.pi / 16) * 90000!r}e0,2) FROM centers""",
 )
 def buffer_buffer_overlap(spark: SparkSession, lay: Layers) -> DataFrame:
-    return rounded(intersection_areas(Request(lay, GRID, 2010, 2010, 300), mode="buffer"), 2)
+    return rounded(intersection_areas(Request(lay, None, 2010, 2010, 300), mode="buffer"), 2)
 
 
 @query(
     "missing_units",
-    "SELECT DISTINCT substring(tot_reg_cd,1,5) AS tot_reg_cd FROM centers WHERE substring(tot_reg_cd,1,5) NOT IN "
-    "(SELECT tot_reg_cd FROM sgis_pop WHERE year = 2015 AND pop % 4 = 2)",
+    "SELECT DISTINCT unit_cd AS tot_reg_cd FROM unit_edge WHERE unit_cd NOT IN (SELECT tot_reg_cd FROM unit_pop WHERE year = 2015)",
 )
 def missing_units(spark: SparkSession, lay: Layers) -> DataFrame:
-    counties = lay.get("centers").select(F.substring("tot_reg_cd", 1, 5).alias("tot_reg_cd")).distinct()
-    return attributes.missing_units(counties, lay.at("sgis_pop", 2015).filter(F.col("pop") % 4 == 2), "tot_reg_cd")
+    """Census units without inhabitants."""
+    units = lay.get("border_edge_jgg").select("tot_reg_cd").distinct()
+    return attributes.missing_units(units, lay.at("unit_pop", 2015), "tot_reg_cd")
 
 
 # Rasters
 
-# Rasters that overlap: every third cell comes again from a second file.
+# Rasters that overlap: every third cell comes again from a second file, half of these as nodata.
 OVERLAPPING = """SELECT col, row, val, 1 AS tile FROM raster_cell WHERE layer = 'dem'
-UNION ALL SELECT col, row, val + 1000, 2 FROM raster_cell WHERE layer = 'dem' AND (col + row) % 3 = 0 AND val IS NOT NULL"""
+UNION ALL SELECT col, row, CASE WHEN (col + row) % 2 = 0 THEN val + 1000 END, 2 FROM raster_cell WHERE layer = 'dem' AND (col + row) % 3 = 0"""
 
 
 @query(
@@ -485,6 +496,40 @@ def raster_algebra(spark: SparkSession, lay: Layers) -> DataFrame:
     return rounded(raster.add_rasters(lay.get("emission_cell"), "emission_type", ["point", "line", "area"], ["pollutant_type"]))
 
 
+# Source rasters loaded twice in places, and addresses that one source lacks.
+PATCHY = """SELECT emission_type, pollutant_type, col, row, val, 1 AS rid FROM emission_cell WHERE NOT (emission_type = 'area' AND col % 5 = 0)
+UNION ALL SELECT emission_type, pollutant_type, col, row, val * 2, 2 FROM emission_cell WHERE emission_type <> 'area' AND (col + row) % 4 = 0"""
+
+
+@query(
+    "raster_algebra_patchy",
+    f"""WITH p AS ({PATCHY}), m AS (SELECT emission_type, pollutant_type, col, row, arg_max(val, rid) FILTER (WHERE val IS NOT NULL) AS val FROM p GROUP BY ALL)
+SELECT pollutant_type, col, row, round(CASE WHEN count(val) = 3 THEN sum(val) END,4) AS val FROM m GROUP BY pollutant_type, col, row HAVING count(*) = 3""",
+)
+def raster_algebra_patchy(spark: SparkSession, lay: Layers) -> DataFrame:
+    sources = ["point", "line", "area"]
+    return rounded(raster.add_rasters(spark.sql(PATCHY), "emission_type", sources, ["pollutant_type"], order="rid"))
+
+
+# A second elevation file over a part of the first, with nodata of its own.
+RELOADED = """SELECT layer, 1 AS rid, col, row, val FROM raster_cell
+UNION ALL SELECT layer, 2, col, row, CASE WHEN col % 3 > 0 THEN val + 7 END FROM raster_cell WHERE row % 2 = 0"""
+
+
+@query(
+    "zonal_statistics_reloaded",
+    f"""WITH reloaded AS ({RELOADED}),
+once AS (SELECT layer, col, row, arg_max(val, rid) FILTER (WHERE val IS NOT NULL) AS val FROM reloaded GROUP BY layer, col, row),
+{border_points(cells('true', 'once', 'layer, val'), 'layer, val')}
+SELECT sigungu_cd, {', '.join(stats_sql(f"(CASE WHEN layer = '{v}' THEN val END)", v) for v in ('dem', 'dsm'))}
+FROM inside GROUP BY sigungu_cd""",
+)
+def zonal_statistics_reloaded(spark: SparkSession, lay: Layers) -> DataFrame:
+    """Repeated cells count once, the last value that is not nodata."""
+    again = Layers(lambda name: spark.sql(RELOADED) if name == "raster_cell" else lay.get(name), TIMELESS)
+    return rounded(compute(again, "border_topographic_model", year=2010, grid=GRID), dem_mean=10, dsm_mean=10)
+
+
 @query(
     "buffer_cell_mean",
     f"""WITH cell AS ({cells("year = 2015 AND statistic = 'max' AND val IS NOT NULL", 'ndvi_cell')})
@@ -537,12 +582,18 @@ def quantile_levels(spark: SparkSession, lay: Layers) -> DataFrame:
     "SELECT row_number() OVER (ORDER BY value DESC, sgg_cd) AS rank, sgg_cd, value FROM car_registration WHERE year = 2020",
 )
 def values_sorted(spark: SparkSession, lay: Layers) -> DataFrame:
-    """The highest registrations first; counties are few, so one sorted window will do."""
-    from pyspark.sql import Window
+    """The highest registrations first."""
+    cars = lay.at("car_registration", 2020).select("sgg_cd", "value")
+    return attributes.number_in_order(cars, [F.desc("value"), F.col("sgg_cd")]).select("rank", "sgg_cd", "value")
+
 
-    cars = lay.at("car_registration", 2020)
-    order = Window.partitionBy("year").orderBy(F.desc("value"), "sgg_cd")
-    return cars.select(F.row_number().over(order).alias("rank"), "sgg_cd", "value")
+@query("units_sorted", "SELECT row_number() OVER (ORDER BY tot_reg_cd) AS place, tot_reg_cd, round(x,4) AS x, round(y,4) AS y FROM centers")
+def units_sorted(spark: SparkSession, lay: Layers) -> DataFrame:
+    """Written in order of code and read again: the place is that of the row in its files."""
+    path = sinks.scratch_path(spark, "sorted")
+    sinks.write_sorted(lay.get("centers"), path, ["tot_reg_cd"], "csv")
+    rows = point_source.number_rows(spark.read.option("header", True).csv(path))
+    return rounded(rows.select(F.col("row_no").alias("place"), "tot_reg_cd", *[F.col(c).cast("double").alias(c) for c in ("x", "y")]))
 
 
 # Composites
@@ -590,6 +641,25 @@ def facility_counts_by_year_and_radius(spark: SparkSession, lay: Layers) -> Data
     return compute_many(lay, [{"name": "clinic_count", "year": y, "radius": r} for y in (2005, 2015) for r in (300, 1000)])
 
 
+RING = ["above_20", "below_20", "above_50", "below_50"]
+RING_DIGITS = {f"{c}_1000{again}": 6 for c in RING for again in ("", "_dsm_1000")}
+
+
+def _relative(layer: str) -> str:
+    return f"({ORACLES[f'relative_{layer}_1000']})"
+
+
+@query(
+    "merged_terrain",
+    f"""SELECT coalesce(a.tot_reg_cd, d.tot_reg_cd, s.tot_reg_cd) AS tot_reg_cd, coalesce(d.sgg_cd, s.sgg_cd) AS sgg_cd, a."Altitude_k",
+  {', '.join(f'd.{c}_1000' for c in RING)}, {', '.join(f's.{c}_1000 AS {c}_1000_dsm_1000' for c in RING)}
+FROM ({ORACLES['dem_value']}) a FULL JOIN {_relative('dem')} d ON d.tot_reg_cd = a.tot_reg_cd FULL JOIN {_relative('dsm')} s ON s.tot_reg_cd = coalesce(a.tot_reg_cd, d.tot_reg_cd)""",
+)
+def merged_terrain(spark: SparkSession, lay: Layers) -> DataFrame:
+    wanted = [{"name": "dem_value"}, *({"name": "relative_elevation", "layer": n, "distance": 1000} for n in ("dem", "dsm"))]
+    return rounded(compute_many(lay, wanted, grid=GRID), **{c: d for c, d in RING_DIGITS.items()})
+
+
 @query(
     "mobility_summary",
     """WITH m AS (SELECT c.tot_reg_cd, r.value FROM centers c JOIN car_registration r ON substring(c.tot_reg_cd,1,5) = r.sgg_cd WHERE r.year = 2015),
@@ -620,7 +690,9 @@ LEFT JOIN {_weight('sgis_wide', 'v_001', 500)} b ON b.tot_reg_cd = c.tot_reg_cd
 )
 def urban_characteristics(spark: SparkSession, lay: Layers) -> DataFrame:
     merged = compute_many(
-        lay, [{"name": n} for n in ("population", "business_registration_count", "road_length")], year=2020, radius=500
+        lay,
+        [{"name": n, "border_type": "sgg"} for n in ("population", "business_registration_count", "road_length")],
+        year=2020, radius=500,
     )
     business = indices.density("B_bnu_1_0500", "POP_0500").alias("business_density")
     roads = indices.density("road_l_0500", "POP_0500").alias("road_density")
@@ -636,7 +708,7 @@ FROM centers c LEFT JOIN ndvi_cell t ON {AT_CELL} AND t.year = 2010 AND t.statis
 )
 def environmental_score(spark: SparkSession, lay: Layers) -> DataFrame:
     merged = compute_many(
-        lay, [{"name": "emission_vector", "radius": 3000}, {"name": "ndvi_mean", "radius": 1000}], year=2010
+        lay, [{"name": "emission_vector", "radius": 3000}, {"name": "ndvi_mean", "radius": 1000}], year=2010, grid=GRID
     )
     score = indices.environmental_score("ndvi_y1_mean_1000", ["EM_CO_03000", "EM_NOx_03000"])
     return rounded(amounts(merged).select("tot_reg_cd", score.alias("environmental_score")), 6)
@@ -655,7 +727,7 @@ SELECT tot_reg_cd, round(i,6) AS urbanization_index, CASE """
     + f" ELSE '{_LEVELS[4]}' END AS urbanization_level FROM idx CROSS JOIN q",
 )
 def urbanization_levels(spark: SparkSession, lay: Layers) -> DataFrame:
-    merged = compute_many(lay, [{"name": "population"}, {"name": "landuse"}], year=2020, radius=500)
+    merged = compute_many(lay, [{"name": "population", "border_type": "sgg"}, {"name": "landuse"}], year=2020, radius=500)
     index = indices.urbanization_index("POP_0500", ["LS110_0500", "LS120_0500"])
     # The classes need the index twice, for the bounds and for the rows: keep it once computed.
     scored = merged.select("tot_reg_cd", F.round(index, 8).alias("urbanization_index")).checkpoint()
@@ -665,25 +737,47 @@ def urbanization_levels(spark: SparkSession, lay: Layers) -> DataFrame:
 
 # Coordinate files as jobs
 
+# The points in three files, of which each begins its own numbers; rows that are no coordinates among them.
+def _files(spark: SparkSession, name: str) -> str:
+    path = sinks.scratch_path(spark, name)
+    for k, rows in enumerate(("point_id % 3 = 1", "point_id % 3 = 2", "point_id % 3 = 0")):
+        part = spark.sql(POINTS).filter(rows).withColumn("x", F.when(F.col("point_id") % 17 > 0, F.col("x")))
+        one = part.select(F.floor(F.col("point_id") / 3).alias("id"), "x", "y").coalesce(1).sortWithinPartitions("id")
+        sinks.write_result(one, f"{path}/file{k}", "csv")
+    return path
+
+
 _SCORED = f"""WITH {_projected()}
 SELECT m.point_id, round(m.lon,7) AS x, round(m.lat,7) AS y, coalesce(h.n,0) AS "C_Bus_0300" FROM metric m LEFT JOIN (
   SELECT m.point_id, count(*) AS n FROM metric m JOIN (SELECT * FROM bus_stop WHERE year = 2023) t
   ON {near('m', 't', 300)} AND {in_disc('t.x-m.x', 't.y-m.y', 300)} GROUP BY m.point_id) h ON h.point_id = m.point_id"""
 
 
-@query("score_coordinate_files", "SELECT x, y, \"C_Bus_0300\" FROM (" + _SCORED + ") q")
+_PLACES = """place AS (SELECT point_id, row_number() OVER (ORDER BY (point_id + 2) % 3, point_id) AS place FROM metric)"""
+
+
+@query(
+    "score_coordinate_files",
+    f"WITH {_projected()}, {_PLACES} SELECT place AS point_id, x, y, \"C_Bus_0300\" FROM ({_SCORED}) q JOIN place USING (point_id) WHERE point_id % 17 > 0",
+)
 def score_coordinate_files(spark: SparkSession, lay: Layers) -> DataFrame:
-    path = sinks.scratch_path(spark, "coords")
-    sinks.write_result(spark.sql(POINTS).select("x", "y"), path, "csv")
-    scored, _ = score_csv(spark, lay, path, "bus_stop", year=2023, radius=300)
-    return rounded(scored.select("x", "y", "C_Bus_0300"), 7)
+    scored, _ = score_csv(spark, lay, f"{_files(spark, 'coords')}/*", "bus_stop", year=2023, radius=300)
+    return rounded(scored.select("point_id", "x", "y", "C_Bus_0300"), 7)
 
 
-@query("score_arriving_files", _SCORED)
+@query(
+    "score_arriving_files",
+    f"""SELECT cast(floor(point_id/3) AS bigint) AS id, 'scored' AS kind, x, y, "C_Bus_0300" FROM ({_SCORED}) q WHERE point_id % 17 > 0
+UNION ALL SELECT cast(floor(point_id/3) AS bigint), 'rejects', NULL, y, NULL FROM ({_SCORED}) q WHERE point_id % 17 = 0""",
+)
 def score_arriving_files(spark: SparkSession, lay: Layers) -> DataFrame:
-    """The same through a file stream that takes up whatever files are there."""
-    path, out, state = (sinks.scratch_path(spark, n) for n in ("arriving", "scored", "state"))
-    sinks.write_result(spark.sql(POINTS).withColumnRenamed("point_id", "id"), path, "csv")
-    stream = score_stream(spark, lay, path, "id string, x string, y string", "bus_stop", out, state, year=2023, radius=300)
+    """The same through a file stream that takes up whatever files are there; ids repeat from file to file."""
+    path, out, state = _files(spark, "arriving"), *(sinks.scratch_path(spark, n) for n in ("scored", "state"))
+    stream = score_stream(spark, lay, f"{path}/*", "id string, x string, y string", "bus_stop", out, state, year=2023, radius=300)
     stream.awaitTermination()
-    return rounded(spark.read.parquet(out).drop("batch"), 7)
+    found = []
+    for kind, count in (("scored", F.col("C_Bus_0300")), ("rejects", F.lit(None).cast("long"))):
+        rows = spark.read.parquet(f"{out}/{kind}")
+        xy = [F.col(c).cast("double").alias(c) for c in ("x", "y")]
+        found.append(rows.select(F.col("id").cast("long"), F.lit(kind).alias("kind"), *xy, count.alias("C_Bus_0300")))
+    return rounded(found[0].unionByName(found[1]), 7)

@@ -10,11 +10,16 @@ import fixture_layers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terracell.operators.raster import RasterGrid
 from terracell.plans.registry import compute
 from terracell.session import scratch_root, tune
 from terracell.sources.layers import POLLUTANTS, Layers
 
 PI = math.pi
+# Georeference of the derived rasters.
+GRID = RasterGrid(950_000.0, 1_940_000.0, 200.0)
+# Derived layers that hold for all years, or all versions.
+TIMELESS, UNVERSIONED = ("border_edge", "road_lane"), ("landuse_edge",)
 COS = math.cos(PI / 32)
 
 # All emission amounts of the fixture are multiples of 1/800000.
@@ -48,7 +53,7 @@ def layers(spark: SparkSession) -> Layers:
             df = df.withColumns({p: F.round(F.col(p) * AMOUNTS).cast("bigint") for p in POLLUTANTS})
         return df
 
-    return Layers(resolve)
+    return Layers(resolve, TIMELESS, UNVERSIONED)
 
 
 def query(name: str, sql: str | None = None) -> Callable:
@@ -81,11 +86,15 @@ def rounded(df: DataFrame, digits: int = 4, **own: int) -> DataFrame:
 
 
 def variable_query(
-    name: str, sql: str, key: str | None = None, digits: int = 4, own: dict[str, int] | None = None, **args
-) -> None:
+    name: str, sql: str, key: str | None = None, digits: int = 4, own: dict[str, int] | None = None,
+    tables: dict[str, str] | None = None, **args,
+) -> None:
+    """Register a variable; ``tables`` puts other views in the place of its layers."""
+
     @query(key or name, sql)
-    def run(spark: SparkSession, lay: Layers) -> DataFrame:
-        result = compute(lay, name, **args)
+    def run(spark: SparkSession, given: Layers) -> DataFrame:
+        lay = Layers(lambda n: given.get(tables.get(n, n)), TIMELESS, UNVERSIONED) if tables else given
+        result = compute(lay, name, grid=GRID, **args)
         if name in ("border_emission", "emission_vector"):
             return amounts(result)
         return rounded(result, digits, **(own or {}))

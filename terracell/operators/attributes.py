@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 from operator import add
 
 from pyspark.sql import Column, DataFrame
@@ -84,6 +85,19 @@ def merge_by_id(frames: list[DataFrame], id_column: str) -> DataFrame:
     return merged.select(id_column, *[c for c in merged.columns if c != id_column])
 
 
+def number_in_order(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Rows numbered from 1 in a total order, without gathering them: ranges are sorted in their own tasks, and
+    one row for each range tells how many come before it."""
+    part, place = F.spark_partition_id(), F.monotonically_increasing_id()
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": part, "_at": place})
+    ranges = ranges.withColumn("_at", F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33)).checkpoint()
+    counts = sorted((r["_part"], r["count"]) for r in ranges.groupBy("_part").count().collect())
+    parts, sizes = [p for p, _ in counts], [n for _, n in counts]
+    before = zip(parts, accumulate([0, *sizes]))
+    offsets = df.sparkSession.createDataFrame(list(before), "_part int, _before long")
+    return ranges.join(offsets, "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
+
+
 def negative_values(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
     """Rows breaking the rule that counts are not negative, one per offending column."""
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])

@@ -63,7 +63,7 @@ def orient_rings(edges: DataFrame, key: list[str], ring: str = "ring") -> DataFr
 
 
 def invalid_rings(edges: DataFrame, key: list[str], size: float = 250.0) -> DataFrame:
-    """Bad rings with reasons: open, fewer than three edges, zero-length edge, self-crossing.
+    """Bad rings with reasons: open, fewer than three edges, zero-length edge, self-crossing (or touching itself).
 
     Edges carry their position ``seg``.  Crossings are looked for cell by cell among pieces of
     the same ring only.
@@ -94,21 +94,30 @@ def invalid_rings(edges: DataFrame, key: list[str], size: float = 250.0) -> Data
     def side(px: str, py: str, ax: str, ay: str, bx: str, by: str) -> Column:
         return F.signum((c(bx) - c(ax)) * (c(py) - c(ay)) - (c(by) - c(ay)) * (c(px) - c(ax)))
 
+    def inside(px: str, py: str, ax: str, ay: str, bx: str, by: str) -> Column:
+        """A corner strictly between the ends of an edge: the ring touches or runs back on itself there."""
+        between = (c(ax) - c(px)) * (c(bx) - c(px)) + (c(ay) - c(py)) * (c(by) - c(py)) < 0
+        return (side(px, py, ax, ay, bx, by) == 0) & between
+
+    one, two = ("x1", "y1", "x2", "y2"), ("u1", "v1", "u2", "v2")
+    touches = inside("u1", "v1", *one) | inside("u2", "v2", *one) | inside("x1", "y1", *two) | inside("x2", "y2", *two)
+    twice = edges.filter((c("x1") != c("x2")) | (c("y1") != c("y2"))).groupBy(*key, "x1", "y1").count().filter("count > 1").select(*key).distinct().withColumn("_twice", F.lit(1))
     crossed = (
         cell_join(pieces, other, [*key, "cx", "cy"], left_peak=peak, right_peak=peak)
         .filter(c("seg") < c("seg2"))
         .filter(
             (side("u1", "v1", "x1", "y1", "x2", "y2") * side("u2", "v2", "x1", "y1", "x2", "y2") < 0)
             & (side("x1", "y1", "u1", "v1", "u2", "v2") * side("x2", "y2", "u1", "v1", "u2", "v2") < 0)
+            | touches
         )
         .groupBy(*key)
         .agg(F.lit(1).alias("_cross"))
     )
-    flags = counts.join(unbalanced, key, "left").join(crossed, key, "left").select(
+    flags = counts.join(unbalanced, key, "left").join(crossed, key, "left").join(twice, key, "left").select(
         *key,
         c("_open").isNotNull().alias("open_ring"),
         (c("_n") < 3).alias("too_few_edges"),
         (c("_zero") == 1).alias("zero_length_edge"),
-        c("_cross").isNotNull().alias("self_crossing"),
+        (c("_cross").isNotNull() | c("_twice").isNotNull()).alias("self_crossing"),
     )
     return flags.filter(c("open_ring") | c("too_few_edges") | c("zero_length_edge") | c("self_crossing"))

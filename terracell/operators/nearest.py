@@ -45,11 +45,12 @@ def _finest(segs: DataFrame) -> tuple[float, float, tuple[float, float, float, f
         return None
     extent = max(row["hx"] - row["lx"], row["hy"] - row["ly"], 1.0)
     even = max(extent * math.sqrt(16 / row["n"]), extent / 2**20, 0.5)
-    starts = segs.select(F.col("x1").alias("x"), F.col("y1").alias("y"))
+    starts = segs.select(F.col("x1").alias("x"), F.col("y1").alias("y")).distinct()
     peak = measure_density(even, layer=starts)["layer"].peak if row["n"] > CELL_FEATURES else row["n"]
-    # Crowded places get a finer grid; empty cells cost nothing.
-    while peak > CELL_FEATURES and even > max(extent / 2**16, 1.0):
-        even, peak = even / 4, peak / 16
+    # Crowded places get a finer grid, measured anew; empty cells cost nothing.
+    while peak > CELL_FEATURES and even > max(extent / 2**26, 0.001):
+        even /= 4
+        peak = measure_density(even, layer=starts)["layer"].peak
     return even, extent, (row["lx"], row["hx"], row["ly"], row["hy"]), row["n"], peak
 
 

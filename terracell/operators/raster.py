@@ -7,6 +7,7 @@ A cell's centre follows from its address by arithmetic, so sampling is an equi-j
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +23,11 @@ TILE_CELLS = 100
 
 @dataclass(frozen=True)
 class RasterGrid:
-    """Georeference: corner of cell (0, 0) and cell size in metres."""
+    """Georeference of a raster: corner of cell (0, 0) and cell size in metres."""
 
-    x0: float = 950_000.0
-    y0: float = 1_940_000.0
-    size: float = 200.0
+    x0: float
+    y0: float
+    size: float
 
     def center_x(self) -> Column:
         return F.lit(self.x0) + F.col("col") * F.lit(self.size) + F.lit(self.size / 2)
@@ -50,10 +51,30 @@ def retile(cells: DataFrame, size: int = TILE_CELLS) -> DataFrame:
     )
 
 
-def mosaic(cells: DataFrame, order: str, key: list[str] | None = None, value: str = "val") -> DataFrame:
-    """One value per cell address where rasters overlap: the last one by ``order`` wins."""
+def _last(value: Column, order: str | None) -> Column:
+    """The last value by ``order``, nodata (NULL) never; without an order the greatest."""
+    return F.max_by(value, F.when(value.isNotNull(), F.col(order))) if order else F.max(value)
+
+
+def mosaic(cells: DataFrame, order: str | None, key: list[str] | None = None, values: list[str] | None = None) -> DataFrame:
+    """One value per cell address where rasters overlap: the last one by ``order`` that is not nodata."""
     ids = [*(key or []), *ADDRESS]
-    return cells.groupBy(*ids).agg(F.max_by(value, order).alias(value))
+    return cells.groupBy(*ids).agg(*[_last(F.col(v), order).alias(v) for v in values or ["val"]])
+
+
+def mosaic_layers(cells: DataFrame, layer: str, names: list[str], order: str | None = None) -> DataFrame:
+    """Mosaics of several layers side by side: a value column per layer, and ``has_<layer>`` where its raster reaches."""
+    wanted = cells.filter(F.col(layer).isin(names))
+    columns = []
+    for n in names:
+        own = F.col(layer) == n
+        columns += [_last(F.when(own, F.col("val")), order).alias(n), F.max(own).alias(f"has_{n}")]
+    return wanted.groupBy(*ADDRESS).agg(*columns)
+
+
+def load_order(cells: DataFrame) -> str | None:
+    """The column that says which of two overlapping rasters was loaded last, if there is one."""
+    return "rid" if "rid" in cells.columns else None
 
 
 def sample(units: DataFrame, cells: DataFrame, grid: RasterGrid, unit: str = "tot_reg_cd", outer: bool = False) -> DataFrame:
@@ -74,19 +95,24 @@ def statistics(value: str, prefix: str) -> list[Column]:
 def cells_in_polygons(cells: DataFrame, tiles: Tiles, grid: RasterGrid) -> DataFrame:
     """(zone key, col, row) of raster cells whose centre lies in a zone.
 
-    Takes cell addresses only, so many layers on one grid share one geometric join.
+    Takes cell addresses only, each once, so many layers on one grid share one geometric join.
     """
-    centers = grid.centers(cells.select(*ADDRESS).distinct())
-    return match_polygons(centers, tiles).select(*tiles.key, *ADDRESS)
+    return match_polygons(grid.centers(cells.select(*ADDRESS)), tiles).select(*tiles.key, *ADDRESS)
 
 
 def zonal_statistics(cells: DataFrame, tiles: Tiles, grid: RasterGrid, layers: dict[str, str]) -> DataFrame:
     """Six statistics per zone for each value column in ``layers`` (column to name prefix).
 
-    Zones without any raster cell are dropped.
+    ``cells`` is a mosaic: every address once. Zones without any raster cell are dropped; with a column
+    ``has_<layer>``, a zone that the layer does not reach has NULL for it.
     """
     member = cells_in_polygons(cells, tiles, grid)
-    wanted = [s for column, prefix in layers.items() for s in statistics(column, prefix)]
+    wanted = []
+    for column, prefix in layers.items():
+        made = statistics(column, prefix)
+        if f"has_{column}" in cells.columns:
+            made = [F.when(F.max(f"has_{column}"), m).alias(f"{prefix}_{n}") for m, n in zip(made, STATISTICS)]
+        wanted += made
     return member.join(cells, ADDRESS).groupBy(*tiles.key).agg(*wanted)
 
 
@@ -116,28 +142,28 @@ def ring_shares(
 
     Adds ``above_20, below_20, ...`` in metres difference; NULL cells of the ring do not count.
     """
+    # Units bring their own value along, so the shares are combined where the pairs are made.
     own = sample(units, cells, grid, unit).withColumnRenamed("val", "stnd")
     valued = grid.centers(cells.filter(F.col("val").isNotNull())).select("x", "y", "val")
-    ring = buffer_pairs(units.select(unit, "x", "y"), valued, radius + width, unit, hole=radius)
+    ring = buffer_pairs(units.select(unit, "x", "y").join(own, unit), valued, radius + width, unit, hole=radius)
     diff = F.col("val") - F.col("stnd")
     n = F.count(F.lit(1))
     shares = []
     for s in steps:
         shares.append((F.count_if(diff > s) / n).alias(f"above_{s}"))
         shares.append((F.count_if(diff < -s) / n).alias(f"below_{s}"))
-    return ring.join(own, unit).groupBy(unit).agg(*shares)
+    return ring.groupBy(unit).agg(*shares)
 
 
-def add_rasters(cells: DataFrame, source: str, sources: list[str], key: list[str], value: str = "val") -> DataFrame:
+def add_rasters(
+    cells: DataFrame, source: str, sources: list[str], key: list[str], value: str = "val", order: str | None = None
+) -> DataFrame:
     """Cell-wise sum of several source rasters on their common extent, nodata where any has nodata.
 
-    One grouped pass: an address counts only when every source has it.
+    One grouped pass: each source is a mosaic first, and an address counts only when every source has it.
     """
     picked = cells.filter(F.col(source).isin(sources))
-    total = F.when(F.count(value) == len(sources), F.sum(value))
-    return (
-        picked.groupBy(*key, *ADDRESS)
-        .agg(F.count(F.lit(1)).alias("_n"), total.alias(value))
-        .filter(F.col("_n") == len(sources))
-        .drop("_n")
-    )
+    parts = [_last(F.when(F.col(source) == s, F.col(value)), order) for s in sources]
+    reached = reduce(lambda a, b: a & b, [F.max(F.col(source) == s) for s in sources])
+    total = reduce(lambda a, b: a + b, parts)
+    return picked.groupBy(*key, *ADDRESS).agg(reached.alias("_all"), total.alias(value)).filter("_all").drop("_all")

@@ -17,7 +17,7 @@ from ..operators.overlay import (
     sum_in_polygons,
     tile_polygons,
 )
-from ..operators.raster import add_rasters, zonal_statistics, zonal_sums
+from ..operators.raster import add_rasters, load_order, mosaic, mosaic_layers, zonal_statistics, zonal_sums
 from ..sources.layers import POLLUTANTS
 from .registry import EVERY_FIVE, UNIT_BORDER, Request, variable
 
@@ -85,7 +85,7 @@ def car_registration(q: Request) -> DataFrame:
 def landuse_area(q: Request) -> DataFrame:
     """Area and share of each land-use code; all codes in one pass."""
     edges, code = q.border()
-    polys = q.layers.at("landuse_edge", q.year).filter(F.col("code").isin(LANDUSE_CODES))
+    polys = q.layers.version("landuse_edge", q.year, {}, "v002").filter(F.col("code").isin(LANDUSE_CODES))
     found = overlay_areas(edges, code, polys.withColumnRenamed("code", "_lu"), ["_lu"])
     wide = found.groupBy(code).pivot("_lu", LANDUSE_CODES).agg(F.sum("area"))
     zones = border_measures(edges, code).select(code, "area")
@@ -146,11 +146,12 @@ def road(q: Request) -> DataFrame:
     return _line_length(q, "road_seg", "road_length")
 
 
-@variable("border_ndvi", UNIT_BORDER, years=EVERY_FIVE)
+@variable("border_ndvi", UNIT_BORDER, years=EVERY_FIVE, extras=("statistic",))
 def ndvi(q: Request) -> DataFrame:
     edges, code = q.border()
     cells = q.layers.at("ndvi_cell", q.year).filter(F.col("statistic") == q.options.get("statistic", "mean"))
-    return zonal_statistics(cells, tile_polygons(edges, [code]), q.grid, {"val": "ndvi"})
+    once = mosaic(cells, load_order(cells))
+    return zonal_statistics(once, tile_polygons(edges, [code]), q.raster("ndvi"), {"val": "ndvi"})
 
 
 @variable("border_topographic_model", UNIT_BORDER, years=EVERY_FIVE)
@@ -159,10 +160,11 @@ def topographic_model(q: Request) -> DataFrame:
     edges, code = q.border()
     tiles = tile_polygons(edges, [code])
     raster = q.layers.get("raster_cell")
-    found = [
-        zonal_statistics(raster.filter(F.col("layer") == layer), tiles, q.grid, {"val": layer})
-        for layer in ("dem", "dsm")
-    ]
+    order, names = load_order(raster), ["dem", "dsm"]
+    if q.raster("dem") == q.raster("dsm"):
+        # One geometric join of cell addresses for both.
+        return zonal_statistics(mosaic_layers(raster, "layer", names, order), tiles, q.raster("dem"), {n: n for n in names})
+    found = [zonal_statistics(mosaic_layers(raster, "layer", [n], order), tiles, q.raster(n), {n: n}) for n in names]
     return merge_by_id(found, code)
 
 
@@ -175,9 +177,9 @@ def raster_emission(q: Request) -> DataFrame:
     """Sum over the border of point + line + area emission rasters, all pollutants in one pass."""
     edges, code = q.layers.border(q.border_type, RASTER_EMISSION_YEARS[q.year])
     cells = q.layers.at("emission_cell", q.year)
-    added = add_rasters(cells, "emission_type", ["point", "line", "area"], ["pollutant_type"])
+    added = add_rasters(cells, "emission_type", ["point", "line", "area"], ["pollutant_type"], order=load_order(cells))
     wide = added.groupBy("col", "row").pivot("pollutant_type", POLLUTANTS).agg(F.first("val"))
-    sums = zonal_sums(wide, tile_polygons(edges, [code]), q.grid, POLLUTANTS)
+    sums = zonal_sums(wide, tile_polygons(edges, [code]), q.raster("emission"), POLLUTANTS)
     return sums.withColumnsRenamed({p: f"r_emission_{p}" for p in POLLUTANTS})
 
 

@@ -12,7 +12,7 @@ from ..operators.attributes import areal_weights, fill_units, lookup_join, prefi
 from ..operators.buffers import buffer_areas, buffer_holds, buffer_lines, buffer_overlaps, buffer_points
 from ..operators.measures import border_measures
 from ..operators.nearest import nearest
-from ..operators.raster import buffer_tile_mean, ring_shares, sample
+from ..operators.raster import buffer_tile_mean, load_order, mosaic, ring_shares, sample
 from ..sources.layers import POLLUTANTS
 from .borders import LANDUSE_CODES, POLLUTANT_LABELS, emission_sums
 from .registry import (
@@ -42,9 +42,13 @@ def _filled(q: Request, found: DataFrame, fill: dict[str, float | int]) -> DataF
 # Elevation under the centroid
 
 
+def _elevation(q: Request, layer: str) -> DataFrame:
+    cells = q.layers.get("raster_cell").filter(F.col("layer") == layer)
+    return mosaic(cells, load_order(cells))
+
+
 def _altitude(q: Request, layer: str, name: str) -> DataFrame:
-    cells = q.layers.get("raster_cell").filter(F.col("layer") == layer).select("col", "row", "val")
-    return sample(q.centers(), cells, q.grid).withColumnRenamed("val", name)
+    return sample(q.centers(), _elevation(q, layer), q.raster(layer)).withColumnRenamed("val", name)
 
 
 @variable("dem_value", UNIT_CENTER)
@@ -154,7 +158,7 @@ def intersection_areas(q: Request, mode: str = "border") -> DataFrame:
             F.col(CENTER_CODE).alias("center_reg_cd"), F.col("other").alias("border_reg_cd"), "area",
             full.alias("zone_area"),
         )
-    edges, code = q.layers.border(q.border_type, q.year)
+    edges, code = q.border()
     units = edges.withColumnRenamed(code, "border_reg_cd")
     overlap = buffer_areas(centers, units, ["border_reg_cd"], q.radius).filter(F.col("area") > 1e-6)
     sizes = border_measures(units, "border_reg_cd").select("border_reg_cd", F.col("area").alias("zone_area"))
@@ -165,6 +169,11 @@ def intersection_areas(q: Request, mode: str = "border") -> DataFrame:
 
 def _weighted(q: Request, table: str, columns: dict[str, str], total: str | None = None) -> DataFrame:
     census = q.layers.at(table, q.year).withColumnRenamed(CENTER_CODE, "border_reg_cd")
+    if q.options.get("mode", "border") == "border":
+        edges, code = q.border()
+        known = edges.select(F.col(code).alias("border_reg_cd")).distinct()
+        if census.join(known, "border_reg_cd", "left_semi").isEmpty():
+            raise ValueError(f"No row of '{table}' belongs to a unit of border type '{q.border_type}'")
     overlap = q.options.get("overlaps")
     overlap = intersection_areas(q, q.options.get("mode", "border")) if overlap is None else overlap
     found = areal_weights(overlap, census, columns, "center_reg_cd", "border_reg_cd")
@@ -172,6 +181,8 @@ def _weighted(q: Request, table: str, columns: dict[str, str], total: str | None
     return found.withColumn(total, row_total(list(columns.values()))) if total else found
 
 
+# What the variables that read the overlap table take besides: other units, or a table made before.
+OVERLAP = ("mode", "overlaps")
 # Variables that read the overlap table.
 WEIGHTED = ("business_registration_count", "business_employee_count", "house_type_count", "population")
 
@@ -180,22 +191,22 @@ def _fan(prefix: str, count: int, radius: int) -> dict[str, str]:
     return {f"v_{i:03d}": f"{prefix}_{i}_{_r4(radius)}" for i in range(1, count + 1)}
 
 
-@variable("business_registration_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize)
+@variable("business_registration_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize, border="jgg", extras=OVERLAP)
 def business_registration_count(q: Request) -> DataFrame:
     return _weighted(q, "sgis_bnu", _fan("B_bnu", 19, q.radius), f"B_bnu_{_r4(q.radius)}")
 
 
-@variable("business_employee_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize)
+@variable("business_employee_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize, border="jgg", extras=OVERLAP)
 def business_employee_count(q: Request) -> DataFrame:
     return _weighted(q, "sgis_bem", _fan("B_bem", 19, q.radius), f"B_bem_{_r4(q.radius)}")
 
 
-@variable("house_type_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize)
+@variable("house_type_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize, border="jgg", extras=OVERLAP)
 def house_type_count(q: Request) -> DataFrame:
     return _weighted(q, "sgis_ho_gb", _fan("H_gb", 6, q.radius), f"H_gb_{_r4(q.radius)}")
 
 
-@variable("population", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize)
+@variable("population", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize, border="jgg", extras=OVERLAP)
 def population(q: Request) -> DataFrame:
     r = _r4(q.radius)
     return _weighted(q, "sgis_pop", {"pop": f"POP_{r}", "pop_m": f"POP_M_{r}", "pop_f": f"POP_F_{r}"})
@@ -225,12 +236,8 @@ def emission_vector(q: Request) -> DataFrame:
 )
 def emission_raster_value(q: Request) -> DataFrame:
     kind, pollutant = q.options["emission_type"], q.options["pollutant_type"]
-    cells = (
-        q.layers.at("emission_cell", q.year)
-        .filter((F.col("emission_type") == kind) & (F.col("pollutant_type") == pollutant))
-        .select("col", "row", "val")
-    )
-    return sample(q.centers(), cells, q.grid).withColumnRenamed("val", f"EM_{kind}_{pollutant}_{q.year}")
+    cells = q.layers.at("emission_cell", q.year).filter((F.col("emission_type") == kind) & (F.col("pollutant_type") == pollutant))
+    return sample(q.centers(), mosaic(cells, load_order(cells)), q.raster("emission")).withColumnRenamed("val", f"EM_{kind}_{pollutant}_{q.year}")
 
 
 # Line lengths in buffers
@@ -277,16 +284,17 @@ for _name, _spec in LENGTHS.items():
 def _register_ndvi(statistic: str) -> None:
     prefix = "ndvi_y1_mm_" if statistic == "median" else "ndvi_y1_"
 
-    @variable(f"ndvi_{statistic}", UNIT_CENTER, years=EVERY_FIVE, radii=NdviBufferSize)
+    @variable(f"ndvi_{statistic}", UNIT_CENTER, years=EVERY_FIVE, radii=NdviBufferSize, extras=("cellwise",))
     def ndvi(q: Request) -> DataFrame:
         name = f"{prefix}{statistic}_{_r4(q.radius)}"
-        cells = q.layers.at("ndvi_cell", q.year).filter(F.col("statistic") == statistic).select("col", "row", "val")
+        cells = q.layers.at("ndvi_cell", q.year).filter(F.col("statistic") == statistic)
+        cells = mosaic(cells, load_order(cells))
         if statistic == "median":
             found = buffer_tile_mean(
-                q.centers(), cells, q.grid, q.radius, cellwise=q.options.get("cellwise", False)
+                q.centers(), cells, q.raster("ndvi"), q.radius, cellwise=q.options.get("cellwise", False)
             ).withColumnRenamed("mean", name)
             return _filled(q, found, {name: 0.0})
-        found = sample(q.centers(), cells, q.grid, outer=True)
+        found = sample(q.centers(), cells, q.raster("ndvi"), outer=True)
         return found.select(CENTER_CODE, F.coalesce("val", F.lit(0.0)).alias(name))
 
 
@@ -301,8 +309,8 @@ for _name in ("mean", "median", "min", "max", "8mdn"):
 def relative_elevation(q: Request) -> DataFrame:
     """Share of a 30 m wide ring lying 20 m or 50 m above or below the centroid."""
     distance = q.options["distance"]
-    cells = q.layers.get("raster_cell").filter(F.col("layer") == q.options["layer"]).select("col", "row", "val")
-    shares = ring_shares(q.centers(), cells, q.grid, distance)
+    layer = q.options["layer"]
+    shares = ring_shares(q.centers(), _elevation(q, layer), q.raster(layer), distance)
     names = [c for c in shares.columns if c != CENTER_CODE]
     return shares.select(
         F.substring(CENTER_CODE, 1, 5).alias("sgg_cd"), CENTER_CODE, *[F.col(c).alias(f"{c}_{distance}") for c in names]

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.facilities import open_by_year_prefix
 from ..functions.projection import to_metric
 from ..operators.buffers import buffer_points
-from .registry import EVERY_FIVE, UNIT_POINT, BufferSize, Request, variable
-
-POINT_ID = "point_id"
+from .registry import EVERY_FIVE, POINT_ID, UNIT_POINT, BufferSize, Request, variable
 
 
 def _count(q: Request, layer: DataFrame, name: str) -> DataFrame:
@@ -22,12 +20,12 @@ def _count(q: Request, layer: DataFrame, name: str) -> DataFrame:
     return joined.select(*given.columns, F.coalesce(F.col(name), F.lit(0)).alias(name))
 
 
-@variable("custom_bus_stop_count", UNIT_POINT, years=(2023,), radii=BufferSize)
+@variable("custom_bus_stop_count", UNIT_POINT, years=(2023,), radii=BufferSize, extras=("srid",))
 def custom_bus_stop_count(q: Request) -> DataFrame:
     return _count(q, q.layers.at("bus_stop", q.year), f"C_Bus_{str(q.radius).zfill(4)}")
 
 
-@variable("custom_hospital_count", UNIT_POINT, years=EVERY_FIVE, radii=BufferSize)
+@variable("custom_hospital_count", UNIT_POINT, years=EVERY_FIVE, radii=BufferSize, extras=("srid",))
 def custom_hospital_count(q: Request) -> DataFrame:
     alive = q.layers.get("hospitals").filter(open_by_year_prefix(q.year))
     return _count(q, alive, f"C_Hospital_{q.year}_{str(q.radius).zfill(4)}")

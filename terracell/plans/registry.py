@@ -8,12 +8,14 @@ from enum import Enum
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.attributes import merge_by_id
 from ..operators.raster import RasterGrid
-from ..sources.layers import BorderType, Layers
+from ..sources.layers import BORDER_COLUMNS, BorderType, Layers
 
 
+# Names and radii of the buffer sizes, and the texts of refused arguments below.
 class BufferSize(Enum):
     VERY_SMALL = 100
     SMALL = 300
@@ -23,8 +25,8 @@ class BufferSize(Enum):
 
 
 class NdviBufferSize(Enum):
-    SMALL = 1000
-    LARGE = 5000
+    LARGE = 1000
+    VERY_LARGE = 5000
 
 
 class EmissionBufferSize(Enum):
@@ -37,8 +39,11 @@ EVERY_FIVE = (2000, 2005, 2010, 2015, 2020)
 FROM_2005 = (2005, 2010, 2015, 2020)
 TWO_LATEST = (2015, 2020)
 
+# Columns of the county that a result may carry beside its key.
+COUNTY = ("sgg_cd",)
+
 UNIT_BORDER, UNIT_CENTER, UNIT_POINT = "border", "center", "point"
-CENTER_CODE = "tot_reg_cd"
+CENTER_CODE, POINT_ID = "tot_reg_cd", "point_id"
 
 
 @dataclass(frozen=True)
@@ -52,6 +57,15 @@ class Variable:
     radii: type[Enum] | None = None
     remap: dict[int, int] = field(default_factory=dict)
     options: dict[str, tuple] = field(default_factory=dict)
+    # Further options, and the border type where none is named.
+    extras: tuple[str, ...] = ()
+    border: str = "sgg"
+
+    def key(self, border_type: str | None) -> str:
+        """The column that names a row's unit."""
+        if self.unit == UNIT_BORDER:
+            return BORDER_COLUMNS[border_type or self.border][0]
+        return POINT_ID if self.unit == UNIT_POINT else CENTER_CODE
 
 
 @dataclass(frozen=True)
@@ -59,7 +73,7 @@ class Request:
     """Checked arguments of one computation."""
 
     layers: Layers
-    grid: RasterGrid
+    grid: RasterGrid | dict[str, RasterGrid] | None = None
     asked_year: int | None = None
     year: int | None = None
     radius: int | None = None
@@ -70,6 +84,13 @@ class Request:
     def border(self) -> tuple[DataFrame, str]:
         return self.layers.border(self.border_type, self.year)
 
+    def raster(self, name: str) -> RasterGrid:
+        """The georeference of a raster: one for all, or one by name (dem, dsm, ndvi, emission)."""
+        found = self.grid.get(name) if isinstance(self.grid, dict) else self.grid
+        if found is None:
+            raise ValueError(f"Give the georeference of raster '{name}': grid=RasterGrid(x0, y0, size)")
+        return found
+
     def centers(self) -> DataFrame:
         return self.units if self.units is not None else self.layers.get("centers")
 
@@ -108,8 +129,8 @@ def compute(
     name: str,
     year: int | None = None,
     radius: int | Enum | None = None,
-    border_type: str | BorderType = "sgg",
-    grid: RasterGrid | None = None,
+    border_type: str | BorderType | None = None,
+    grid: RasterGrid | dict[str, RasterGrid] | None = None,
     units: DataFrame | None = None,
     **options: Any,
 ) -> DataFrame:
@@ -118,9 +139,10 @@ def compute(
     validate_year(year, spec.years)
     radius = radius.value if isinstance(radius, Enum) else radius
     border_type = border_type.value if isinstance(border_type, BorderType) else border_type
+    border_type = spec.border if border_type is None else border_type
     if spec.radii is not None:
         validate_choice("buffer size", "sizes", radius, tuple(e.value for e in spec.radii))
-    if spec.unit == UNIT_BORDER:
+    if spec.unit != UNIT_POINT:
         validate_choice("border type", "types", border_type, tuple(e.value for e in BorderType))
     chosen = {}
     for option, valid in spec.options.items():
@@ -128,30 +150,42 @@ def compute(
         value = value.lower() if isinstance(value, str) else value
         validate_choice(option.replace("_", " "), option.split("_")[-1] + "s", value, valid)
         chosen[option] = value
-    request = Request(
-        layers, grid or RasterGrid(), year, spec.remap.get(year, year), radius, border_type, chosen | options, units
-    )
+    for option in options:
+        validate_choice("option", "options", option, (*spec.options, *spec.extras))
+    request = Request(layers, grid, year, spec.remap.get(year, year), radius, border_type, chosen | options, units)
     return spec.build(request)
 
 
 def compute_many(layers: Layers, wanted: list[dict[str, Any]], **shared: Any) -> DataFrame:
     """Several variables, years, radii merged into one frame by unit code.
 
-    Each entry of ``wanted`` holds the arguments of one :func:`compute` call.  Results that
-    would share a column name get the year appended.
+    Each entry of ``wanted`` holds the arguments of one :func:`compute` call.  Results that would share a
+    column name get the year appended, or their options where no year tells them apart. The county
+    code that some carry is kept once.
     """
-    frames, seen, key = [], set(), None
+    frames, seen, key, copies = [], set(), None, set()
     calls = _share_overlaps(layers, [{**shared, **args} for args in wanted])
     for args in calls:
-        df = compute(layers, **args)
-        code = df.columns[0]
+        spec = find(args["name"])
+        code = spec.key(getattr(args.get("border_type"), "value", args.get("border_type")))
         if key is not None and code != key:
             raise ValueError(f"Cannot merge units '{key}' and '{code}'")
         key = code
-        renames = {c: f"{c}_{args.get('year')}" for c in df.columns[1:] if c in seen}
+        df = compute(layers, **args)
+        again = {c: f"_{c}_{len(frames)}" for c in COUNTY if c in seen and c in df.columns}
+        df = df.withColumnsRenamed(again)
+        copies.update({(c, name) for c, name in again.items()})
+        told = [args["year"]] if args.get("year") is not None else [args[o] for o in spec.options if o in args]
+        renames = {c: "_".join([c, *map(str, told)]) for c in df.columns if c in seen}
+        if len({*seen, *renames.values()}) < len(seen) + len(renames):
+            raise ValueError(f"'{args['name']}' is asked for twice")
         frames.append(df.withColumnsRenamed(renames))
-        seen.update(frames[-1].columns[1:])
-    return merge_by_id(frames, key or CENTER_CODE)
+        seen.update(c for c in frames[-1].columns if c != key)
+    merged = merge_by_id(frames, key or CENTER_CODE)
+    for c in COUNTY:
+        if c in merged.columns:
+            merged = merged.withColumn(c, F.coalesce(c, *sorted(name for own, name in copies if own == c)))
+    return merged.drop(*[name for _, name in copies])
 
 
 def _share_overlaps(layers: Layers, calls: list[dict[str, Any]]) -> list[dict[str, Any]]:
@@ -165,7 +199,8 @@ def _share_overlaps(layers: Layers, calls: list[dict[str, Any]]) -> list[dict[st
         if args["name"] not in WEIGHTED or "overlaps" in args or "units" in args:
             return None
         radius = args.get("radius")
-        return args.get("year"), radius.value if isinstance(radius, Enum) else radius, args.get("border_type", "sgg"), args.get("mode")
+        border = args.get("border_type") or find(args["name"]).border
+        return args.get("year"), radius.value if isinstance(radius, Enum) else radius, border, args.get("mode")
 
     keys = [key(args) for args in calls]
     tables: dict[tuple, DataFrame] = {}
@@ -174,6 +209,6 @@ def _share_overlaps(layers: Layers, calls: list[dict[str, Any]]) -> list[dict[st
             spec = find(args["name"])
             validate_year(k[0], spec.years)
             validate_choice("buffer size", "sizes", k[1], tuple(e.value for e in spec.radii))
-            request = Request(layers, args.get("grid") or RasterGrid(), k[0], k[0], k[1], getattr(k[2], "value", k[2]))
+            request = Request(layers, None, k[0], k[0], k[1], getattr(k[2], "value", k[2]))
             tables[k] = intersection_areas(request, k[3] or "border").checkpoint()
     return [{**args, "overlaps": tables[k]} if k in tables else args for k, args in zip(keys, calls)]

@@ -28,23 +28,28 @@ def normalize_xy(df: DataFrame) -> DataFrame:
 
 
 def read_points_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, coordinates named x and y, rows numbered from 1 within each file."""
+    """All columns as text, coordinates named x and y, rows numbered from 1 on through all files in order of path."""
     raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
     return normalize_xy(number_rows(raw))
 
 
 def number_rows(df: DataFrame) -> DataFrame:
-    """Add ``row_no``: position of a row in its file, for splittable text files of any size.
+    """Add ``row_no``: position of a row in its files, for splittable text files of any size and number.
 
-    Rows of one file block are consecutive in one task; the blocks' row counts, a table with one
-    row per block, give each block its offset.
+    Rows of one file block are consecutive in one task; the blocks' row counts, a table with one row per
+    block, give each block its offset in its file, and each file its offset after the files before it.
     """
     tagged = df.withColumn("_file", F.col("_metadata.file_path")).withColumn(
         "_block", F.col("_metadata.file_block_start")
     ).withColumn("_id", F.monotonically_increasing_id())
     blocks = tagged.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    first = Window.unboundedPreceding
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(first, -1)
+    files = blocks.groupBy("_file").agg(F.sum("_n").alias("_rows"))
+    earlier = Window.orderBy("_file").rowsBetween(first, -1)
+    files = files.select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    offsets = blocks.withColumn("_in_file", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(files, "_file")
+    offsets = offsets.select("_file", "_block", "_first", (F.col("_start") + F.col("_in_file")).alias("_offset"))
     return (
         tagged.join(offsets, ["_file", "_block"])
         .withColumn("row_no", F.col("_id") - F.col("_first") + F.col("_offset") + 1)

@@ -59,9 +59,12 @@ def write_raster(spark: SparkSession, cells: DataFrame, path: str, first: bool =
     cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
 
 
-def load_report(files: DataFrame) -> DataFrame:
-    """Files loaded and failed per emission directory; directories without a year are skipped."""
-    ok = (F.col("emission_type") != "unknown") & (F.col("pollutant_type") != "unknown")
-    return files.filter(F.col("year").isNotNull()).groupBy("year").agg(
-        F.count_if(ok).alias("loaded"), F.count_if(~ok).alias("failed")
-    )
+def load_report(files: DataFrame, stored: DataFrame) -> DataFrame:
+    """``.tif`` files loaded and failed per emission directory; directories without a year are skipped.
+
+    A file is loaded if ``stored(path)`` has it; a name that tells no type or pollutant does not fail it.
+    """
+    tifs = files.filter(F.col("year").isNotNull() & F.col("filename").endswith(".tif"))
+    there = stored.select("path").distinct().withColumn("_there", F.lit(True))
+    ok = F.col("_there").isNotNull()
+    return tifs.join(there, "path", "left").groupBy("year").agg(F.count_if(ok).alias("loaded"), F.count_if(~ok).alias("failed"))

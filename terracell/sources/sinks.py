@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terracell.session import scratch_root
@@ -21,8 +21,15 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "er
     writer.format(fmt).save(path)
 
 
-def write_table(df: DataFrame, table: str, append: bool = True) -> None:
-    df.write.mode("append" if append else "errorifexists").saveAsTable(table)
+def write_table(df: DataFrame, table: str, append: bool = True, path: str | None = None) -> None:
+    """Append to a table, or make it; a new table's files lie under ``path`` if given."""
+    writer = df.write.mode("append" if append else "errorifexists")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def write_sorted(df: DataFrame, path: str, order: list[Column | str], fmt: str = "parquet") -> None:
+    """Files whose rows, read in order of file name, are in order; no task sorts more than its range."""
+    write_result(df.repartitionByRange(*order).sortWithinPartitions(*order), path, fmt)
 
 
 def to_records(df: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ def score_points(layers: Layers, points: DataFrame, calculator: str, **args: Any
 
 
 def score_csv(spark: SparkSession, layers: Layers, path: str, calculator: str, **args: Any) -> tuple[DataFrame, DataFrame]:
-    """Counts for a coordinate file and its rejected rows.  ``point_id`` is the row's number in the file."""
+    """Counts for coordinate files and their rejected rows.  ``point_id`` is the row's number in the file, and goes on
+    through further files in order of path."""
     good, rejects = validate_xy(read_points_csv(spark, path))
     points = good.withColumnRenamed("row_no", "point_id")
     return score_points(layers, points.select("point_id", "x", "y"), calculator, **args), rejects
@@ -42,17 +43,24 @@ def score_stream(
 ) -> StreamingQuery:
     """Score new CSV files in a folder as they arrive.
 
-    A count depends on its own point only, so batches share no state.  Each batch replaces its
-    own partition of the output, so a batch repeated after a failure leaves no duplicates.
+    A count depends on its own point only, so batches share no state.  A point is told apart by its place in
+    the batch's files; the columns of the file, repeated ids among them, go through to ``output/scored``, and rows that are
+    no coordinates to ``output/rejects``.  Each batch replaces its own partitions, so a batch repeated
+    after a failure leaves no duplicates.
     """
-    source = normalize_xy(spark.readStream.schema(schema).option("header", True).csv(folder))
+    raw = spark.readStream.schema(schema).option("header", True).csv(folder)
+    source = normalize_xy(raw.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start")))
+
+    def write(rows: DataFrame, kind: str, batch_id: int) -> None:
+        kept = rows.withColumn("batch", F.lit(batch_id))
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{output}/{kind}")
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        good, _ = validate_xy(batch)
-        # Names points for good: a batch is read more than once.
-        points = good.withColumn("point_id", F.col("id").cast("long")).select("point_id", "x", "y")
-        scored = score_points(layers, points, calculator, **args).withColumn("batch", F.lit(batch_id))
-        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(output)
+        good, rejects = validate_xy(batch)
+        # The same files are split the same way whenever the batch is read again.
+        points = good.withColumn("point_id", F.xxhash64("_path", "_start", F.monotonically_increasing_id())).drop("_path", "_start")
+        write(score_points(layers, points, calculator, **args), "scored", batch_id)
+        write(rejects.drop("_path", "_start"), "rejects", batch_id)
 
     writer = source.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -7,6 +7,7 @@ import pytest
 from conftest import square
 
 from terracell import grid
+from terracell.operators import nearest as nearest_module
 from terracell.operators.nearest import distance_to_all, distance_to_union, nearest
 
 
@@ -61,6 +62,27 @@ def test_inside_a_polygon_the_distance_is_zero(spark):
     assert got == {"in": 0.0, "out": 50.0, "far": 70.0}
 
 
+def test_a_crowded_spot_is_told_apart(spark, monkeypatch):
+    """All but one of the points lie within two metres: the grid gets fine there, and few candidates are measured."""
+    spot = spark.range(20_000).selectExpr("rand(3) * 2 AS x", "rand(4) * 2 AS y").union(spark.createDataFrame([(200_000.0, 0.0)], "x double, y double"))
+    spot = spark.createDataFrame(spot.collect(), "x double, y double")
+    seen = []
+    join = nearest_module.cell_join
+
+    def counted(left, right, *args, **more):
+        out = join(left, right, *args, **more)
+        seen.append(out)
+        return out
+
+    monkeypatch.setattr(nearest_module, "cell_join", counted)
+    us = [(f"u{i}", 0.03 * i, 2 - 0.03 * i) for i in range(60)]
+    got = {r[0]: r[1] for r in nearest(frame(spark, us), spot).collect()}
+    points = [(r.x, r.y) for r in spot.collect()]
+    for u, x, y in us:
+        assert got[u] == pytest.approx(min(math.hypot(px - x, py - y) for px, py in points))
+    assert seen[-1].count() < 60 * 64 * 16
+
+
 def test_empty_layer(spark):
     empty = spark.createDataFrame([], "name string, x double, y double")
     us = frame(spark, [("u", 0.0, 0.0)])

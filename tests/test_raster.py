@@ -66,6 +66,15 @@ def test_algebra_needs_every_source(spark):
     assert got == {(0, 0): 7.0, (1, 0): None}
 
 
+def test_algebra_counts_sources_not_rows(spark):
+    rows = [("p", 0, 1, 1.0), ("p", 0, 2, 5.0), ("l", 0, 1, 2.0), ("a", 0, 1, 4.0), ("p", 1, 1, 1.0), ("p", 1, 2, 1.0), ("l", 1, 1, 2.0), ("p", 2, 1, 1.0), ("p", 2, 2, None),
+            ("l", 2, 1, 2.0), ("a", 2, 1, 3.0)]
+    df = spark.createDataFrame([(k, "co", c, 0, i, v) for k, c, i, v in rows], "kind string, gas string, col int, row int, rid int, val double")
+    got = {r["col"]: r["val"] for r in add_rasters(df, "kind", ["p", "l", "a"], ["gas"], order="rid").collect()}
+    assert got == {0: 11.0, 2: 6.0}
+
+
 def test_mosaic_keeps_the_last(spark):
-    df = spark.createDataFrame([(0, 0, 1.0, 1), (0, 0, 5.0, 2), (1, 0, 3.0, 1)], "col int, row int, val double, tile int")
-    assert {(r["col"], r["val"]) for r in mosaic(df, "tile").collect()} == {(0, 5.0), (1, 3.0)}
+    df = spark.createDataFrame([(0, 0, 1.0, 1), (0, 0, 5.0, 2), (1, 0, 3.0, 1), (2, 0, 4.0, 1), (2, 0, None, 2), (3, 0, None, 1)], "col int, row int, val double, tile int")
+    assert {(r["col"], r["val"]) for r in mosaic(df, "tile").collect()} == {(0, 5.0), (1, 3.0), (2, 4.0), (3, None)}
+    assert {(r["col"], r["val"]) for r in mosaic(df, None).collect()} == {(0, 5.0), (1, 3.0), (2, 4.0), (3, None)}

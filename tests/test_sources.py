@@ -1,17 +1,20 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from terracell.functions.facilities import open_by_year_prefix, open_in_year
 from terracell.functions.projection import to_metric
-from terracell.operators.attributes import areal_weights, lookup_join, merge_by_id, negative_values
+from terracell.operators.attributes import areal_weights, lookup_join, merge_by_id, negative_values, number_in_order
+from terracell.operators.measures import invalid_rings
 from terracell.operators import attributes
 from terracell.operators.quantiles import exact_quantiles, quantile_level
 from terracell.sources.layers import Layers, read_layer
 from terracell.sources.points import detect_xy, points_from_list, read_points_csv, validate_xy
 from terracell.sources.rasters import load_report, with_raster_meta, write_raster
-from terracell.sources.sinks import preview, write_result, write_table
+from terracell.sources.sinks import preview, write_result, write_sorted, write_table
 
 
 def test_detect_xy():
@@ -28,7 +31,7 @@ def test_csv_rows_are_numbered_across_blocks_and_bad_ones_rejected(spark, tmp_pa
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
         points = read_points_csv(spark, str(path))
-        assert points.rdd.getNumPartitions() > 1
+        assert spark.read.option("header", True).csv(str(path)).rdd.getNumPartitions() > 1
         assert points.filter(F.col("row_no") != F.col("id").cast("long")).count() == 0
         good, rejects = validate_xy(points)
         assert good.count() == 2970 and dict(good.dtypes)["x"] == "double"
@@ -46,14 +49,40 @@ def test_projection(spark):
     df = spark.createDataFrame([(127.5, 38.0), (127.0, 37.5), (126.0, 33.5)], "x double, y double")
     got = [(r["x"], r["y"]) for r in to_metric(df).collect()]
     assert got[0] == pytest.approx((1_000_000, 2_000_000), abs=1e-6)
-    # Meridian scale 0.9996 and known ground distances bound the others.
+    # Meridian scale 0.9996 and known ground distances bound the others; the next test settles them.
     assert got[1][0] == pytest.approx(1_000_000 - 0.9996 * 44_196, rel=1e-4)
-    assert got[1][1] == pytest.approx(2_000_000 - 0.9996 * 55_491 + 118, abs=40)
     assert to_metric(df, 5179) is df
     with pytest.raises(ValueError, match="Unsupported SRID 3857"):
         to_metric(df, 3857)
 
 
+def test_projection_is_conformal_and_true_along_its_meridian(spark):
+    """These two properties alone define the projection: northings of the central meridian are its scaled arc
+    length on the ellipsoid (here by numerical integration), and small circles stay circles everywhere."""
+    a, f, k0 = 6378137.0, 1 / 298.257222101, 0.9996
+    e2 = f * (2 - f)
+
+    def arc(lat1, lat2, n=20_000):
+        h = math.radians(lat2 - lat1) / n
+        curve = [a * (1 - e2) / (1 - e2 * math.sin(math.radians(lat1) + i * h) ** 2) ** 1.5 for i in range(n + 1)]
+        return h / 3 * (curve[0] + curve[-1] + 4 * sum(curve[1:-1:2]) + 2 * sum(curve[2:-1:2]))
+
+    lats = [33.0, 35.5, 37.0, 38.0, 38.6]
+    d = 1e-5
+    spots = [(lon, lat) for lon in (124.6, 126.0, 127.0, 129.5, 131.8) for lat in (33.2, 36.0, 38.5)]
+    rows = [(127.5, lat) for lat in lats] + [(x + i * d, y + j * d) for x, y in spots for i, j in ((1, 0), (-1, 0), (0, 1), (0, -1))]
+    got = [(r["x"], r["y"]) for r in to_metric(spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], "i int, x double, y double").coalesce(1)).orderBy("i").collect()]
+    for (x, y), lat in zip(got, lats):
+        assert x == pytest.approx(1_000_000, abs=1e-6) and y == pytest.approx(2_000_000 + k0 * arc(38.0, lat), abs=1e-3)
+    for n, (_, lat) in enumerate(spots):
+        (ax, ay), (bx, by), (cx, cy), (ex, ey) = got[len(lats) + 4 * n : len(lats) + 4 * n + 4]
+        w = 1 - e2 * math.sin(math.radians(lat)) ** 2
+        along = a / math.sqrt(w) * math.cos(math.radians(lat)) * 2 * math.radians(d)
+        up = a * (1 - e2) / w**1.5 * 2 * math.radians(d)
+        east, north = ((ax - bx) / along, (ay - by) / along), ((cx - ex) / up, (cy - ey) / up)
+        assert north[0] == pytest.approx(-east[1], abs=2e-7) and north[1] == pytest.approx(east[0], abs=2e-7)
+
+
 def test_lifetime_rules(spark):
     rows = [
         (1, "2001-05-05", None, 1), (2, "2010-12-31", None, 1), (3, "2011-01-01", None, 1), (4, "2001-01-01", "2009-12-31", 1),
@@ -75,7 +104,10 @@ def test_raster_file_names(spark):
     }
     df = with_raster_meta(spark.createDataFrame([(n,) for n in names], "path string"))
     assert {r["path"]: (r["year"], r["emission_type"], r["pollutant_type"]) for r in df.collect()} == names
-    assert {r["year"]: (r["loaded"], r["failed"]) for r in load_report(df).collect()} == {2001: (1, 0), 2005: (1, 0), 2010: (2, 1)}
+    stored = df.filter(~F.col("path").contains("2005"))
+    more = with_raster_meta(spark.createDataFrame([("/d/2010_emission/readme.txt",), ("/d/2010_emission/emission.p.co.tif",)], "path string"))
+    report = load_report(df.union(more), stored.select("path"))
+    assert {r["year"]: (r["loaded"], r["failed"]) for r in report.collect()} == {2001: (1, 0), 2005: (0, 1), 2010: (3, 1)}
 
 
 def test_reloading_a_file_replaces_it(spark, tmp_path):
@@ -99,6 +131,69 @@ def test_layers_by_year_and_version(spark, tmp_path):
     versions = spark.createDataFrame([(2020, "v002"), (2020, "v004"), (2015, "v002")], "year int, version string")
     lay = Layers.from_frames({"landuse_edge": versions})
     assert lay.version("landuse_edge", 2020, {2020: "v004"}, "v002").first()["version"] == "v004"
+    plain = Layers.from_frames({"landuse_edge": versions.drop("version"), "road_lane": versions.drop("year")})
+    with pytest.raises(ValueError, match="'landuse_edge' has no column 'version'"):
+        plain.version("landuse_edge", 2020, {}, "v002")
+    with pytest.raises(ValueError, match="'road_lane' has no column 'year'"):
+        plain.at("road_lane", 2020)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json", "orc"])
+def test_plain_files_keep_their_stamps(spark, tmp_path, fmt):
+    edges = spark.createDataFrame(
+        [(f"{y}{v}", y, v, s, 110, 1.0, 2.0, 3.0, 4.0) for y in (2015, 2020) for v in ("v002", "v004") for s in (0, 1)],
+        "fid string, year int, version string, seg int, code int, x1 double, y1 double, x2 double, y2 double",
+    ).withColumn("fid", F.regexp_replace("fid", "v", "").cast("long"))
+    borders = edges.withColumnRenamed("version", "sigungu_cd").drop("fid", "code")
+    for name, df in (("landuse_edge", edges), ("border_edge", borders), ("river_edge", edges.drop("year"))):
+        df.write.format(fmt).option("header", True).save(str(tmp_path / name))
+    lay = Layers.from_folder(spark, str(tmp_path), fmt)
+    assert lay.version("landuse_edge", 2020, {2020: "v004"}, "v002").count() == 2
+    assert lay.border("sgg", 2015)[0].count() == 4
+    with pytest.raises(ValueError, match="river_edge"):
+        lay.at("river_edge", 2020)
+
+
+def test_rows_are_numbered_and_written_in_order(spark, tmp_path):
+    df = spark.range(1000).selectExpr("cast((id * 7919) % 1009 as int) AS v", "id % 3 AS g")
+    got = number_in_order(df, [F.desc("v")]).collect()
+    assert [r["v"] for r in sorted(got, key=lambda r: r["rank"])] == sorted((r["v"] for r in got), reverse=True)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_sorted(df, str(tmp_path / "o"), ["v"], "csv")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(p for p in (tmp_path / "o").iterdir() if p.name.startswith("part"))
+    values = [int(line.split(",")[0]) for p in files for line in p.read_text().splitlines()[1:]]
+    assert len(files) > 1 and values == sorted(values) and len(values) == 1000
+
+
+def test_tables_are_made_and_appended_to(spark, tmp_path):
+    name = f"t{tmp_path.name.replace('-', '_')}"
+    write_table(spark.range(3), name, path=str(tmp_path / "t"))
+    write_table(spark.range(2), name)
+    assert spark.table(name).count() == 5 and spark.read.parquet(str(tmp_path / "t")).count() == 5
+    with pytest.raises(Exception, match="exists"):
+        write_table(spark.range(1), name, append=False)
+    spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize(
+    ("corners", "bad"),
+    [
+        ([(0, 0), (4, 0), (4, 4), (0, 4)], False),
+        ([(0, 0), (2, 0), (4, 0), (4, 4), (0, 4)], False),
+        ([(0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (2, 2)], True),  # touches itself at a corner
+        ([(0, 0), (4, 0), (4, 4), (2, 0), (0, 4)], True),  # a corner on another edge
+        ([(0, 0), (4, 0), (4, 4), (6, 4), (4, 4), (0, 4)], True),  # spike and back
+        ([(0, 0), (6, 0), (4, 0), (4, 4), (0, 4)], True),  # runs back over its own edge
+    ],
+)
+def test_rings_that_touch_themselves(spark, corners, bad):
+    from conftest import ring
+
+    got = invalid_rings(spark.createDataFrame(ring(corners, fid=1)), ["fid"]).collect()
+    assert [r["self_crossing"] for r in got] == ([True] if bad else [])
     with pytest.raises(ValueError, match="Unknown format 'xls'"):
         read_layer(spark, "p", "bus_stop", "xls")
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from terracell.operators.raster import RasterGrid
 from terracell.plans.points import file_calculator
 from terracell.plans.registry import VARIABLES, BufferSize, compute, compute_many, find
 from terracell.sources.layers import Layers
@@ -16,6 +17,7 @@ from terracell.streaming.scoring import score_csv, score_stream
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 from check import rows_of  # noqa: E402
+from queries.support import ORACLES, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,13 +51,46 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_variable_has_a_query_and_every_query_an_oracle():
     find("bus_stop_count")
     assert len(VARIABLES) == 59
-    covered = set(entry.queries())
+    covered = set(QUERIES)
     assert {v for v in VARIABLES if v not in covered} == {"relative_elevation"}  # four queries of its own
-    assert set(entry.oracle_sql()) == covered
+    assert set(ORACLES) == covered <= set(entry.queries())
+
+
+def test_census_variables_take_census_units(spark):
+    units = [(f"u{k}", s, 2023, *e) for k in (0, 1) for s, e in enumerate([(k, 0., k + 1., 0.), (k + 1., 0., k + 1., 1.), (k + 1., 1., k, 1.), (k, 1., k, 0.)])]
+    units = spark.createDataFrame([(u, s, y, *[100. * v for v in e]) for u, s, y, *e in units], "tot_reg_cd string, seg int, year int, x1 double, y1 double, x2 double, y2 double")
+    centers = spark.createDataFrame([("1101000000001", 100.0, 50.0)], "tot_reg_cd string, x double, y double")
+    people = spark.createDataFrame([("u0", 2020, 10, 4, 6), ("u1", 2020, 20, 8, 12)], "tot_reg_cd string, year int, pop int, pop_m int, pop_f int")
+    frames = {"border_edge_jgg": units, "centers": centers, "sgis_pop": people}
+    got = compute(Layers.from_frames(frames), "population", year=2020, radius=500).first()
+    assert (got["POP_0500"], got["POP_M_0500"]) == (pytest.approx(30), pytest.approx(12))
+    frames["sgis_pop"] = people.withColumn("tot_reg_cd", F.lit("11010"))
+    with pytest.raises(ValueError, match="No row of 'sgis_pop'"):
+        compute(Layers.from_frames(frames), "population", year=2020, radius=500)
+
+
+def test_two_georeferences_give_two_joins(spark):
+    cells = [("dem", c, r, 1.0 * c) for c in range(4) for r in range(4)] + [("dsm", c, r, 10.0) for c in range(2) for r in range(2)]
+    frames = {"raster_cell": spark.createDataFrame(cells, "layer string, col int, row int, val double")}
+    ring = [("z", s, *e) for s, e in enumerate([(0., 0., 40., 0.), (40., 0., 40., 40.), (40., 40., 0., 40.), (0., 40., 0., 0.)])]
+    frames["border_edge"] = spark.createDataFrame(ring, "sigungu_cd string, seg int, x1 double, y1 double, x2 double, y2 double")
+    lay = Layers.from_frames(frames, timeless=["border_edge"])
+    grids = {"dem": RasterGrid(0.0, 0.0, 10.0), "dsm": RasterGrid(0.0, 0.0, 20.0)}
+    both = compute(lay, "border_topographic_model", year=2010, grid=grids).first()
+    assert (both["dem_count"], both["dem_sum"], both["dsm_count"], both["dsm_sum"]) == (16, 24.0, 4, 40.0)
+    one = compute(lay, "border_topographic_model", year=2010, grid=grids["dem"]).first()
+    assert (one["dem_count"], one["dsm_count"]) == (16, 4)
+    away = lay.get("raster_cell").filter("layer = 'dem' OR col > 9")
+    lay = Layers.from_frames({**frames, "raster_cell": away}, timeless=["border_edge"])
+    assert compute(lay, "border_topographic_model", year=2010, grid=grids["dem"]).first()["dsm_count"] is None
+    with pytest.raises(ValueError, match="georeference of raster 'dem'"):
+        compute(lay, "border_topographic_model", year=2010)
 
 
 def test_arguments_are_checked_before_any_work():
     layers = Layers(lambda name: pytest.fail("touched a layer"))
+    with pytest.raises(ValueError, match="Invalid option 'exact'"):
+        compute(layers, "landuse", year=2020, radius=500, exact=True)
     with pytest.raises(ValueError, match="Invalid year 1999. Valid years are: 2000, 2005, 2010, 2015, 2020"):
         compute(layers, "border_river", year=1999)
     with pytest.raises(ValueError, match="Invalid buffer size '250'"):
@@ -78,7 +113,7 @@ def test_year_2000_reads_2005_and_zero_registrations(spark):
     cars = spark.createDataFrame([("11010", 2010, 0)], "sgg_cd string, year int, value bigint")
     border = [(s, f"n{s}", "11010", *e) for s, e in enumerate([(0., 0., 9., 0.), (9., 0., 9., 9.), (9., 9., 0., 9.), (0., 9., 0., 0.)])]
     edges = spark.createDataFrame(border, "seg int, sigungu_nm string, sigungu_cd string, x1 double, y1 double, x2 double, y2 double")
-    lay = Layers.from_frames({"railstation": stations, "centers": centers, "car_registration": cars, "border_edge": edges})
+    lay = Layers.from_frames({"railstation": stations, "centers": centers, "car_registration": cars, "border_edge": edges}, timeless=["border_edge"])
     assert compute(lay, "rail_station_count", year=2000, radius=BufferSize.MEDIUM).first()["C_Railstation_0500"] == 2
     row = compute(lay, "border_car_registration", year=2010).first()
     assert row["area"] == 81 and row["area_per_car"] is None
@@ -91,6 +126,7 @@ def test_grid_borders_ignore_the_year(spark):
     rows = [("c1", 0, 0., 0., 9., 0.), ("c1", 1, 9., 0., 0., 9.), ("c1", 2, 0., 9., 0., 0.)]
     grid = spark.createDataFrame(rows, "tot_reg_cd string, seg int, x1 double, y1 double, x2 double, y2 double")
     town = grid.withColumnRenamed("tot_reg_cd", "adm_dr_cd").withColumn("year", F.lit(2010))
+    grid = grid.withColumn("year", F.lit(2023)).union(grid.withColumn("year", F.lit(2020)))
     rail = spark.createDataFrame([(1, 2010, 1., 1., 4., 1.)], "fid int, year int, x1 double, y1 double, x2 double, y2 double")
     lay = Layers.from_frames({"border_edge_jgg": grid, "border_edge_emd": town, "rail_seg": rail})
     assert compute(lay, "border_rail", year=2010, border_type="jgg").first().asDict() == {"tot_reg_cd": "c1", "rail_length": 3.0}
@@ -110,8 +146,14 @@ def test_scoring_files_once_and_as_they_arrive(spark, tmp_path):
     out = str(tmp_path / "out")
     args = (spark, lay, str(file.parent), "id string, lon string, lat string", "bus_stop", out, str(tmp_path / "state"))
     score_stream(*args, year=2023, radius=100).awaitTermination()
-    (file.parent / "b.csv").write_text("id,lon,lat\n8,127.5,38.0\n")
+    (file.parent / "b.csv").write_text("id,lon,lat\n5,127.5,38.0\n5,127.5,38.0\n,127.5,38.0\n")
     score_stream(*args, year=2023, radius=100).awaitTermination()
-    assert {(r["point_id"], r["C_Bus_0100"]) for r in spark.read.parquet(out).collect()} == {(5, 5), (7, 0), (8, 5)}
+    rows = spark.read.parquet(f"{out}/scored").collect()
+    # Ids may repeat or lack; every row of every file is a point of its own.
+    assert sorted((r["id"] or "", r["C_Bus_0100"]) for r in rows) == [("", 5), ("5", 5), ("5", 5), ("5", 5), ("7", 0)]
+    assert len({r["point_id"] for r in rows}) == 5
+    assert [r["id"] for r in spark.read.parquet(f"{out}/rejects").collect()] == ["6"]
+    scored, _ = score_csv(spark, lay, str(file.parent), "bus_stop", year=2023, radius=100)
+    assert {(r["point_id"], r["C_Bus_0100"]) for r in scored.collect()} == {(1, 5), (3, 0), (4, 5), (5, 5), (6, 5)}
     with pytest.raises(Exception, match="exists"):
         write_result(stops, out)
