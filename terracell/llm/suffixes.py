@@ -14,7 +14,7 @@ From 32 bytes on Spark sorts, and only positions that the text itself selects ta
 3. The windows that are left are named by the pair of 64-byte names 36 apart, which passes the threshold. The first of
    equal windows stays, later ones go.
 
-A name that very many different runs share is not settled in one task: its windows are sorted once more by their own names.
+The halves of a name that many different runs share never meet: their windows are sorted by their own names instead.
 Texts travel compressed, once to cut out the runs of step 2 and once for the result; all else is rows of numbers.
 """
 
@@ -31,8 +31,9 @@ from terracell.llm.common import stash, text_blocks
 from terracell.llm.repeats import OCCURRENCE, U64, covered, keyed, lead_of, occurrences, own_id, scramble, settle, stretches, unpacked, with_verdicts
 
 GRAM = 32
-# Halves of runs that one task compares at once; a name shared by more is settled by its windows.
+# Halves of runs that one task compares at once, and how many of one name; those of a name with more are not gathered.
 CHUNK = 1 << 15
+CROWD = 2048
 # Window starts looked at together.
 STEP = 1 << 21
 
@@ -184,75 +185,58 @@ def _windows(table: pa.Table, length: int) -> tuple[np.ndarray, ...]:
     return row, offset, window
 
 
-def _settle_halves(rows: DataFrame, length: int) -> DataFrame:
-    """Windows that stand earlier too (name null); windows of crowded names as occurrences, still to be settled."""
-    names_ = ["name", "span", "doc", "twin", "first", "more"]
+def _loose(halves: DataFrame, length: int) -> DataFrame:
+    """The windows of halves as occurrences of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, CROWD):
+                table = pa.Table.from_batches([batch.slice(at, CROWD)]).combine_chunks()
+                row, offset, window = _windows(table, length)
+                name, doc, twin, first = (table.column(c).to_numpy()[row] for c in ("name", "doc", "twin", "first"))
+                yield occurrences(window, name.view(U64), doc, twin, first + offset, np.zeros(len(row), np.int32))
+
+    return halves.mapInArrow(run, OCCURRENCE)
+
+
+def _settle_halves(halves: DataFrame, length: int) -> DataFrame:
+    """(doc, twin, first, more): windows that stand earlier too. No name has many halves."""
+    columns = ["doc", "twin", "first", "more"]
 
     def told(table: pa.Table) -> pa.RecordBatch:
-        """All rows of the names in ``table`` are in it."""
+        """All halves of the names in ``table`` are in it."""
         name = table.column("name").to_numpy()
-        doc, twin, first, more = (table.column(c).to_numpy() for c in ("doc", "twin", "first", "more"))
-        keep = np.zeros(len(name), bool)
-        same = name[1:] == name[:-1]
-        keep[1:] |= same
-        keep[:-1] |= same
-        table, name, doc, twin, first = table.filter(pa.array(keep)), *(x[keep] for x in (name, doc, twin, first))
-        if not len(name):
-            return _empty()
-        row, offset, window = _windows(table, length)
+        same = np.concatenate([[False], name[1:] == name[:-1], [False]])
+        table = table.filter(pa.array(same[1:] | same[:-1])).combine_chunks()
+        name, doc, twin, first = (table.column(c).to_numpy() for c in ("name", "doc", "twin", "first"))
+        row, offset, window = _windows(table, length) if len(table) else (np.empty(0, np.int64),) * 3
         place, owner = first[row] + offset, doc[row]
-        order = np.lexsort((place, owner, window, name[row]))
-        lead = order[lead_of(name[row][order], window[order])]
-        late = np.zeros(len(order), bool)
-        late[order] = (owner[order] != owner[lead]) | (place[order] != place[lead])
-        # Neighbouring windows of one row become one verdict.
-        begin = late & np.append(True, ~late[:-1] | (row[1:] != row[:-1]))
-        end = late & np.append(~late[1:] | (row[1:] != row[:-1]), True)
-        begin, end = np.flatnonzero(begin), np.flatnonzero(end)
-        none = pa.nulls(len(begin), pa.int64())
-        at = row[begin]
-        return pa.RecordBatch.from_arrays([none, none, pa.array(doc[at]), pa.array(twin[at]), pa.array(place[begin]), pa.array((end - begin).astype(np.int32))], names_)
-
-    def loose(table: pa.Table) -> pa.RecordBatch:
-        row, offset, window = _windows(table, length)
-        name, doc, twin, first = (table.column(c).to_numpy()[row] for c in ("name", "doc", "twin", "first"))
-        columns = [window.view(np.int64), name, doc, twin, first + offset, np.zeros(len(row), np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names_)
-
-    def _empty() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([], k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())], names_)
+        late = np.zeros(len(row), bool)
+        if len(row):
+            order = np.lexsort((place, owner, window, name[row]))
+            lead = order[lead_of(name[row][order], window[order])]
+            late[order] = (owner[order] != owner[lead]) | (place[order] != place[lead])
+        # Neighbouring windows of one half become one verdict.
+        joined = np.concatenate([[False], late[1:] & late[:-1] & (row[1:] == row[:-1]), [False]]) if len(row) else np.zeros(1, bool)
+        begin, end = np.flatnonzero(late & ~joined[:-1]), np.flatnonzero(late & ~joined[1:])
+        arrays = [doc[row[begin]], twin[row[begin]], place[begin], (end - begin).astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, crowded = None, None
+        held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            if len(held) < CHUNK:
-                continue
             name = held.column("name").to_numpy()
-            cut = int(np.flatnonzero(name != name[-1])[-1]) + 1 if name[0] != name[-1] else 0
-            if name[0] == crowded:
-                more = int(np.flatnonzero(name == crowded)[-1]) + 1
-                yield loose(held.slice(0, more).combine_chunks())
-                if more < cut:
-                    yield told(held.slice(more, cut - more).combine_chunks())
-                held = held.slice(max(cut, more))
-            elif cut:
-                yield told(held.slice(0, cut).combine_chunks())
+            if len(name) >= CHUNK and name[0] != name[-1]:
+                # The last name may go on in the next batch.
+                cut = int(np.flatnonzero(name != name[-1])[-1]) + 1
+                yield told(held.slice(0, cut))
                 held = held.slice(cut)
-            else:
-                crowded = name[0]
-                yield loose(held.combine_chunks())
-                held = None
         if held is not None and len(held):
-            name = held.column("name").to_numpy()
-            more = int((name == crowded).sum()) if crowded is not None else 0
-            if more:
-                yield loose(held.slice(0, more).combine_chunks())
-            if more < len(held):
-                yield told(held.slice(more).combine_chunks())
+            yield told(held)
 
-    return rows.repartition("name").sortWithinPartitions("name").mapInArrow(run, OCCURRENCE)
+    return halves.repartition("name").sortWithinPartitions("name").mapInArrow(run, "doc long, twin int, first long, more int")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,12 +251,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         raise ValueError(f"length must be at least {3 * GRAM - 1}")
     texts = keyed(docs, id_col, text_col)
     verdicts = stash(settle(_run_rows(texts, length)), "runs")
-    halves = _settle_halves(_halves(texts, verdicts.filter("open"), length), length)
-    halves = stash(halves, "halves")
-    places = verdicts.filter("not open").drop("open").union(halves.filter("name is null").select("doc", "twin", "first", "more"))
-    crowded = halves.filter("name is not null")
-    if not crowded.isEmpty():
-        places = places.union(settle(crowded).filter("not open").drop("open"))
+    places = verdicts.filter("not open").drop("open")
+    halves = stash(_halves(texts, verdicts.filter("open"), length), "halves")
+    crowded = stash(halves.groupBy("name").count().filter(F.col("count") > CROWD).select("name"), "crowded")
+    if crowded.isEmpty():
+        places = places.union(_settle_halves(halves, length))
+    else:
+        places = places.union(_settle_halves(halves.join(crowded, "name", "left_anti"), length))
+        loose = _loose(halves.join(crowded, "name", "left_semi"), length)
+        places = places.union(settle(loose).filter("not open").drop("open"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])), pa.binary()]

@@ -67,10 +67,11 @@ def mixed_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "length", "chunk"), [(1, 100, 1 << 15), (2, 100, 4), (3, 130, 64)])
-def test_removal_against_brute_force(spark, monkeypatch, seed, length, chunk):
-    """A small chunk sends names shared by few runs the way of crowded ones."""
-    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+@pytest.mark.parametrize(("seed", "length", "crowd"), [(1, 100, 2048), (2, 100, 2), (3, 130, 5)])
+def test_removal_against_brute_force(spark, monkeypatch, seed, length, crowd):
+    """With a small crowd, names that few runs share are settled by windows."""
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    monkeypatch.setattr(suffixes, "CHUNK", 64)
     rows = mixed_rows(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert removal(df, length) == plain_removal(rows, length)
@@ -200,3 +201,9 @@ def test_settle_over_many_batches(spark):
         elif len(several[n]) > 1 or (n == 60 and t == 2):
             want.append((d, t, f, True))
     assert got == sorted(want)
+
+
+def test_removal_on_the_corpus(spark, corpus):
+    rows = [(d, t) for d, t, _ in corpus]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert removal(df) == plain_removal(rows, 100)
