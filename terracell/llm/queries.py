@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terracell.llm import decontaminate, mixing, pseudonyms, quality, sentence_spans, simhash, suffixes, token_counts, token_files, toxicity
+from terracell.llm import decontaminate, mixing, oracles, pseudonyms, quality, sentence_spans, simhash, suffixes, token_counts, token_files, toxicity
 from terracell.llm.common import documents, scratch_path
 from terracell.session import ship
 
@@ -68,14 +68,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-@query("op6_quality")
+RULES = quality.Rules()
+
+
+@query("op6_quality", oracles.quality_sql(RULES.min_words, RULES.repeat_words, RULES.ngram_chars, RULES.line_chars, RULES.symbols))
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(documents(spark, sf_dir))
+    return quality.quality_report(documents(spark, sf_dir), RULES)
+
+
+SPANS = {"several": 2, "words": 25, "lone": 50}
 
 
-@query("op7_sentence_spans")
+@query("op7_sentence_spans", oracles.spans_sql(**SPANS))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_spans.drop_repeated_spans(documents(spark, sf_dir))
+    return sentence_spans.drop_repeated_spans(documents(spark, sf_dir), **SPANS)
 
 
 @query("op8_token_counts")
@@ -83,7 +89,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op9_substrings")
+@query("op9_substrings", oracles.removal_sql(100))
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removal_report(documents(spark, sf_dir))
 
