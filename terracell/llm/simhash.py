@@ -177,11 +177,13 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, tree: int = TRE
 
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, fp, text_hash), and (fp, least, n, label) of the distinct fingerprints."""
+    """Rows (doc_id, fp, text_hash), and (fp, best, n, label) of the distinct fingerprints; best is the row that
+    comes first: with an id before without, then the smallest id, then the least text hash."""
     rows = stash(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    distinct = stash(rows.groupBy("fp").agg(F.min(row).alias("best"), F.count("*").alias("n")), "distinct")
     labels = link_fingerprints(distinct.select("fp")).withColumnRenamed("node", "fp")
-    return rows, distinct.join(labels, "fp", "left").select("fp", "least", "n", F.coalesce("label", "fp").alias("label"))
+    return rows, distinct.join(labels, "fp", "left").select("fp", "best", "n", F.coalesce("label", "fp").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,7 +195,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows give no rows, other columns are ignored.
     """
     rows, labelled = _labelled(docs, id_col, text_col)
-    groups = labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.sum("n").alias("n_docs"))
+    groups = labelled.groupBy("label").agg(F.min("best").getField("id").alias("component_id"), F.sum("n").alias("n_docs"))
     named = labelled.select("fp", "label").join(groups, "label").select("fp", "component_id", "n_docs")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_docs")
 
@@ -205,8 +207,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     without id stay only where their whole component has none.
     """
     rows, labelled = _labelled(docs, id_col, text_col)
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")))
-    winners = rows.join(labelled.select("fp", "label"), "fp").groupBy("label").agg(best.alias("one")).select("one.id", "one.hash")
+    winners = labelled.groupBy("label").agg(F.min("best").alias("one")).select("one.id", "one.hash")
     winners = winners.join(
         rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
     )
