@@ -176,12 +176,17 @@ def link_fingerprints(distinct: DataFrame, radius: int = RADIUS, tree: int = TRE
     return components(_tree_links(rest, radius).union(_midway_links(crowd)))
 
 
+def nodes(rows: DataFrame) -> DataFrame:
+    """(fp, best, n) of the distinct fingerprints of ``rows(doc_id, fp, text_hash)``; best is the row that comes first:
+    with an id before without, then the smallest id, then the least text hash."""
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    return stash(rows.groupBy("fp").agg(F.min(row).alias("best"), F.count("*").alias("n")), "distinct")
+
+
 def _labelled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, fp, text_hash), and (fp, best, n, label) of the distinct fingerprints; best is the row that
-    comes first: with an id before without, then the smallest id, then the least text hash."""
+    """Rows (doc_id, fp, text_hash), and (fp, best, n, label) of the distinct fingerprints."""
     rows = stash(fingerprints(docs, id_col, text_col), "fingerprints")
-    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    distinct = stash(rows.groupBy("fp").agg(F.min(row).alias("best"), F.count("*").alias("n")), "distinct")
+    distinct = nodes(rows)
     labels = link_fingerprints(distinct.select("fp")).withColumnRenamed("node", "fp")
     return rows, distinct.join(labels, "fp", "left").select("fp", "best", "n", F.coalesce("label", "fp").alias("label"))
 
@@ -207,6 +212,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     without id stay only where their whole component has none.
     """
     rows, labelled = _labelled(docs, id_col, text_col)
+    return keep_first(docs, rows, labelled, id_col, text_col)
+
+
+def keep_first(docs: DataFrame, rows: DataFrame, labelled: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that come first in the components of ``labelled(best, label)``."""
     winners = labelled.groupBy("label").agg(F.min("best").alias("one")).select("one.id", "one.hash")
     winners = winners.join(
         rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
