@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terracell.llm import decontaminate, mixing, near_copies, quality
+from terracell.llm import decontaminate, mixing, quality, simhash
 from terracell.llm.common import documents, scratch_path
 from terracell.llm.queries import benchmark, encode_to_files, query
 
@@ -15,8 +15,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): that of the smallest id."""
-    return near_copies.keep_one(docs)
+    """One document of each group whose fingerprints link (three-word shingles, at most two bits apart): that of the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
