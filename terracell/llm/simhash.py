@@ -212,20 +212,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     without id stay only where their whole component has none.
     """
     rows, labelled = _labelled(docs, id_col, text_col)
-    return keep_first(docs, rows, labelled, id_col, text_col)
-
-
-def keep_first(docs: DataFrame, rows: DataFrame, labelled: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` that come first in the components of ``labelled(best, label)``."""
-    winners = labelled.groupBy("label").agg(F.min("best").alias("one")).select("one.id", "one.hash")
-    winners = winners.join(
-        rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
-    )
-    winners = stash(winners.select("id", "hash", "n").distinct(), "winners")
+    groups = labelled.groupBy("label").agg(F.min("best").alias("one"), F.sum("n").alias("total")).filter("total > 1")
+    several = labelled.select("fp", "label").join(groups, "label").select("fp", "one")
+    # What goes is told by id and text; only repeated rows of the one that stays need another look.
+    mates = rows.join(several, "fp").groupBy("doc_id", "text_hash").agg(F.first("one").alias("one"), F.count("*").alias("n"))
+    stays = F.col("doc_id").eqNullSafe(F.col("one.id")) & (F.col("text_hash") == F.col("one.hash"))
+    told = stash(mates.filter(~stays | (F.col("n") > 1)).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), stays.alias("again")), "told")
     row = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
     keyed = docs.select(row.alias("row"), F.col(f"`{id_col}`").cast("long").alias("own"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("own_hash"))
-    kept = keyed.join(winners, F.col("own").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")))
-    out = kept.filter("n = 1").select("row")
-    if not winners.filter("n > 1").isEmpty():
-        out = out.union(kept.filter("n > 1").groupBy("id", "hash").agg(F.first("row").alias("row")).select("row"))
+    same = F.col("own").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash"))
+    # Told rows grow with the input, so they are never broadcast, whatever their number.
+    out = keyed.hint("merge").join(told, same, "left_anti").select("row")
+    again = told.filter("again")
+    if not again.isEmpty():
+        out = out.union(keyed.join(again, same).groupBy("id", "hash").agg(F.first("row").alias("row")).select("row"))
     return out.select("row.*")
