@@ -80,3 +80,69 @@ t AS (SELECT doc_id, count(*) AS n_sentences, sum(CASE WHEN gone THEN 1 ELSE 0 E
   string_agg(CASE WHEN gone THEN '' ELSE piece END, '' ORDER BY j) AS text FROM e GROUP BY doc_id)
 SELECT d.doc_id, coalesce(t.n_sentences, 0) AS n_sentences, cast(coalesce(t.n_removed, 0) AS bigint) AS n_removed,
   cast(coalesce(t.n_spans, 0) AS bigint) AS n_spans, coalesce(t.text, '') AS text FROM documents d LEFT JOIN t ON t.doc_id = d.doc_id"""
+
+
+def negatives_sql(every: int, positives: int, negatives: int, low: int, high: int, scale: int) -> str:
+    """Hard negatives: all anchors against all rows, ranked by windows. Vectors have one length."""
+    return f"""WITH q AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, cast(list_dot_product(a.v, b.v) AS bigint) AS score
+  FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % {every} = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE label = own) x WHERE k <= {positives}),
+n AS (SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS k
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.own AND {low} * p.positive_score <= {high} * s.score AND s.score <= p.positive_score)
+SELECT anchor_id, positive_id, cast(k AS integer) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= {negatives}"""
+
+
+def manifest_sql(every: int) -> str:
+    """Merkle manifest: both trees by recursion over their levels, proofs and folds over the siblings. Ids are unique."""
+
+    def told(x: str) -> str:
+        return f"coalesce(strlen(cast({x} AS varchar)) || ':' || cast({x} AS varchar), '-')"
+
+    def tree(name: str, start: str) -> str:
+        return f"""{name}(grp, level, pos, n, h) AS (
+  {start}
+  UNION ALL SELECT grp, level + 1, pos // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY grp, level, pos // 2)"""
+
+    head, tail = (" || ".join(told(x) for x in names) for names in (("doc_id", "source", "lang"), ("text",)))
+    return f"""WITH RECURSIVE crc(doc_id, i, c) AS (
+  SELECT doc_id, 0, cast(4294967295 AS bigint) FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT doc_id, i + 1, CASE WHEN i % 9 = 0
+      THEN xor(c, cast(unicode(substring(cast(doc_id AS varchar), i // 9 + 1, 1)) AS bigint))
+      WHEN c & 1 = 1 THEN xor(c >> 1, cast(3988292384 AS bigint)) ELSE c >> 1 END
+    FROM crc WHERE i < 9 * length(cast(doc_id AS varchar))),
+hit AS (SELECT doc_id, xor(c, cast(4294967295 AS bigint)) % {every} = 0 AS tampered FROM crc WHERE i = 9 * length(cast(doc_id AS varchar))),
+leaf AS (SELECT d.doc_id, d.lang, sha256({head.replace("doc_id", "d.doc_id")} || {told("n_chars")} || {tail}) AS leaf,
+  sha256({head.replace("doc_id", "d.doc_id")} || {told("n_chars + CASE WHEN tampered THEN 1 ELSE 0 END")} || {tail}) AS version,
+  row_number() OVER (PARTITION BY lang ORDER BY d.doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM documents d JOIN hit ON hit.doc_id = d.doc_id),
+{tree("low", "SELECT lang, 0, pos, n, leaf FROM leaf")},
+sub AS (SELECT grp AS lang, h AS subroot, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS g, count(*) OVER () AS n FROM low WHERE n = 1),
+{tree("high", "SELECT 0, 0, g, n, subroot FROM sub")},
+steps AS (
+  SELECT f.doc_id, low.level, t.level IS NOT NULL AS has, t.h, t.pos < low.pos AS before FROM leaf f JOIN low ON low.grp IS NOT DISTINCT FROM f.lang AND low.pos = f.pos >> low.level AND low.n > 1
+    LEFT JOIN low t ON t.grp IS NOT DISTINCT FROM low.grp AND t.level = low.level AND t.pos = xor(low.pos, 1)
+  UNION ALL
+  SELECT f.doc_id, 1000 + high.level, t.level IS NOT NULL, t.h, t.pos < high.pos FROM leaf f JOIN sub ON sub.lang IS NOT DISTINCT FROM f.lang JOIN high ON high.pos = sub.g >> high.level AND high.n > 1
+    LEFT JOIN high t ON t.level = high.level AND t.pos = xor(high.pos, 1)),
+way AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY level) AS k FROM steps),
+fold(doc_id, k, h) AS (
+  SELECT doc_id, 0, version FROM leaf
+  UNION ALL SELECT f.doc_id, f.k + 1, sha256(CASE WHEN NOT w.has THEN f.h WHEN w.before THEN w.h || f.h ELSE f.h || w.h END)
+    FROM fold f JOIN way w ON w.doc_id = f.doc_id AND w.k = f.k + 1),
+proofs AS (SELECT doc_id, sha256(coalesce(string_agg(h, '' ORDER BY k), '')) AS proof FROM way GROUP BY doc_id),
+ends AS (SELECT doc_id, arg_max(h, k) AS folded FROM fold GROUP BY doc_id),
+top AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT f.doc_id, f.leaf, sub.subroot, top.root, coalesce(p.proof, sha256('')) AS proof_sha256, e.folded AS folded_root, e.folded = top.root AS verified
+FROM leaf f JOIN sub ON sub.lang IS NOT DISTINCT FROM f.lang JOIN ends e ON e.doc_id = f.doc_id CROSS JOIN top LEFT JOIN proofs p ON p.doc_id = f.doc_id"""
+
+
+def duplicates_sql() -> str:
+    """Exact duplicates: windows over the normalised texts. Ids are unique."""
+    return """WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS text FROM documents),
+g AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size, sha256(text) AS text_sha256 FROM n)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g"""

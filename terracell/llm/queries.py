@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terracell.llm import decontaminate, mixing, oracles, pseudonyms, quality, sentence_spans, simhash, suffixes, token_counts, token_files, toxicity
+from terracell.llm import decontaminate, exact_dedup, hard_negatives, merkle, mixing, oracles, pseudonyms, quality, sentence_spans, simhash, suffixes, token_counts, token_files, toxicity
 from terracell.llm.common import documents, scratch_path
 from terracell.session import ship
 
@@ -97,3 +98,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontamination")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+@query("op11_hard_negatives", oracles.negatives_sql(100, 5, 5, 80, 100, 256))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, 100, 5, 5, (80, 100), 256.0, label)
+
+
+@query("op12_merkle", oracles.manifest_sql(7))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(documents(spark, sf_dir), 7)
+
+
+@query("op13_exact_dedup", oracles.duplicates_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(documents(spark, sf_dir))

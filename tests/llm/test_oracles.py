@@ -14,7 +14,8 @@ from .conftest import SF
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     cur = con.execute(queries.ORACLES[name])
     names = [d[0] for d in cur.description]
     got = queries.QUERIES[name](spark, SF)
@@ -24,4 +25,4 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_has_one_query():
     names = sorted(queries.QUERIES)
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
