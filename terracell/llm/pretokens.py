@@ -15,17 +15,27 @@ from tokenizers import Tokenizer
 
 LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 DIGIT = "0-9\xb2\xb3\xb9\xbc-\xbe"
-STRANGE = re.compile("[^\t-\r\x20-\x7e\xa0-\xff]|<\\|")
+# Latin-1 characters that a text split here may hold, as bytes.
+PLAIN = bytes([*range(9, 14), *range(32, 127), *range(160, 256)])
 
 # The splitting patterns of the two vocabularies, with the classes spelled out for Latin-1.
-BYTE_LEVEL = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^\\s{LETTER}{DIGIT}]+|\\s+(?!\\S)|\\s+")
+# The short forms begin with a sign of their own, so they may stand behind the letters, which are far more frequent.
+BYTE_LEVEL = re.compile(f" ?[{LETTER}]+| ?[{DIGIT}]+|'(?:s|t|re|ve|m|ll|d)| ?[^\\s{LETTER}{DIGIT}]+|\\s+(?!\\S)|\\s+")
 WORD_LEVEL = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{DIGIT}]|[^\\s{LETTER}{DIGIT}]+")
 
-SPACED = re.compile(f" [{LETTER}]+")
-
 # Longer pre-tokens are encoded each time; more cached ones than this are dropped together.
 LONGEST = 64
 CACHED = 400_000
+# Ids of pre-tokens that a worker holds in two generations, some 200 bytes each.
+HELD = 1_500_000
+
+
+def strange(text: str) -> bool:
+    """Whether only the library may split the text."""
+    try:
+        return bool(text.encode("latin-1").translate(None, PLAIN)) or "<|" in text
+    except UnicodeEncodeError:
+        return True
 
 
 @lru_cache(maxsize=4)
@@ -50,26 +60,28 @@ class IdCache:
         self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if STRANGE.search(t) else BYTE_LEVEL.findall(t) for t in texts]
-        if len(self.known) > CACHED // 2:
+        if len(self.known) > HELD // 2:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        missing = {p for pieces in split if pieces for p in pieces}.difference(known)
-        again = missing.intersection(older)
-        known.update((p, older[p]) for p in again)
-        fresh = self._pieces(missing - again)
-        known.update((k, v) for k, v in fresh.items() if len(k) <= LONGEST)
-        long = {k: v for k, v in fresh.items() if len(k) > LONGEST}
-        strange = iter(self._whole([t for t, pieces in zip(texts, split) if pieces is None]))
-        if long:
-            known = known | long
-        return [next(strange) if pieces is None else b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        known, older, findall = self.known, self.older, BYTE_LEVEL.findall
+        split = [None if strange(t) else findall(t) for t in texts]
+        missing = set().union(*filter(None, split)).difference(known)
+        if older:
+            again = missing.intersection(older)
+            known.update((p, older[p]) for p in again)
+            missing -= again
+        fresh = self._pieces(missing)
+        long = {k: fresh.pop(k) for k in [k for k in fresh if len(k) > LONGEST]}
+        known.update(fresh)
+        whole = iter(self._whole([t for t, pieces in zip(texts, split) if pieces is None]))
+        get = (known | long if long else known).__getitem__
+        return [next(whole) if pieces is None else b"".join(map(get, pieces)) for pieces in split]
 
     def _pieces(self, pieces: set[str], together: int = 1000) -> dict[str, bytes]:
         """Ids of single pre-tokens. Words behind a blank go to the library many in a row: it cuts them at
         the blanks, and only a word's first id begins with one."""
-        words = [p for p in pieces if SPACED.fullmatch(p)]
-        others = [p for p in pieces if not SPACED.fullmatch(p)]
+        words, others = [], []
+        for p in pieces:
+            (words if p[0] == " " and p[1:].isalpha() else others).append(p)
         out = dict(zip(others, self._whole(others)))
         for at in range(0, len(words), together):
             row = words[at : at + together]
@@ -79,7 +91,7 @@ class IdCache:
                 out.update(zip(row, self._whole(row)))
                 continue
             raw, cuts = ids.tobytes(), (cuts * self.dtype.itemsize).tolist()
-            out.update(zip(row, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+            out.update(zip(row, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
         return out
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -109,10 +121,10 @@ class LengthCache:
         fresh = dict(zip(missing, self._whole(missing)))
         known.update((k, v) for k, v in fresh.items() if len(k) <= LONGEST)
         long = {k: v for k, v in fresh.items() if len(k) > LONGEST}
-        strange = iter(self._whole([t for t, pieces in zip(texts, split) if pieces is None]))
+        whole = iter(self._whole([t for t, pieces in zip(texts, split) if pieces is None]))
         if long:
             known = known | long
-        return [next(strange) if pieces is None else sum(map(known.__getitem__, pieces)) for pieces in split]
+        return [next(whole) if pieces is None else sum(map(known.__getitem__, pieces)) for pieces in split]
 
     def _whole(self, texts: list[str]) -> list[int]:
         return [len(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -120,4 +132,4 @@ class LengthCache:
 
 def word_pieces(text: str) -> list[str] | None:
     """Pre-tokens of the word vocabulary; None where only the library may split the text."""
-    return None if STRANGE.search(text) else WORD_LEVEL.findall(text.lower())
+    return None if strange(text) else WORD_LEVEL.findall(text.lower())
