@@ -11,7 +11,7 @@ from terracell.plans.registry import compute
 from terracell.sources.layers import Layers
 
 from .borders import CODES, LABELS
-from .support import COS, gon_clip, gon_sides, in_disc, in_gon, near, point_seg, poly_clip, query, rounded, variable_query
+from .support import COS, GRID, gon_clip, gon_sides, in_disc, in_gon, near, point_seg, poly_clip, query, rounded, variable_query
 
 YEAR, R = 2010, 500
 CELL_XY = "950000e0 + t.col*200 + 100 AS x, 1940000e0 + t.row*200 + 100 AS y"
@@ -179,7 +179,7 @@ def emission_raster_value(spark: SparkSession, lay: Layers) -> DataFrame:
         return df.withColumn("year", F.lit(2020)) if name == "emission_cell" else df
 
     return rounded(
-        compute(Layers(resolve), "emission_raster_value", year=2020, radius=3000, emission_type="Area", pollutant_type="NOx")
+        compute(Layers(resolve), "emission_raster_value", grid=GRID, year=2020, radius=3000, emission_type="Area", pollutant_type="NOx")
     )
 
 

@@ -412,6 +412,38 @@ def _held(layer: str, r: int) -> str:
 SELECT tot_reg_cd, cast(count(*) AS bigint) AS n FROM held GROUP BY tot_reg_cd"""
 
 
+# Lines at the edge of a border: along it and on inside, along it only, along it and on outside, and from inside to half a
+# millionth of a metre beyond it.
+RIM_LINES = """SELECT fid, seg, x1, y1, x2, y2 FROM (
+  SELECT o_orderkey AS fid, s.seg, o_orderkey % 4 AS kind, e.x1 + t*(e.x2-e.x1) AS px, e.y1 + t*(e.y2-e.y1) AS py, e.x2 AS bx, e.y2 AS by_, m.cx, m.cy,
+    CASE WHEN o_orderkey % 4 = 3 THEN m.cx WHEN s.seg = 0 THEN e.x1 + t*(e.x2-e.x1) ELSE e.x2 END AS x1,
+    CASE WHEN o_orderkey % 4 = 3 THEN m.cy WHEN s.seg = 0 THEN e.y1 + t*(e.y2-e.y1) ELSE e.y2 END AS y1,
+    CASE WHEN o_orderkey % 4 = 3 THEN e.x1 + t*(e.x2-e.x1) + 5e-7*(e.y2-e.y1)/sqrt(pow(e.x2-e.x1,2)+pow(e.y2-e.y1,2))
+      WHEN s.seg = 0 THEN e.x2 WHEN o_orderkey % 4 = 2 THEN e.x2*1.1e0 - m.cx*0.1e0 ELSE m.cx END AS x2,
+    CASE WHEN o_orderkey % 4 = 3 THEN e.y1 + t*(e.y2-e.y1) - 5e-7*(e.x2-e.x1)/sqrt(pow(e.x2-e.x1,2)+pow(e.y2-e.y1,2))
+      WHEN s.seg = 0 THEN e.y2 WHEN o_orderkey % 4 = 2 THEN e.y2*1.1e0 - m.cy*0.1e0 ELSE m.cy END AS y2
+  FROM (SELECT o_orderkey, cast(11000 + (o_orderkey % 25)*10 AS string) AS code, (1 + o_custkey % 83)/90e0 AS t FROM orders) o
+  JOIN border_edge e ON e.sigungu_cd = o.code AND e.seg = cast(floor(o_orderkey/25) AS bigint) % 4
+  JOIN (SELECT sigungu_cd, avg(x1) AS cx, avg(y1) AS cy FROM border_edge GROUP BY sigungu_cd) m ON m.sigungu_cd = o.code
+  CROSS JOIN (SELECT 0 AS seg UNION ALL SELECT 1) s) q WHERE seg = 0 OR kind IN (0, 2)"""
+
+
+@query(
+    "lines_along_borders",
+    f"""WITH lines AS ({RIM_LINES}),
+{poly_clip('rim', 'SELECT fid, seg, x1 AS ax, y1 AS ay, x2 AS bx, y2 AS by_ FROM lines', 'fid, seg', 'SELECT sigungu_cd, x1, y1, x2, y2 FROM border_edge', 'sigungu_cd')},
+told AS (SELECT m.sid, m.sigungu_cd, m.t0, min({point_seg('m.mx', 'm.my', 'e')}) <= 1e-8 AS on_edge,
+    count(*) FILTER (WHERE (e.y1 > m.my) <> (e.y2 > m.my) AND m.mx < (e.x2-e.x1)*(m.my-e.y1)/nullif(e.y2-e.y1,0)+e.x1) % 2 = 1 AS inside
+  FROM rim_mid m JOIN rim_poly e USING (sigungu_cd) GROUP BY m.sid, m.sigungu_cd, m.t0)
+SELECT s.fid, t.sigungu_cd FROM told t JOIN rim_seg s USING (sid) JOIN (SELECT fid, count(*) AS n FROM rim_seg GROUP BY fid) c ON c.fid = s.fid
+GROUP BY s.fid, t.sigungu_cd, c.n HAVING bool_and(on_edge OR inside) AND bool_or(inside AND NOT on_edge) AND count(DISTINCT s.sid) = c.n""",
+)
+def lines_along_borders(spark: SparkSession, lay: Layers) -> DataFrame:
+    """Lines that run along a border belong to the zone that they go on into."""
+    tiles = overlay.tile_polygons(lay.get("border_edge"), ["sigungu_cd"])
+    return overlay.lines_within_polygons(spark.sql(RIM_LINES), tiles)
+
+
 @query("lines_within_buffer", _held("rail_seg", 1000))
 def lines_within_buffer(spark: SparkSession, lay: Layers) -> DataFrame:
     return buffers.buffer_holds(lay.get("centers"), lay.get("rail_seg"), 1000, {"n": F.lit(1)})
@@ -641,6 +673,21 @@ def facility_counts_by_year_and_radius(spark: SparkSession, lay: Layers) -> Data
     return compute_many(lay, [{"name": "clinic_count", "year": y, "radius": r} for y in (2005, 2015) for r in (300, 1000)])
 
 
+_GRID = [(y, r) for y in (2000, 2010, 2020) for r in (100, 500, 5000)]
+
+
+@query(
+    "hospital_counts_nested",
+    "SELECT c.tot_reg_cd, "
+    + ", ".join(f'coalesce(q{y}_{r}.n,0) AS "C_Hospital_{y}_{r:04d}"' for y, r in _GRID)
+    + " FROM centers c "
+    + " ".join(f"LEFT JOIN {_counted('hospitals', _alive(y), r)} q{y}_{r} ON q{y}_{r}.tot_reg_cd = c.tot_reg_cd" for y, r in _GRID),
+)
+def hospital_counts_nested(spark: SparkSession, lay: Layers) -> DataFrame:
+    """Three years and three radii far apart, from one pass over the layer."""
+    return compute_many(lay, [{"name": "hospital_count", "year": y, "radius": r} for y, r in _GRID])
+
+
 RING = ["above_20", "below_20", "above_50", "below_50"]
 RING_DIGITS = {f"{c}_1000{again}": 6 for c in RING for again in ("", "_dsm_1000")}
 

@@ -133,19 +133,19 @@ def crossing_sign(px: Column, py: Column) -> Column:
     return F.when((c("lo") <= py) & (py < c("hi")) & (px < east), c("s")).otherwise(F.lit(0))
 
 
-def with_inside_share(df: DataFrame, out: str) -> DataFrame:
+def with_inside_share(df: DataFrame, out: str, touch: float = TOUCH) -> DataFrame:
     """Signed share of segment (ax, ay, bx, by) lying west of a tile row's edge.
 
     This is :func:`crossing_sign` averaged along the segment, in closed form.  Summed over the
     edges of a polygon it gives the share of the segment inside the polygon - for any polygon,
     with no sorting of crossings.  A stretch that lies on the edge counts half, which makes
-    areas of polygons with common boundaries come out right.
+    areas of polygons with common boundaries come out right; ``touch`` is how near that is.
     """
     c = F.col
     df = df.filter(
         (F.least("ay", "by") <= c("hi"))
         & (F.greatest("ay", "by") >= c("lo"))
-        & (F.least("ax", "bx") <= F.greatest("x1", "x2") + F.lit(TOUCH))
+        & (F.least("ax", "bx") <= F.greatest("x1", "x2") + F.lit(touch))
     )
     # No filters beyond this point: Spark would push them, and all they are made of, into the join.
     df = df.withColumns({"_dy": c("by") - c("ay"), "_slope": (c("x2") - c("x1")) / (c("y2") - c("y1"))})
@@ -164,7 +164,7 @@ def with_inside_share(df: DataFrame, out: str) -> DataFrame:
     df = df.withColumns({"_g0": gap(c("_t0")), "_g1": gap(c("_t1"))})
     # Distance across the edge follows from the gap measured along x.
     lean = F.sqrt(F.lit(1.0) + c("_slope") * c("_slope"))
-    on_edge = (F.abs("_g0") < F.lit(TOUCH) * lean) & (F.abs("_g1") < F.lit(TOUCH) * lean)
+    on_edge = (F.abs("_g0") < F.lit(touch) * lean) & (F.abs("_g1") < F.lit(touch) * lean)
     west = (
         F.when(on_edge, F.lit(0.5))
         .when((c("_g0") >= 0) & (c("_g1") >= 0), F.lit(1.0))
@@ -175,3 +175,22 @@ def with_inside_share(df: DataFrame, out: str) -> DataFrame:
     level = F.when(flat & ((c("ay") == c("lo")) | (c("ay") == c("hi"))), F.lit(0.5)).otherwise(F.lit(1.0))
     share = c("s") * level * west * F.greatest(F.lit(0.0), c("_t1") - c("_t0"))
     return df.withColumn(out, share).drop("_dy", "_slope", "_t0", "_t1", "_g0", "_g1")
+
+
+def edge_contact(near: float) -> dict[str, Column]:
+    """How segment (ax, ay, bx, by) meets edge (x1, y1, x2, y2): ``along``, the length that lies on it, and ``crossed``,
+    whether both ends of each lie beyond the other's line by more than ``near``."""
+    c = F.col
+    ex, ey, dx, dy = c("x2") - c("x1"), c("y2") - c("y1"), c("bx") - c("ax"), c("by") - c("ay")
+    edge, own = F.sqrt(ex * ex + ey * ey), F.sqrt(dx * dx + dy * dy)
+
+    def off(px: str, py: str, qx: str, qy: str, ux: Column, uy: Column, size: Column) -> Column:
+        return F.try_divide(ux * (c(py) - c(qy)) - uy * (c(px) - c(qx)), size)
+
+    a, b = (off(*p, "x1", "y1", ex, ey, edge) for p in (("ax", "ay"), ("bx", "by")))
+    p, q = (off(*v, "ax", "ay", dx, dy, own) for v in (("x1", "y1"), ("x2", "y2")))
+    beyond = lambda u, v: (F.least(u, v) < -near) & (F.greatest(u, v) > near)
+    s, t = (F.try_divide((c(m) - c("x1")) * ex + (c(n) - c("y1")) * ey, edge) for m, n in (("ax", "ay"), ("bx", "by")))
+    shared = F.least(F.greatest(s, t), edge) - F.greatest(F.least(s, t), F.lit(0.0))
+    along = F.when((F.abs(a) <= near) & (F.abs(b) <= near), F.greatest(F.lit(0.0), shared)).otherwise(F.lit(0.0))
+    return {"along": F.coalesce(along, F.lit(0.0)), "crossed": F.coalesce(beyond(a, b) & beyond(p, q), F.lit(False))}

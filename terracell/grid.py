@@ -230,6 +230,41 @@ def disc_cover(units: DataFrame, radius: float, steps: int, shrink: float = 1.0,
     return rows
 
 
+def nested_cover(units: DataFrame, radii: list[float], steps: int, shrink: float = 1.0) -> DataFrame:
+    """Tile each unit's largest circle with cells of half its radius, halving those on the rim of any of its circles.
+
+    ``radii`` ascend. Adds ``lvl, cx, cy, band``: a cell between two neighbouring circles has the number of the outer
+    one as its band; a cell that a rim crosses even on the last level has none.
+    """
+    x, y = F.col("x"), F.col("y")
+    size = radii[-1] / 2
+
+    def banded(rows: DataFrame, size: float, known: Column | None = None) -> DataFrame:
+        known = F.lit(None).cast("int") if known is None else known
+        near2, far2 = _cell_reach(x, y, size)
+        band, settled = F.lit(None).cast("int"), F.lit(True)
+        for i, r in reversed(list(enumerate(radii))):
+            within = far2 < F.lit((r * shrink * (1 - 1e-12)) ** 2)
+            band = F.when(within, F.lit(i)).otherwise(band)
+            settled = settled & (within | (near2 > F.lit((r + 1e-6) ** 2)))
+        outside = near2 > F.lit((radii[-1] + 1e-6) ** 2)
+        return rows.filter(known.isNotNull() | ~outside).withColumn("band", F.coalesce(known, F.when(settled, band)))
+
+    rows = banded(ring_cells(units, size, radii[-1]).withColumn("lvl", F.lit(0)), size)
+    for step in range(1, steps + 1):
+        size /= 2
+        cx, cy = F.col("cx"), F.col("cy")
+        halves = F.array(
+            *[F.struct(F.lit(step).alias("lvl"), (cx * 2 + i).alias("cx"), (cy * 2 + j).alias("cy")) for i in (0, 1) for j in (0, 1)]
+        )
+        same = F.array(F.struct(F.col("lvl").alias("lvl"), cx.alias("cx"), cy.alias("cy")))
+        rows = rows.withColumn("_cell", F.explode(F.when(F.col("band").isNotNull(), same).otherwise(halves)))
+        rows = rows.select(*units.columns, F.col("band").alias("_band"), "_cell.lvl", "_cell.cx", "_cell.cy")
+        # Cells settled before keep their band: their address is on a coarser grid.
+        rows = banded(rows, size, F.col("_band")).drop("_band")
+    return rows
+
+
 def cover_steps(density: Density) -> int:
     """How often to halve rim cells: 0 means testing every candidate, without per-cell totals.
 

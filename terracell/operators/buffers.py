@@ -24,6 +24,7 @@ from ..grid import (
     line_x,
     line_y,
     measure_density,
+    nested_cover,
     pyramid,
     ring_cells,
     spread,
@@ -115,6 +116,45 @@ def buffer_points(
     return _gather(hits, cover.totals(placed, names, by), [unit, *by], names)
 
 
+def buffer_points_nested(
+    units: DataFrame,
+    points: DataFrame,
+    radii: list[float],
+    measures: dict[str, Column],
+    unit: str = "tot_reg_cd",
+    shape: str = "poly32",
+    steps: int | None = None,
+) -> DataFrame:
+    """Sums of ``measures`` over the points in each of a unit's concentric zones, as arrays in the order of ``radii``.
+
+    The layer is read, placed on the grid and shuffled once for all radii and measures: a point or a covered cell
+    counts for the smallest zone that holds it, and larger zones add up what smaller ones found. Units without any
+    point in their largest zone are absent.
+    """
+    names, rising = list(measures), sorted(set(float(r) for r in radii))
+    spots = points.select("x", "y", *[m.alias(n) for n, m in measures.items()]).groupBy("x", "y").agg(*_sums(names))
+    centers = _spread(units, unit)
+    stats = measure_density(rising[-1], points=spots, units=centers)
+    steps = cover_steps(stats["points"]) if steps is None else steps
+    size = rising[-1] / 2 ** (steps + 1)
+    cells = nested_cover(centers, rising, steps, shrink_of(shape))
+    placed = with_cell(spots.withColumnsRenamed({"x": "px", "y": "py"}), size, "px", "py")
+    peaks = {"left_peak": 4 * stats["units"].peak}
+    # Without halving there is nothing to gain from totals: test every touched cell.
+    rim = (cells.filter("band IS NULL") if steps else cells).drop("band", "lvl")
+    near = cell_join(rim, spread(placed, stats["points"].rows), right_peak=stats["points"].peak, **peaks)
+    band = F.lit(None).cast("int")
+    for i, r in reversed(list(enumerate(rising))):
+        band = F.when(in_zone(F.col("px") - F.col("x"), F.col("py") - F.col("y"), r, shape), F.lit(i)).otherwise(band)
+    hits = near.filter(in_zone(F.col("px") - F.col("x"), F.col("py") - F.col("y"), rising[-1], shape)).select(unit, band.alias("band"), *names)
+    if steps:
+        whole = cell_join(cells.filter("band IS NOT NULL"), pyramid(placed, steps, names, []), ["lvl", *CELL], **peaks)
+        hits = hits.unionByName(whole.select(unit, "band", *names))
+    upto = [rising.index(float(r)) for r in radii]
+    sums = [F.array(*[F.sum(F.when(F.col("band") <= i, F.col(n))) for i in upto]).alias(n) for n in names]
+    return hits.groupBy(unit).agg(*sums)
+
+
 def buffer_lines(
     units: DataFrame,
     segs: DataFrame,

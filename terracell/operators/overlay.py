@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import crossing_sign, segment_length, with_inside_share
+from ..functions.geometry import TOUCH, crossing_sign, edge_contact, segment_length, with_inside_share
 from ..grid import CELL, GRID_X0, HOT_ROWS, cell_index, cell_join, cell_y, line_x, line_y, measure_density, spread, with_cell
 from .segments import split_at_grid
 
@@ -29,8 +29,9 @@ class Tiles:
     height range ``lo..hi`` that lies in the cell, and the sign ``s`` of crossing it eastwards.
     """
 
-    def __init__(self, rows: DataFrame, key: list[str], size: float, outline: DataFrame, edges: int):
-        self.rows, self.key, self.size, self.outline, self.edges = rows, key, size, outline, edges
+    def __init__(self, rows: DataFrame, key: list[str], size: float, shape: DataFrame, edges: int):
+        self.rows, self.key, self.size, self.shape, self.edges = rows, key, size, shape, edges
+        self.outline = shape.select(F.col("x1").alias("x"), F.col("y1").alias("y"))
 
 
 _sizes: dict[int, tuple[float, int]] = {}
@@ -115,8 +116,7 @@ def tile_polygons(edges: DataFrame, key: list[str], size: float | None = None) -
         ).filter(F.col("hi") > F.col("lo"))
 
     sides = side(steps, F.col("y"), F.col("step")).unionByName(side(below, bottom, F.col("s")))
-    outline = shape.select(F.col("x1").alias("x"), F.col("y1").alias("y"))
-    return Tiles(pieces.unionByName(sides), list(key), size, outline, count)
+    return Tiles(pieces.unionByName(sides), list(key), size, shape, count)
 
 
 def _peaks(tiles: Tiles, x: Column, y: Column, places: DataFrame) -> tuple[int, int, int]:
@@ -160,7 +160,7 @@ def match_polygons(points: DataFrame, tiles: Tiles) -> DataFrame:
     return hits.groupBy(*own, *tiles.key).agg(F.sum("_s").alias("_s")).filter(F.col("_s") > 0).select(*own, *tiles.key)
 
 
-def clip_by_polygons(segs: DataFrame, tiles: Tiles) -> DataFrame:
+def clip_by_polygons(segs: DataFrame, tiles: Tiles, touch: float = TOUCH) -> DataFrame:
     """Parts of segments (ax, ay, bx, by) inside polygons.
 
     Rows carry the piece's ends, the polygon key and ``share``, the signed part of the piece
@@ -170,7 +170,7 @@ def clip_by_polygons(segs: DataFrame, tiles: Tiles) -> DataFrame:
     pieces = split_at_grid(segs, tiles.size, ("ax", "ay", "bx", "by"))
     rows, seg_peak, tile_peak = _peaks(tiles, (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2, segs)
     pairs = cell_join(spread(pieces, rows), tiles.rows, left_peak=seg_peak, right_peak=tile_peak)
-    return with_inside_share(pairs, "share").drop(*CELL, *EDGE, "lo", "hi", "s")
+    return with_inside_share(pairs, "share", touch).drop(*CELL, *EDGE, "lo", "hi", "s")
 
 
 def _as_segments(edges: DataFrame) -> DataFrame:
@@ -220,26 +220,64 @@ def polygon_areas(edges: DataFrame, key: list[str]) -> DataFrame:
     return near.groupBy(*key).agg((F.sum(cross) / 2).alias("area"))
 
 
+# Distance (m) under which a line counts as lying on a boundary when containment is decided: rounding of metre coordinates.
+ON_BOUNDARY = 1e-8
+
+
 def lines_within_polygons(segs: DataFrame, tiles: Tiles, feature: str = "fid") -> DataFrame:
-    """(feature, polygon) rows of line features lying wholly inside a polygon.
+    """(feature, polygon) rows of line features of which no part lies outside a polygon and some part inside.
 
-    Whole means that the length inside equals the feature's length; a segment without length
-    weighs as one metre, so that it is still looked up.
+    A line may run along the boundary, but not only there. Length inside and half the length on the boundary
+    add up to the signed sum of :func:`clip_by_polygons`; what lies on the boundary is measured apart, edge by
+    edge, and so is any proper crossing, which tells even a line that leaves by less than the sums can resolve.
+    A segment without length weighs as one metre, so that it is still looked up.
     """
 
     def weight(*ends: str) -> Column:
         length = segment_length(*[F.col(c) for c in ends])
         return F.when(length > 0, length).otherwise(F.lit(1.0))
 
-    whole = segs.groupBy(feature).agg(F.sum(weight(*EDGE)).alias("_whole"))
-    parts = clip_by_polygons(_as_segments(segs.select(feature, *EDGE)), tiles)
-    inside = parts.groupBy(feature, *tiles.key).agg(
-        F.sum(F.col("share") * weight("ax", "ay", "bx", "by")).alias("_in")
+    lines = segs.select(feature, *EDGE)
+    whole = lines.groupBy(feature).agg(F.sum(weight(*EDGE)).alias("_whole"))
+    parts = clip_by_polygons(_as_segments(lines), tiles, ON_BOUNDARY)
+    inside = parts.select(
+        feature, *tiles.key, (F.col("share") * weight("ax", "ay", "bx", "by")).alias("_sum"), F.lit(0.0).alias("_along"), F.lit(False).alias("_crossed")
+    )
+    met = _contacts(_as_segments(lines), tiles, ON_BOUNDARY)
+    met = met.select(feature, *tiles.key, F.lit(0.0).alias("_sum"), F.col("along").alias("_along"), F.col("crossed").alias("_crossed"))
+    sums = inside.unionByName(met).groupBy(feature, *tiles.key).agg(
+        F.sum("_sum").alias("_sum"), F.sum("_along").alias("_along"), F.max("_crossed").alias("_crossed")
+    )
+    slack = F.col("_whole") * 1e-9 + 1e-6
+    held = sums.filter(~F.col("_crossed")).join(whole, feature).filter(
+        (F.col("_sum") + F.col("_along") / 2 >= F.col("_whole") - slack) & (F.col("_sum") - F.col("_along") / 2 > slack)
     )
-    held = inside.join(whole, feature).filter(F.col("_in") >= F.col("_whole") * (1 - 1e-9) - 1e-6)
     return held.select(feature, *tiles.key)
 
 
+def _contacts(segs: DataFrame, tiles: Tiles, near: float) -> DataFrame:
+    """Segments (ax, ay, bx, by) that lie on or cross an edge of a polygon: their columns with the key, ``along`` and ``crossed``.
+
+    Both are cut at the grid and meet by cell; a stretch that lies on an edge is measured piece by piece, so each
+    counts once. Crossings are told by the whole segment and edge.
+    """
+    own = segs.columns
+    ends = {f"_{c}": F.col(c) for c in ("ax", "ay", "bx", "by")}
+    pieces = split_at_grid(segs.withColumns(ends), tiles.size, ("ax", "ay", "bx", "by"))
+    edges = split_at_grid(tiles.shape.withColumns({f"_{c}": F.col(c) for c in EDGE}), tiles.size)
+    rows, seg_peak, edge_peak = _peaks(tiles, (F.col("ax") + F.col("bx")) / 2, (F.col("ay") + F.col("by")) / 2, segs)
+    pairs = cell_join(spread(pieces, rows), edges, left_peak=seg_peak, right_peak=edge_peak)
+    pairs = pairs.filter(
+        (F.least("ax", "bx") <= F.greatest("x1", "x2") + near) & (F.greatest("ax", "bx") >= F.least("x1", "x2") - near)
+        & (F.least("ay", "by") <= F.greatest("y1", "y2") + near) & (F.greatest("ay", "by") >= F.least("y1", "y2") - near)
+    )
+    along = edge_contact(near)["along"]
+    pairs = pairs.withColumn("along", along).drop("ax", "ay", "bx", "by", *EDGE)
+    pairs = pairs.withColumnsRenamed({f"_{c}": c for c in ("ax", "ay", "bx", "by", *EDGE)})
+    pairs = pairs.withColumn("crossed", edge_contact(near)["crossed"]).filter("along > 0 OR crossed")
+    return pairs.select(*own, *tiles.key, "along", "crossed")
+
+
 def polygons_within_polygons(polys: DataFrame, zones: DataFrame, zone: str, feature: str = "fid") -> DataFrame:
     """(feature, zone) rows of polygons lying wholly inside a zone.
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.facilities import open_by_year_prefix
 from ..operators.attributes import areal_weights, fill_units, lookup_join, prefix_join, row_total
-from ..operators.buffers import buffer_areas, buffer_holds, buffer_lines, buffer_overlaps, buffer_points
+from ..operators.buffers import buffer_areas, buffer_holds, buffer_lines, buffer_overlaps, buffer_points, buffer_points_nested
 from ..operators.measures import border_measures
 from ..operators.nearest import nearest
 from ..operators.raster import buffer_tile_mean, load_order, mosaic, ring_shares, sample
@@ -64,30 +66,74 @@ def dsm_value(q: Request) -> DataFrame:
 # Counts in buffers
 
 
-def _count(q: Request, points: DataFrame, name: str) -> DataFrame:
-    return _filled(q, buffer_points(q.centers(), points, q.radius, {name: F.lit(1)}), {name: 0})
+@dataclass(frozen=True)
+class Count:
+    """A counted layer, the rows of it that count in a year, and the column that holds the count."""
+
+    layer: str
+    alive: Callable[[int], Column]
+    column: Callable[[int, int], str]
+
+
+def _of_year(year: int) -> Column:
+    return F.col("year") == year
+
+
+# Columns of the counts.
+COUNTS = {
+    "bus_stop_count": Count("bus_stop", _of_year, lambda year, r: f"C_Bus_{_r4(r)}"),
+    "rail_station_count": Count("railstation", _of_year, lambda year, r: f"C_Railstation_{_r4(r)}"),
+    "clinic_count": Count("clinics", open_by_year_prefix, lambda year, r: f"C_Clinic_{year}_{_r4(r)}"),
+    "hospital_count": Count("hospitals", open_by_year_prefix, lambda year, r: f"C_Hospital_{year}_{_r4(r)}"),
+}
+
+
+def _count(q: Request, name: str) -> DataFrame:
+    spec = COUNTS[name]
+    column = spec.column(q.year, q.radius)
+    points = q.layers.at(spec.layer, q.year) if spec.alive is _of_year else q.layers.get(spec.layer).filter(spec.alive(q.year))
+    return _filled(q, buffer_points(q.centers(), points, q.radius, {column: F.lit(1)}), {column: 0})
+
+
+def count_many(layer: str, requests: list[tuple[str, Request]]) -> DataFrame:
+    """Counts of one layer for several years and radii from one pass over it, one column a request, named by its number.
+
+    Every year is a measure of its own, every radius a zone of one nested cover.
+    """
+    q = requests[0][1]
+    years, radii = sorted({r.year for _, r in requests}), sorted({r.radius for _, r in requests})
+    alive = {(n, r.year): COUNTS[n].alive(r.year) for n, r in requests}
+    points = q.layers.get(layer)
+    if "year" in points.columns and any(COUNTS[n].alive is _of_year for n, _ in requests):
+        points = points.filter(F.col("year").isin(years))
+    elif any(COUNTS[n].alive is _of_year for n, _ in requests):
+        # A layer without years is refused or holds for all, as for a single year.
+        points = q.layers.at(layer, years[0])
+        alive = {k: F.lit(True) for k in alive}
+    measures = {f"_{n}_{year}": F.when(test, 1).otherwise(0) for (n, year), test in alive.items()}
+    found = buffer_points_nested(q.centers(), points, radii, measures)
+    columns = {f"_{i}": F.col(f"_{n}_{r.year}")[radii.index(r.radius)] for i, (n, r) in enumerate(requests)}
+    return _filled(q, found.select(CENTER_CODE, *[c.alias(k) for k, c in columns.items()]), {k: 0 for k in columns})
 
 
 @variable("bus_stop_count", UNIT_CENTER, years=(2023,), radii=BufferSize)
 def bus_stop_count(q: Request) -> DataFrame:
-    return _count(q, q.layers.at("bus_stop", q.year), f"C_Bus_{_r4(q.radius)}")
+    return _count(q, "bus_stop_count")
 
 
 @variable("rail_station_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize, remap=REMAP_2000)
 def rail_station_count(q: Request) -> DataFrame:
-    return _count(q, q.layers.at("railstation", q.year), f"C_Railstation_{_r4(q.radius)}")
+    return _count(q, "rail_station_count")
 
 
 @variable("clinic_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize)
 def clinic_count(q: Request) -> DataFrame:
-    alive = q.layers.get("clinics").filter(open_by_year_prefix(q.year))
-    return _count(q, alive, f"C_Clinic_{q.year}_{_r4(q.radius)}")
+    return _count(q, "clinic_count")
 
 
 @variable("hospital_count", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize)
 def hospital_count(q: Request) -> DataFrame:
-    alive = q.layers.get("hospitals").filter(open_by_year_prefix(q.year))
-    return _count(q, alive, f"C_Hospital_{q.year}_{_r4(q.radius)}")
+    return _count(q, "hospital_count")
 
 
 # Nearest distances

@@ -124,7 +124,7 @@ def find(name: str) -> Variable:
     return VARIABLES[name]
 
 
-def compute(
+def checked(
     layers: Layers,
     name: str,
     year: int | None = None,
@@ -133,8 +133,8 @@ def compute(
     grid: RasterGrid | dict[str, RasterGrid] | None = None,
     units: DataFrame | None = None,
     **options: Any,
-) -> DataFrame:
-    """DataFrame of one variable.  Arguments are checked before any plan is built."""
+) -> Request:
+    """The checked arguments of one computation."""
     spec = find(name)
     validate_year(year, spec.years)
     radius = radius.value if isinstance(radius, Enum) else radius
@@ -152,8 +152,21 @@ def compute(
         chosen[option] = value
     for option in options:
         validate_choice("option", "options", option, (*spec.options, *spec.extras))
-    request = Request(layers, grid, year, spec.remap.get(year, year), radius, border_type, chosen | options, units)
-    return spec.build(request)
+    return Request(layers, grid, year, spec.remap.get(year, year), radius, border_type, chosen | options, units)
+
+
+def compute(
+    layers: Layers,
+    name: str,
+    year: int | None = None,
+    radius: int | Enum | None = None,
+    border_type: str | BorderType | None = None,
+    grid: RasterGrid | dict[str, RasterGrid] | None = None,
+    units: DataFrame | None = None,
+    **options: Any,
+) -> DataFrame:
+    """DataFrame of one variable.  Arguments are checked before any plan is built."""
+    return find(name).build(checked(layers, name, year, radius, border_type, grid, units, **options))
 
 
 def compute_many(layers: Layers, wanted: list[dict[str, Any]], **shared: Any) -> DataFrame:
@@ -163,15 +176,17 @@ def compute_many(layers: Layers, wanted: list[dict[str, Any]], **shared: Any) ->
     column name get the year appended, or their options where no year tells them apart. The county
     code that some carry is kept once.
     """
-    frames, seen, key, copies = [], set(), None, set()
+    frames, seen, key, copies, order = [], set(), None, set(), []
     calls = _share_overlaps(layers, [{**shared, **args} for args in wanted])
-    for args in calls:
+    counted = _share_counts(layers, calls)
+    for i, args in enumerate(calls):
         spec = find(args["name"])
         code = spec.key(getattr(args.get("border_type"), "value", args.get("border_type")))
         if key is not None and code != key:
             raise ValueError(f"Cannot merge units '{key}' and '{code}'")
         key = code
-        df = compute(layers, **args)
+        group = counted.get(i)
+        df = group.column(i, code) if group else compute(layers, **args)
         again = {c: f"_{c}_{len(frames)}" for c in COUNTY if c in seen and c in df.columns}
         df = df.withColumnsRenamed(again)
         copies.update({(c, name) for c, name in again.items()})
@@ -179,13 +194,53 @@ def compute_many(layers: Layers, wanted: list[dict[str, Any]], **shared: Any) ->
         renames = {c: "_".join([c, *map(str, told)]) for c in df.columns if c in seen}
         if len({*seen, *renames.values()}) < len(seen) + len(renames):
             raise ValueError(f"'{args['name']}' is asked for twice")
-        frames.append(df.withColumnsRenamed(renames))
-        seen.update(c for c in frames[-1].columns if c != key)
+        df = df.withColumnsRenamed(renames)
+        fresh = [c for c in df.columns if c != key]
+        seen.update(fresh)
+        order += [c for c in fresh if c not in again.values()]
+        if group:
+            group.named[i] = fresh[0]
+        if not group or group.first == i:
+            frames.append(group or df)
+    frames = [f.frame(key) if isinstance(f, _Counted) else f for f in frames]
     merged = merge_by_id(frames, key or CENTER_CODE)
     for c in COUNTY:
         if c in merged.columns:
             merged = merged.withColumn(c, F.coalesce(c, *sorted(name for own, name in copies if own == c)))
-    return merged.drop(*[name for _, name in copies])
+    return merged.select(key or CENTER_CODE, *order)
+
+
+class _Counted:
+    """Counts of one layer that share a pass: the requests by the place of their calls, and their final columns."""
+
+    def __init__(self, layer: str, requests: dict[int, tuple[str, Request]]):
+        from .centers import COUNTS, count_many
+
+        self.first, self.named = min(requests), {}
+        self.requests = requests
+        self.own = {i: COUNTS[n].column(r.year, r.radius) for i, (n, r) in requests.items()}
+        self.place = {i: f"_{k}" for k, i in enumerate(requests)}
+        self.counts = count_many(layer, list(requests.values()))
+
+    def column(self, i: int, key: str) -> DataFrame:
+        return self.counts.select(key, F.col(self.place[i]).alias(self.own[i]))
+
+    def frame(self, key: str) -> DataFrame:
+        return self.counts.select(key, *[F.col(self.place[i]).alias(name) for i, name in self.named.items()])
+
+
+def _share_counts(layers: Layers, calls: list[dict[str, Any]]) -> dict[int, _Counted]:
+    """The calls that count one layer for several years or radii, each with the pass that they share."""
+    from .centers import COUNTS
+
+    groups: dict[tuple, dict[int, tuple[str, Request]]] = {}
+    for i, args in enumerate(calls):
+        name = args["name"]
+        if name in COUNTS:
+            request = checked(layers, **args)
+            groups.setdefault((COUNTS[name].layer, id(request.units)), {})[i] = (name, request)
+    shared = {k: _Counted(k[0], g) for k, g in groups.items() if len(g) > 1}
+    return {i: shared[k] for k, g in groups.items() if k in shared for i in g}
 
 
 def _share_overlaps(layers: Layers, calls: list[dict[str, Any]]) -> list[dict[str, Any]]:

@@ -16,6 +16,7 @@ from terracell.operators.buffers import (
     buffer_overlaps,
     buffer_pairs,
     buffer_points,
+    buffer_points_nested,
     buffers,
 )
 
@@ -162,3 +163,20 @@ def test_ring_and_radii(spark):
     pairs = buffer_pairs(unit, pts, 130, hole=100)
     assert sorted(r["id"] for r in pairs.collect()) == list(range(100, 130))
     assert [r["r"] for r in buffers(unit, [100, 300]).collect()] == [100.0, 300.0]
+
+
+@pytest.mark.parametrize("steps", [0, 1, 4])
+@pytest.mark.parametrize("shape", ["poly32", "disc"])
+def test_nested_zones_match_brute_force(spark, steps, shape):
+    """Radii far apart and close together, points in several conditions, some outside all zones."""
+    rng = random.Random(steps)
+    units = units_of(spark, 15, spread=3000)
+    points = [(rng.uniform(-500, 3500), rng.uniform(-500, 3500), rng.random() < 0.4) for _ in range(400)]
+    points += [(x, y, True) for _, x, y in units]
+    radii = [700.0, 40.0, 710.0, 1500.0]
+    df = spark.createDataFrame(points, "x double, y double, old boolean")
+    measures = {"n": F.lit(1), "old": F.when(F.col("old"), 1).otherwise(0)}
+    got = buffer_points_nested(frame(spark, units), df, radii, measures, shape=shape, steps=steps).collect()
+    inside = gon if shape == "poly32" else (lambda dx, dy, r: dx * dx + dy * dy <= r * r)
+    want = {u: [[sum(w for px, py, o in points for w in [f(o)] if inside(px - x, py - y, r)) for r in radii] for f in (lambda o: 1, int)] for u, x, y in units}
+    assert {r["tot_reg_cd"]: [[v or 0 for v in r["n"]], [v or 0 for v in r["old"]]] for r in got} == {u: w for u, w in want.items() if w[0][3]}
