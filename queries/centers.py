@@ -255,6 +255,32 @@ SELECT c.tot_reg_cd, {_lu} FROM centers c LEFT JOIN covered v ON v.tot_reg_cd =
 )
 
 
+# The same over true circles: every edge adds a triangle where it is inside and a sector where it is not.
+_SECTOR = "atan2({ax}*({by})-({bx})*{ay}, {ax}*({bx})+{ay}*({by}))"
+
+
+def _kernel(r: float) -> str:
+    at = {t: (f"(ax+{t}*(bx-ax))", f"(ay+{t}*(by_-ay))") for t in ("t0", "t1")}
+    before = _SECTOR.format(ax="ax", ay="ay", bx=at["t0"][0], by=at["t0"][1])
+    after = _SECTOR.format(ax=at["t1"][0], ay=at["t1"][1], bx="bx", by="by_")
+    return f"{r * r / 2!r}*({before} + {after}) + (t1-t0)*(ax*by_-bx*ay)/2"
+
+
+variable_query(
+    "landuse",
+    f"""WITH lay AS (SELECT fid, code, x1, y1, x2, y2 FROM landuse_edge WHERE year = 2020),
+box AS (SELECT fid, min(least(x1,x2)) AS lx, max(greatest(x1,x2)) AS hx, min(least(y1,y2)) AS ly, max(greatest(y1,y2)) AS hy FROM lay GROUP BY fid),
+rel AS (SELECT c.tot_reg_cd, e.code, e.x1-c.x AS ax, e.y1-c.y AS ay, e.x2-c.x AS bx, e.y2-c.y AS by_ FROM centers c
+  JOIN box b ON b.lx < c.x + {R} AND b.hx > c.x - {R} AND b.ly < c.y + {R} AND b.hy > c.y - {R} JOIN lay e ON e.fid = b.fid),
+roots AS (SELECT *, pow(bx-ax,2)+pow(by_-ay,2) AS qa, ax*(bx-ax)+ay*(by_-ay) AS qb, ax*ax+ay*ay-{R * R} AS qc FROM rel),
+cut AS (SELECT *, CASE WHEN qb*qb > qa*qc THEN greatest(0e0, least(1e0, (-qb-sqrt(qb*qb-qa*qc))/qa)) ELSE 0e0 END AS t0,
+  CASE WHEN qb*qb > qa*qc THEN greatest(0e0, least(1e0, (-qb+sqrt(qb*qb-qa*qc))/qa)) ELSE 0e0 END AS t1 FROM roots),
+covered AS (SELECT tot_reg_cd, code, sum({_kernel(R)}) AS area FROM cut GROUP BY tot_reg_cd, code)
+SELECT c.tot_reg_cd, {_lu} FROM centers c LEFT JOIN covered v ON v.tot_reg_cd = c.tot_reg_cd GROUP BY c.tot_reg_cd""",
+    "landuse_exact", digits=6, year=2020, radius=R, exact=True,
+)
+
+
 # User coordinates: degrees spread over the box of the layers
 
 POINTS = """SELECT c_custkey AS point_id, 126.935e0 + (c_custkey*7919 % 9973)*0.0000225e0 AS x,

@@ -494,6 +494,18 @@ def buffer_buffer_overlap(spark: SparkSession, lay: Layers) -> DataFrame:
     return rounded(intersection_areas(Request(lay, None, 2010, 2010, 300), mode="buffer"), 2)
 
 
+@query(
+    "buffer_disc_overlap",
+    f"""SELECT u AS center_reg_cd, v AS border_reg_cd,
+  round(CASE WHEN d = 0 THEN pi()*90000 ELSE 180000*acos(d/600) - d/2*sqrt(360000 - d*d) END,2) AS area, round({math.pi * 90000!r}e0,2) AS zone_area
+FROM (SELECT a.tot_reg_cd AS u, b.tot_reg_cd AS v, sqrt(pow(b.x-a.x,2)+pow(b.y-a.y,2)) AS d FROM centers a JOIN centers b
+  ON b.x BETWEEN a.x-600 AND a.x+600 AND b.y BETWEEN a.y-600 AND a.y+600) q WHERE d < 600""",
+)
+def buffer_disc_overlap(spark: SparkSession, lay: Layers) -> DataFrame:
+    """Common areas of true circles: lenses in closed form."""
+    return rounded(intersection_areas(Request(lay, None, 2010, 2010, 300), mode="buffer", exact=True), 2)
+
+
 @query(
     "missing_units",
     "SELECT DISTINCT unit_cd AS tot_reg_cd FROM unit_edge WHERE unit_cd NOT IN (SELECT tot_reg_cd FROM unit_pop WHERE year = 2015)",

@@ -106,6 +106,34 @@ def with_zone_share(
     return df.withColumn(out, F.greatest(F.lit(0.0), F.least(*leave) - F.greatest(*enter))).drop(*work)
 
 
+# Angle (rad) at which a circle's outline begins: no survey coordinate lies there.
+OUTSET = 0.7390851332151607
+
+
+def arc_turns(ends: tuple[Column, Column, Column, Column], r: float) -> Column:
+    """What a polygon edge adds to the angle of a circle's outline that lies inside the polygon.
+
+    The polygon lies left of its edges. Going round from ``OUTSET``, the outline leaves it where an edge comes into the
+    circle and is inside again where one goes out, each until the round is over: the angles left of the round add up,
+    with the whole round for a polygon that holds the starting point. ``ends`` are relative to the centre. Whether an
+    edge crosses follows from its ends alone, so edges that share an end agree.
+    """
+    ax, ay, bx, by = ends
+    dx, dy = bx - ax, by - ay
+    reach = F.lit(float(r) * float(r))
+    in_a, in_b = ax * ax + ay * ay < reach, bx * bx + by * by < reach
+    qa, qb, qc = dx * dx + dy * dy, ax * dx + ay * dy, ax * ax + ay * ay - reach
+    root = F.sqrt(F.greatest(F.lit(0.0), qb * qb - qa * qc))
+
+    def left(t: Column) -> Column:
+        return F.lit(2 * math.pi) - F.pmod(F.atan2(ay + t * dy, ax + t * dx) - F.lit(OUTSET), F.lit(2 * math.pi))
+
+    enter, leave = left(F.try_divide(-qb - root, qa)), left(F.try_divide(-qb + root, qa))
+    through = ~in_a & ~in_b & (qb < 0) & (qb + qa > 0) & (qb * qb > qa * qc)
+    turn = F.when(in_a & ~in_b, leave).when(~in_a & in_b, -enter).when(through, leave - enter)
+    return F.coalesce(turn, F.lit(0.0))
+
+
 def segment_length(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.hypot(x2 - x1, y2 - y1)
 

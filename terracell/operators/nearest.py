@@ -60,8 +60,10 @@ def _gap(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column) -> tuple[Column
     return least, F.greatest(b_hi - a_lo, a_hi - b_lo)
 
 
-def _candidate_cells(units: DataFrame, cells: DataFrame, size: float, extent: float, bounds: tuple) -> DataFrame:
-    """(ux, uy, cx, cy): for each occupied unit cell the layer cells that may hold the nearest feature."""
+def _candidate_cells(units: DataFrame, cells: DataFrame, size: float, extent: float, bounds: tuple, key: list[str] | None = None) -> DataFrame:
+    """(ux, uy, cx, cy): for each occupied unit cell the layer cells that may hold the nearest feature; with a ``key`` of
+    the layer's cells, those that may hold the nearest piece of each."""
+    key = key or []
     sizes = level_sizes(size, extent)
     frontier = units.select("ux", "uy").distinct()
     lx, hx, ly, hy = bounds
@@ -76,13 +78,13 @@ def _candidate_cells(units: DataFrame, cells: DataFrame, size: float, extent: fl
     for level in range(len(sizes) - 1, -1, -1):
         ratio = 4**level
         here = cells if level == 0 else cells.select(
-            F.floor(F.col("cx") / ratio).alias("cx"), F.floor(F.col("cy") / ratio).alias("cy")
+            *key, F.floor(F.col("cx") / ratio).alias("cx"), F.floor(F.col("cy") / ratio).alias("cy")
         ).distinct()
-        frontier = frontier.join(here, CELL)
+        frontier = frontier.join(here, CELL if level == len(sizes) - 1 else [*key, *CELL])
         g = F.lit(float(sizes[level]))
         near_x, far_x = _gap(F.col("ux") * half, (F.col("ux") + 1) * half, F.col("cx") * g, (F.col("cx") + 1) * g)
         near_y, far_y = _gap(F.col("uy") * half, (F.col("uy") + 1) * half, F.col("cy") * g, (F.col("cy") + 1) * g)
-        bound = F.min(far_x * far_x + far_y * far_y).over(Window.partitionBy("ux", "uy"))
+        bound = F.min(far_x * far_x + far_y * far_y).over(Window.partitionBy("ux", "uy", *key))
         frontier = (
             frontier.withColumn("_far", bound)
             .filter(near_x * near_x + near_y * near_y <= F.col("_far") * (1 + 1e-9))
@@ -93,7 +95,7 @@ def _candidate_cells(units: DataFrame, cells: DataFrame, size: float, extent: fl
             frontier = (
                 frontier.withColumn("_i", F.explode(children))
                 .withColumn("_j", F.explode(children))
-                .select("ux", "uy", (F.col("cx") * 4 + F.col("_i")).alias("cx"), (F.col("cy") * 4 + F.col("_j")).alias("cy"))
+                .select("ux", "uy", *key, (F.col("cx") * 4 + F.col("_i")).alias("cx"), (F.col("cy") * 4 + F.col("_j")).alias("cy"))
             )
     return frontier
 
@@ -144,21 +146,34 @@ def nearest(
     return found
 
 
-def distance_to_all(units: DataFrame, layer: DataFrame, unit: str, feature: str, buckets: int = 16) -> DataFrame:
+def _pairs_to_all(units: DataFrame, layer: DataFrame, unit: str, feature: str) -> DataFrame | None:
+    """(unit, x, y, feature, edge piece) rows among which is the nearest piece of every feature for every unit."""
+    edges = as_edges(layer).select(feature, *EDGE).dropDuplicates()
+    grid = _finest(edges)
+    if grid is None:
+        return None
+    size, extent, bounds, rows, peak = grid
+    pieces = split_at_grid(edges, size)
+    placed = units.select(unit, "x", "y").repartition(unit)
+    placed = placed.withColumn("ux", cell_x(F.col("x"), size)).withColumn("uy", cell_y(F.col("y"), size))
+    unit_peak = measure_density(size, units=placed.select("x", "y"))["units"].peak
+    cells = _candidate_cells(placed, pieces.select(feature, *CELL).distinct(), size, extent, bounds, [feature])
+    tried = cell_join(placed, cells, ["ux", "uy"], left_peak=unit_peak)
+    return cell_join(tried.drop("ux", "uy"), spread(pieces, rows), [feature, *CELL], left_peak=16 * unit_peak, right_peak=4 * peak)
+
+
+def distance_to_all(units: DataFrame, layer: DataFrame, unit: str, feature: str) -> DataFrame:
     """One row per unit and feature with their distance - the result itself is the full product.
 
-    Meant for layers with few features (a coastline); features are spread over ``buckets`` so
-    that the pairs are formed by an equi-join in many tasks.
+    Only the product of units and features is formed: each feature's own cells are narrowed down as for the nearest
+    one, so a unit measures the few pieces of a feature that may be nearest, however long the feature is.
     """
-    edges = as_edges(layer).select(feature, *EDGE)
-    edges = edges.withColumn("_b", F.pmod(F.xxhash64(*EDGE), F.lit(buckets)).cast("int"))
-    spread = units.select(unit, "x", "y").withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    tried = _pairs_to_all(units, layer, unit, feature)
+    if tried is None:
+        kind = layer.schema[feature].dataType
+        return units.select(unit, F.lit(None).cast(kind).alias(feature), F.lit(None).cast("double").alias("distance")).filter(F.lit(False))
     d2 = point_segment_distance2(*[F.col(c) for c in ("x", "y", *EDGE)])
-    return (
-        spread.join(edges, "_b")
-        .groupBy(unit, feature)
-        .agg(F.sqrt(F.min(d2)).alias("distance"))
-    )
+    return tried.groupBy(unit, feature).agg(F.sqrt(F.min(d2)).alias("distance"))
 
 
 def distance_to_union(units: DataFrame, layer: DataFrame, unit: str) -> DataFrame:

@@ -129,8 +129,8 @@ def _peaks(tiles: Tiles, x: Column, y: Column, places: DataFrame) -> tuple[int,
     return stats["places"].rows, stats["places"].peak, stats["edges"].peak if "edges" in stats else 0
 
 
-def _crossings(points: DataFrame, tiles: Tiles) -> DataFrame:
-    """(point, polygon) rows with the signed crossing count of one tile row in ``_s``."""
+def inside_signs(points: DataFrame, tiles: Tiles) -> DataFrame:
+    """(point, polygon) rows with the signed crossing count of one tile row in ``_s``: they add up to one inside, else to none."""
     placed = with_cell(points, tiles.size, "x", "y")
     rows, point_peak, tile_peak = _peaks(tiles, F.col("x"), F.col("y"), points)
     pairs = cell_join(spread(placed, rows), tiles.rows, left_peak=point_peak, right_peak=tile_peak)
@@ -149,14 +149,14 @@ def sum_in_polygons(points: DataFrame, tiles: Tiles, measures: dict[str, Column]
         .groupBy("x", "y")
         .agg(*[F.sum(n).alias(n) for n in names])
     )
-    hits = _crossings(spots, tiles)
+    hits = inside_signs(spots, tiles)
     return hits.groupBy(*tiles.key).agg(*[F.sum(F.col("_s") * F.col(n)).alias(n) for n in names])
 
 
 def match_polygons(points: DataFrame, tiles: Tiles) -> DataFrame:
     """(point, polygon) rows: each point's own columns with the key of every polygon holding it."""
     own = points.columns
-    hits = _crossings(points, tiles)
+    hits = inside_signs(points, tiles)
     return hits.groupBy(*own, *tiles.key).agg(F.sum("_s").alias("_s")).filter(F.col("_s") > 0).select(*own, *tiles.key)
 
 

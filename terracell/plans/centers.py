@@ -191,22 +191,23 @@ def car_mean(q: Request) -> DataFrame:
     )
 
 
-def intersection_areas(q: Request, mode: str = "border") -> DataFrame:
+def intersection_areas(q: Request, mode: str = "border", exact: bool = False) -> DataFrame:
     """(center_reg_cd, border_reg_cd, area, zone_area) of every buffer and census unit that overlap.
 
-    ``mode="buffer"`` takes the buffers of the other centroids as units.
+    ``mode="buffer"`` takes the buffers of the other centroids as units, ``exact`` true circles as buffers.
     """
+    shape = "disc" if exact else "poly32"
     centers = q.centers().select(CENTER_CODE, "x", "y")
     if mode == "buffer":
-        pairs = buffer_overlaps(centers, q.radius)
-        full = F.lit(16 * math.sin(math.pi / 16) * float(q.radius) ** 2)
+        pairs = buffer_overlaps(centers, q.radius, shape=shape)
+        full = F.lit((math.pi if exact else 16 * math.sin(math.pi / 16)) * float(q.radius) ** 2)
         return pairs.select(
             F.col(CENTER_CODE).alias("center_reg_cd"), F.col("other").alias("border_reg_cd"), "area",
             full.alias("zone_area"),
         )
     edges, code = q.border()
     units = edges.withColumnRenamed(code, "border_reg_cd")
-    overlap = buffer_areas(centers, units, ["border_reg_cd"], q.radius).filter(F.col("area") > 1e-6)
+    overlap = buffer_areas(centers, units, ["border_reg_cd"], q.radius, shape=shape).filter(F.col("area") > 1e-6)
     sizes = border_measures(units, "border_reg_cd").select("border_reg_cd", F.col("area").alias("zone_area"))
     return overlap.join(sizes, "border_reg_cd").withColumnRenamed(CENTER_CODE, "center_reg_cd").select(
         "center_reg_cd", "border_reg_cd", "area", "zone_area"
@@ -366,11 +367,11 @@ def relative_elevation(q: Request) -> DataFrame:
 # Land use
 
 
-@variable("landuse", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize)
+@variable("landuse", UNIT_CENTER, years=EVERY_FIVE, radii=BufferSize, extras=("exact",))
 def landuse(q: Request) -> DataFrame:
-    """Area of each land-use code in the buffer over the area of the full circle."""
+    """Area of each land-use code in the buffer over the area of the full circle; ``exact`` takes the circle as buffer too."""
     polys = q.layers.version("landuse_edge", q.year, {2020: "v004"}, "v002").filter(F.col("code").isin(LANDUSE_CODES))
-    found = buffer_areas(q.centers(), polys, ["code"], q.radius)
+    found = buffer_areas(q.centers(), polys, ["code"], q.radius, shape="disc" if q.options.get("exact") else "poly32")
     wide = found.groupBy(CENTER_CODE).pivot("code", LANDUSE_CODES).agg(F.sum("area"))
     joined = q.centers().select(CENTER_CODE).join(wide, CENTER_CODE, "left")
     circle = F.lit(math.pi * q.radius * q.radius)

@@ -180,3 +180,50 @@ def test_nested_zones_match_brute_force(spark, steps, shape):
     inside = gon if shape == "poly32" else (lambda dx, dy, r: dx * dx + dy * dy <= r * r)
     want = {u: [[sum(w for px, py, o in points for w in [f(o)] if inside(px - x, py - y, r)) for r in radii] for f in (lambda o: 1, int)] for u, x, y in units}
     assert {r["tot_reg_cd"]: [[v or 0 for v in r["n"]], [v or 0 for v in r["old"]]] for r in got} == {u: w for u, w in want.items() if w[0][3]}
+
+
+def disc_area(corners, r):
+    """Area that a polygon and the disc around the origin share: triangles inside, sectors outside, edge by edge."""
+    total = 0.0
+    for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1]):
+        dx, dy = bx - ax, by - ay
+        qa, qb, qc = dx * dx + dy * dy, ax * dx + ay * dy, ax * ax + ay * ay - r * r
+        root = qb * qb - qa * qc
+        t0, t1 = (max(0.0, min(1.0, (-qb + k * math.sqrt(root)) / qa)) for k in (-1, 1)) if root > 0 else (0.0, 0.0)
+        for a, b in ((0.0, t0), (t1, 1.0)):
+            px, py, qx, qy = ax + a * dx, ay + a * dy, ax + b * dx, ay + b * dy
+            total += r * r / 2 * math.atan2(px * qy - py * qx, px * qx + py * qy)
+        total += (t1 - t0) * (ax * by - ay * bx) / 2
+    return total
+
+
+@pytest.mark.parametrize("steps", [None, 0, 3])
+def test_areas_of_true_discs(spark, steps):
+    """Polygons around, inside, across and off the circles, with a hole, against the kernel over all edges."""
+    r, rng = 100.0, random.Random(8)
+    star = [((60 + 70 * (k % 2)) * math.cos(k * 0.45) + 140, (60 + 70 * (k % 2)) * math.sin(k * 0.45) + 120) for k in range(13)]
+    shapes = {
+        "all": [(-1000, -1000), (2000, -1000), (2000, 2000), (-1000, 2000)], "half": [(100, -1000), (2000, -1000), (2000, 2000), (100, 2000)],
+        "small": [(95, 95), (105, 95), (105, 105), (95, 105)], "star": star, "strip": [(-500, 90), (700, 90), (700, 91), (-500, 91)],
+    }
+    rows = [e for k, v in shapes.items() for e in ring([(float(x), float(y)) for x, y in v], code=k)]
+    hole = [(80.0, 80.0), (80.0, 150.0), (150.0, 150.0), (150.0, 80.0)]
+    rows += ring([(0.0, 0.0), (200.0, 0.0), (200.0, 200.0), (0.0, 200.0)], code="holed") + ring(hole, code="holed")
+    units = [("u", 100.0, 100.0), ("v", 100.0, 350.0)] + [(f"w{i}", rng.uniform(0, 250), rng.uniform(0, 250)) for i in range(12)]
+    got = buffer_areas(frame(spark, units), spark.createDataFrame(rows), ["code"], r, steps=steps, shape="disc").collect()
+    got = {(g["tot_reg_cd"], g["code"]): g["area"] for g in got}
+    shapes["holed"] = [(0, 0), (200, 0), (200, 200), (0, 200)]
+    for u, x, y in units:
+        for code, corners in shapes.items():
+            want = disc_area([(a - x, b - y) for a, b in corners], r)
+            if code == "holed":
+                want += disc_area([(a - x, b - y) for a, b in hole], r)
+            assert got.get((u, code), 0.0) == pytest.approx(want, abs=1e-6), (u, code)
+        assert got[u, "all"] == pytest.approx(math.pi * r * r)
+
+
+def test_lenses_of_discs(spark):
+    us = frame(spark, [("a", 0.0, 0.0), ("b", 100.0, 0.0), ("c", 0.0, 0.0), ("d", 200.0, 0.0)])
+    got = {(r["tot_reg_cd"], r["other"]): r["area"] for r in buffer_overlaps(us, 100, shape="disc").collect()}
+    assert got["a", "b"] == got["b", "a"] == pytest.approx(2 * 1e4 * math.acos(0.5) - 50 * math.sqrt(4e4 - 1e4))
+    assert got["a", "c"] == got["a", "a"] == pytest.approx(math.pi * 1e4) and ("a", "d") not in got

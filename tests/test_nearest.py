@@ -90,6 +90,36 @@ def test_empty_layer(spark):
     assert distance_to_union(us, empty, "tot_reg_cd").first()["distance"] is None
 
 
+def test_long_features_are_narrowed_down_one_by_one(spark):
+    """Ten coasts of 10,000 edges each: a unit measures a bounded number of edges of each, and none is missed."""
+    coast = spark.range(100_000).selectExpr(
+        "cast(id % 10 AS int) AS fid", "cast(floor(id/10) AS double)*7 AS x1", "(id % 10)*3000 + sin(floor(id/10)*0.01)*900 AS y1",
+        "cast(floor(id/10)+1 AS double)*7 AS x2", "(id % 10)*3000 + sin((floor(id/10)+1)*0.01)*900 AS y2",
+    )
+    rng = random.Random(2)
+    us = [(f"u{i}", rng.uniform(-3000, 73_000), rng.uniform(-9000, 36_000)) for i in range(12)]
+    units = frame(spark, us)
+    got = {(r["tot_reg_cd"], r["fid"]): r["distance"] for r in distance_to_all(units, coast, "tot_reg_cd", "fid").collect()}
+    rows = coast.collect()
+
+    def apart(x, y, r):
+        dx, dy = r.x2 - r.x1, r.y2 - r.y1
+        t = max(0.0, min(1.0, ((x - r.x1) * dx + (y - r.y1) * dy) / (dx * dx + dy * dy)))
+        return math.hypot(x - r.x1 - t * dx, y - r.y1 - t * dy)
+
+    for u, x, y in us[:4]:
+        for f in range(10):
+            assert got[u, f] == pytest.approx(min(apart(x, y, r) for r in rows if r.fid == f))
+    assert len(got) == 120
+    tried = nearest_module._pairs_to_all(units, coast, "tot_reg_cd", "fid").groupBy("tot_reg_cd", "fid").count()
+    assert tried.agg({"count": "max"}).first()[0] < 2500 and tried.agg({"count": "avg"}).first()[0] < 700
+
+
+def test_no_feature_gives_no_row(spark):
+    empty = spark.createDataFrame([], "fid int, x1 double, y1 double, x2 double, y2 double")
+    assert distance_to_all(frame(spark, [("u", 0.0, 0.0)]), empty, "tot_reg_cd", "fid").count() == 0
+
+
 def test_one_row_per_feature(spark):
     layer = spark.createDataFrame([(1, 0, 0.0, 3.0, 5.0, 3.0), (1, 1, 0.0, 2.0, 5.0, 2.0), (2, 0, 7.0, 0.0, 8.0, 0.0)],
                                   "fid int, seg int, x1 double, y1 double, x2 double, y2 double")

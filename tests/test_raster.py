@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import math
+import random
 import statistics
 
 import pytest
-from conftest import square
+from conftest import ring, square
 
 from terracell.operators.overlay import tile_polygons
 from terracell.operators.raster import RasterGrid, add_rasters, buffer_tile_mean, mosaic, ring_shares, sample, zonal_statistics
+from terracell.operators.raster import _blocks_of, cells_in_polygons, row_intervals, zonal_sums
 
 GRID = RasterGrid(0.0, 0.0, 10.0)
 
@@ -78,3 +80,56 @@ def test_mosaic_keeps_the_last(spark):
     df = spark.createDataFrame([(0, 0, 1.0, 1), (0, 0, 5.0, 2), (1, 0, 3.0, 1), (2, 0, 4.0, 1), (2, 0, None, 2), (3, 0, None, 1)], "col int, row int, val double, tile int")
     assert {(r["col"], r["val"]) for r in mosaic(df, "tile").collect()} == {(0, 5.0), (1, 3.0), (2, 4.0), (3, None)}
     assert {(r["col"], r["val"]) for r in mosaic(df, None).collect()} == {(0, 5.0), (1, 3.0), (2, 4.0), (3, None)}
+
+
+def zones_of(spark):
+    """Concave, holed, overlapping, sliver and shared-edge zones; some off the raster."""
+    letter = [(0, 0), (100, 0), (100, 30), (40, 30), (40, 70), (100, 70), (100, 100), (0, 100)]
+    star = [((40 + 90 * (k % 2)) * math.cos(k * 0.45) + 150, (40 + 90 * (k % 2)) * math.sin(k * 0.45) + 140) for k in range(13)]
+    rows = ring([(float(x), float(y)) for x, y in letter], zone="c") + ring(star, zone="star")
+    rows += square(120, 120, 100, zone="holed") + ring([(140.0, 140.0), (140.0, 190.0), (190.0, 190.0), (190.0, 140.0)], zone="holed")
+    rows += square(5, 5, 10, zone="on centres") + square(201, 0, 3, zone="sliver") + square(-50, 250, 100, zone="partly") + square(900, 900, 50, zone="off")
+    return spark.createDataFrame(rows)
+
+
+def test_row_intervals_hold_the_cells_in_polygons(spark):
+    tiles, raster = tile_polygons(zones_of(spark), ["zone"]), cells(spark)
+    want = {(r["zone"], r["col"], r["row"]) for r in cells_in_polygons(raster, tiles, GRID).collect()}
+    found = row_intervals(tiles, GRID).collect()
+    got = {(r["zone"], c, r["row"]) for r in found for c in range(r["lo"], r["hi"] + 1)}
+    assert {g for g in got if 0 <= g[1] < 30 and 0 <= g[2] < 30} == want
+    # Rows of candidates follow the raster rows that a zone meets, not its cells.
+    assert len(found) < len(want) / 4
+
+
+def test_intervals_as_blocks(spark):
+    rng = random.Random(3)
+    ends = [(lo, lo + rng.choice([0, 1, 14, 15, 16, 40, 300, 5000, 20_000])) for lo in [-40, -16, -1, 0, 1, 15, 16, 255, 4095, *rng.choices(range(-9000, 9000), k=40)]]
+    df = spark.createDataFrame([(i, *e) for i, e in enumerate(ends)], "row int, lo int, hi int")
+    found = {}
+    for r in _blocks_of(df).collect():
+        found.setdefault(r["row"], []).append(range(r["idx"] * 16 ** r["lvl"], (r["idx"] + 1) * 16 ** r["lvl"]))
+    for i, (lo, hi) in enumerate(ends):
+        assert sorted(c for b in found[i] for c in b) == list(range(lo, hi + 1))
+        assert len(found[i]) <= 90 + (hi - lo) // 4096
+
+
+def test_zonal_statistics_by_blocks(spark):
+    """All six statistics against the cells themselves; large values that hardly differ keep their deviation."""
+    rng = random.Random(5)
+    values = [(c, r, None if rng.random() < 0.1 else 1e6 + rng.random()) for c in range(30) for r in range(30) if rng.random() < 0.9]
+    raster = spark.createDataFrame(values, "col int, row int, val double")
+    tiles = tile_polygons(zones_of(spark), ["zone"])
+    held = {}
+    for r in cells_in_polygons(raster, tiles, GRID).join(raster, ["col", "row"]).collect():
+        held.setdefault(r["zone"], []).append(r["val"])
+    got = {r["zone"]: r for r in zonal_statistics(raster, tiles, GRID, {"val": "v"}).collect()}
+    assert set(got) == set(held)
+    for zone, cells_ in held.items():
+        there = [v for v in cells_ if v is not None]
+        assert got[zone]["v_count"] == len(there)
+        if there:
+            assert (got[zone]["v_min"], got[zone]["v_max"]) == (min(there), max(there))
+            assert got[zone]["v_mean"] == pytest.approx(statistics.fmean(there)) and got[zone]["v_std"] == pytest.approx(statistics.pstdev(there), abs=2e-2)
+    sums = {r["zone"]: r["val"] for r in zonal_sums(raster, tiles, GRID, ["val"]).collect()}
+    assert sums == {z: pytest.approx(sum(v for v in c if v is not None)) if any(v is not None for v in c) else None for z, c in held.items()}

@@ -125,8 +125,8 @@ def test_two_georeferences_give_two_joins(spark):
 
 def test_arguments_are_checked_before_any_work():
     layers = Layers(lambda name: pytest.fail("touched a layer"))
-    with pytest.raises(ValueError, match="Invalid option 'exact'"):
-        compute(layers, "landuse", year=2020, radius=500, exact=True)
+    with pytest.raises(ValueError, match="Invalid option 'precise'"):
+        compute(layers, "landuse", year=2020, radius=500, precise=True)
     with pytest.raises(ValueError, match="Invalid year 1999. Valid years are: 2000, 2005, 2010, 2015, 2020"):
         compute(layers, "border_river", year=1999)
     with pytest.raises(ValueError, match="Invalid buffer size '250'"):
