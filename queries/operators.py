@@ -17,7 +17,7 @@ from terracell.sources import points as point_source
 from terracell.sources import rasters as raster_source
 from terracell.sources import sinks
 from terracell.sources.layers import Layers, read_layer
-from terracell.streaming.scoring import score_csv, score_stream
+from terracell.streaming.scoring import progress_of, score_csv, score_stream
 
 from .borders import cells, stats_sql
 from .centers import AT_CELL, POINTS, _alive, _emission, _projected, custom_points, gon_area_sql, weights_sql
@@ -158,7 +158,7 @@ def raster_reload(spark: SparkSession, lay: Layers) -> DataFrame:
     raster_source.write_raster(spark, cells_, path, first=True)
     again = cells_.filter(F.col("pollutant_type") == "co").withColumn("val", F.col("val") * 2)
     raster_source.write_raster(spark, again, path)
-    stored = spark.read.parquet(path)
+    stored = raster_source.read_raster(spark, path)
     return rounded(
         stored.groupBy("emission_type", "pollutant_type", "year").agg(F.count(F.lit(1)).alias("n_cells"), F.sum("val").alias("total")), 3
     )
@@ -600,11 +600,13 @@ def code_year_summary(spark: SparkSession, lay: Layers) -> DataFrame:
     "column_summary",
     " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}),6) AS mean, round(stddev_samp({c}),6) AS std, "
-        f"round(min({c}),4) AS min, round(max({c}),4) AS max FROM emission_point" for c in ("nh3", "voc", "tsp")
+        f"round(min({c}),4) AS min, round(max({c}),4) AS max, "
+        + ", ".join(f'round(quantile_cont({c}, {q / 100}),4) AS "{q}%"' for q in (25, 50, 75))
+        + " FROM emission_point" for c in ("nh3", "voc", "tsp", "co")
     ),
 )
 def column_summary(spark: SparkSession, lay: Layers) -> DataFrame:
-    return rounded(attributes.column_summary(spark.table("emission_point"), ["nh3", "voc", "tsp"]), 4, mean=6, std=6)
+    return rounded(attributes.column_summary(spark.table("emission_point"), ["nh3", "voc", "tsp", "co"]), 4, mean=6, std=6)
 
 
 _LEVELS = quantiles.LEVELS
@@ -796,13 +798,13 @@ def urbanization_levels(spark: SparkSession, lay: Layers) -> DataFrame:
 
 # Coordinate files as jobs
 
-# The points in three files, of which each begins its own numbers; rows that are no coordinates among them.
+# The points in three folders of files, of which each begins its own numbers; rows that are no coordinates among them. The files of a
+# folder hold ranges of its numbers in order.
 def _files(spark: SparkSession, name: str) -> str:
     path = sinks.scratch_path(spark, name)
     for k, rows in enumerate(("point_id % 3 = 1", "point_id % 3 = 2", "point_id % 3 = 0")):
         part = spark.sql(POINTS).filter(rows).withColumn("x", F.when(F.col("point_id") % 17 > 0, F.col("x")))
-        one = part.select(F.floor(F.col("point_id") / 3).alias("id"), "x", "y").coalesce(1).sortWithinPartitions("id")
-        sinks.write_result(one, f"{path}/file{k}", "csv")
+        sinks.write_sorted(part.select(F.floor(F.col("point_id") / 3).alias("id"), "x", "y"), f"{path}/file{k}", ["id"], "csv")
     return path
 
 
@@ -824,6 +826,20 @@ def score_coordinate_files(spark: SparkSession, lay: Layers) -> DataFrame:
     return rounded(scored.select("point_id", "x", "y", "C_Bus_0300"), 7)
 
 
+@query(
+    "score_totals",
+    """SELECT 3 AS batches, count(*) AS rows, count(*) FILTER (WHERE c_custkey % 17 = 0) AS rejects, count(*) FILTER (WHERE c_custkey % 17 > 0) AS scored FROM customer""",
+)
+def score_totals(spark: SparkSession, lay: Layers) -> DataFrame:
+    """Totals that a stream of files leaves beside its results, one folder of files a batch."""
+    path, out, state = _files(spark, "counted"), *(sinks.scratch_path(spark, n) for n in ("scored", "state"))
+    for k in range(3):
+        stream = score_stream(spark, lay, f"{path}/file[0-{k}]", "id string, x string, y string", "bus_stop", out, state, year=2023, radius=300)
+        stream.awaitTermination()
+    sums = [F.sum(c).alias(c) for c in ("rows", "rejects", "scored")]
+    return progress_of(spark, out).agg(F.count(F.lit(1)).cast("int").alias("batches"), *sums)
+
+
 @query(
     "score_arriving_files",
     f"""SELECT cast(floor(point_id/3) AS bigint) AS id, 'scored' AS kind, x, y, "C_Bus_0300" FROM ({_SCORED}) q WHERE point_id % 17 > 0

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..grid import cell_join
+from .quantiles import column_quantiles
 
 # A lookup table is broadcast only when it has no more rows than this.
 BROADCAST_ROWS = 200_000
@@ -115,10 +116,13 @@ def code_year_summary(table: DataFrame, key: list[str], value: str) -> DataFrame
 
 
 def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, least and greatest value, one row per column."""
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
+    """Count, mean, sample deviation, least value, quartiles and greatest value, one row per column."""
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])
     long = df.select(F.explode(entries).alias("_e")).select("_e.column", "_e.v")
-    return long.groupBy("column").agg(
+    simple = long.groupBy("column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"),
     )
+    parts = [0.25, 0.5, 0.75]
+    quarters = column_quantiles(df, columns, parts).withColumnsRenamed({f"q{i}": f"{p:.0%}" for i, p in enumerate(parts)})
+    return simple.join(quarters, "column", "left").select("column", "count", "mean", "std", "min", *[f"{p:.0%}" for p in parts], "max")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Accepted column names, in any letter case.
@@ -61,13 +61,18 @@ def _number(name: str) -> Column:
     return F.expr(f"try_cast(trim(`{name}`) as double)")
 
 
-def validate_xy(points: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split into rows with numeric coordinates (as doubles) and rejects (as read)."""
+def validate_xy(points: DataFrame, totals: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split into rows with numeric coordinates (as doubles) and rejects (as read).
+
+    ``totals`` learns the numbers of ``rows`` and ``rejects`` from the first action on either, without a pass of its own.
+    """
     x, y = _number("x"), _number("y")
     finite = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y) & (F.abs(x) < F.lit(float("inf"))) & (
         F.abs(y) < F.lit(float("inf"))
     )
     ok = F.coalesce(finite, F.lit(False))
+    if totals is not None:
+        points = points.observe(totals, F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("rejects"))
     good = points.filter(ok).withColumns({"x": x, "y": y})
     return good, points.filter(~ok)
 

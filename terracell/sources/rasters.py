@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,21 +45,92 @@ def with_raster_meta(files: DataFrame, path: str = "path") -> DataFrame:
     )
 
 
-def write_raster(spark: SparkSession, cells: DataFrame, path: str, first: bool = False) -> None:
-    """Add cells to the raster store; files loaded before are replaced.
+# A raster store: data/<load>/year=../emission_type=../pollutant_type=.. holds the cells of each load, manifest/<number> names,
+# for one state of the store, the load that each partition is read from.
+MANIFEST, DATA = "manifest", "data"
+
+
+def _states(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the committed states; one without its success mark was never finished."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(root):
+        return []
+    found = [f.getPath() for f in files.listStatus(root)]
+    done = [p for p in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName()) for p in done)
+
+
+def _manifest(spark: SparkSession, path: str, state: int | None) -> DataFrame | None:
+    states = _states(spark, path)
+    if state is not None and state not in states:
+        raise ValueError(f"No state {state} in the raster store. Its states are: {', '.join(map(str, states))}")
+    if not states:
+        return None
+    return spark.read.parquet(f"{path}/{MANIFEST}/{states[-1] if state is None else state:08d}")
+
+
+def read_raster(spark: SparkSession, path: str, state: int | None = None) -> DataFrame:
+    """The cells of the store as its latest committed state, or an earlier one, has them.
 
-    The partitions that the new files fall into are rewritten, others are left alone.
+    The manifest has one row for each partition. A reader that began before a reload goes on with the files it began with.
+    """
+    manifest = _manifest(spark, path, state)
+    if manifest is None:
+        raise ValueError(f"No raster store at '{path}'")
+    loads: dict[str, list[str]] = {}
+    for r in manifest.collect():
+        loads.setdefault(r["load"], []).append("/".join(f"{c}={r[c]}" for c in PARTITIONS))
+    frames = [
+        spark.read.option("basePath", f"{path}/{DATA}/{load}").parquet(*[f"{path}/{DATA}/{load}/{p}" for p in sorted(parts)])
+        for load, parts in sorted(loads.items())
+    ]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def write_raster(spark: SparkSession, cells: DataFrame, path: str, first: bool = False) -> int:
+    """Add cells to the raster store; files loaded before are replaced. Returns the number of the new state.
+
+    The partitions that the new files fall into are written anew beside the old ones, others are left alone. The
+    manifest comes last and counts only when complete, so a load that dies half-way leaves the store as it was. Of two
+    loads at once the second to finish fails.
     """
     cells = cells.select(*[c for c in cells.columns if c not in PARTITIONS], *PARTITIONS)
+    states = _states(spark, path)
+    if first == bool(states):
+        raise ValueError(f"Raster store '{path}' {'exists' if first else 'does not exist'}")
+    old = None
     if not first:
-        stored = spark.read.parquet(path)
         touched = cells.select(*PARTITIONS).distinct()
-        kept = stored.join(touched, PARTITIONS, "left_semi").join(
+        kept = read_raster(spark, path).join(touched, PARTITIONS, "left_semi").join(
             cells.select("filename", *PARTITIONS).distinct(), ["filename", *PARTITIONS], "left_anti"
         )
-        # A partition cannot be read while it is overwritten: write the new state first.
-        cells = kept.select(*cells.columns).unionByName(cells).checkpoint()
-    cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
+        cells = kept.select(*cells.columns).unionByName(cells)
+        old = _manifest(spark, path, states[-1])
+    load = uuid.uuid4().hex
+    cells.write.partitionBy(*PARTITIONS).parquet(f"{path}/{DATA}/{load}")
+    written = spark.read.parquet(f"{path}/{DATA}/{load}").select(*PARTITIONS).distinct()
+    rows = written.withColumn("load", F.lit(load))
+    if old is not None:
+        rows = rows.unionByName(old.join(written, PARTITIONS, "left_anti"))
+    state = states[-1] + 1 if states else 1
+    rows.coalesce(1).write.parquet(f"{path}/{MANIFEST}/{state:08d}")
+    return state
+
+
+def drop_states(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Forget all but the last ``keep`` states and delete the loads that none of those reads; returns the loads deleted."""
+    states = _states(spark, path)
+    rows = [_manifest(spark, path, s).select("load") for s in states[-keep:]]
+    used = {r["load"] for r in reduce(lambda a, b: a.union(b), rows).distinct().collect()} if rows else set()
+    there = spark._jvm.org.apache.hadoop.fs.Path
+    files = there(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for s in states[:-keep]:
+        files.delete(there(f"{path}/{MANIFEST}/{s:08d}"), True)
+    unused = [f.getPath() for f in files.listStatus(there(f"{path}/{DATA}")) if f.getPath().getName() not in used]
+    for p in unused:
+        files.delete(p, True)
+    return [p.getName() for p in unused]
 
 
 def load_report(files: DataFrame, stored: DataFrame) -> DataFrame:

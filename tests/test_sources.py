@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import math
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,10 +12,10 @@ from terracell.functions.projection import to_metric
 from terracell.operators.attributes import areal_weights, lookup_join, merge_by_id, negative_values, number_in_order
 from terracell.operators.measures import invalid_rings
 from terracell.operators import attributes
-from terracell.operators.quantiles import exact_quantiles, quantile_level
+from terracell.operators.quantiles import column_quantiles, exact_quantiles, quantile_level
 from terracell.sources.layers import Layers, read_layer
 from terracell.sources.points import detect_xy, points_from_list, read_points_csv, validate_xy
-from terracell.sources.rasters import load_report, with_raster_meta, write_raster
+from terracell.sources.rasters import drop_states, load_report, read_raster, with_raster_meta, write_raster
 from terracell.sources.sinks import preview, write_result, write_sorted, write_table
 
 
@@ -114,11 +116,42 @@ def test_reloading_a_file_replaces_it(spark, tmp_path):
     path = str(tmp_path / "raster")
     schema = "filename string, col int, row int, val double, year int, emission_type string, pollutant_type string"
     first = [("a", 0, 0, 1.0, 2001, "point", "co"), ("b", 1, 0, 2.0, 2001, "point", "co"), ("c", 0, 0, 3.0, 2005, "area", "nox")]
-    write_raster(spark, spark.createDataFrame(first, schema), path, first=True)
+    with pytest.raises(ValueError, match="does not exist"):
+        write_raster(spark, spark.createDataFrame(first, schema), path)
+    assert write_raster(spark, spark.createDataFrame(first, schema), path, first=True) == 1
+    with pytest.raises(ValueError, match="exists"):
+        write_raster(spark, spark.createDataFrame(first, schema), path, first=True)
+    held = read_raster(spark, path)
     for _ in range(2):
         write_raster(spark, spark.createDataFrame([("a", 0, 0, 10.0, 2001, "point", "co")], schema), path)
-        got = {(r["filename"], r["val"]) for r in spark.read.parquet(path).collect()}
+        got = {(r["filename"], r["val"]) for r in read_raster(spark, path).collect()}
         assert got == {("a", 10.0), ("b", 2.0), ("c", 3.0)}
+    # Who began before a reload ends as they began; earlier states can be read too.
+    before = {("a", 1.0), ("b", 2.0), ("c", 3.0)}
+    assert {(r["filename"], r["val"]) for r in held.collect()} == before
+    assert {(r["filename"], r["val"]) for r in read_raster(spark, path, 1).collect()} == before
+    assert dict(read_raster(spark, path).dtypes)["year"] == "int"
+    assert len(drop_states(spark, path, keep=1)) == 1
+    assert {(r["filename"], r["val"]) for r in read_raster(spark, path).collect()} == got
+    with pytest.raises(ValueError, match="No state 1 in the raster store. Its states are: 3"):
+        read_raster(spark, path, 1)
+
+
+def test_a_load_that_dies_leaves_the_store_as_it_was(spark, tmp_path):
+    """One partition is written, the other fails."""
+    path = str(tmp_path / "raster")
+    schema = "filename string, col int, row int, val double, year int, emission_type string, pollutant_type string"
+    first = [("a", 0, 0, 1.0, 2001, "point", "co"), ("c", 0, 0, 3.0, 2005, "area", "nox")]
+    write_raster(spark, spark.createDataFrame(first, schema), path, first=True)
+    new = spark.createDataFrame([("a", 0, 0, 10.0, 2001, "point", "co"), ("c", 0, 0, 30.0, 2005, "area", "nox")], schema).repartition(2, "year")
+    broken = new.withColumn("val", F.when(F.col("year") == 2005, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("val")))
+    with pytest.raises(Exception, match="lost"):
+        write_raster(spark, broken, path)
+    assert {(r["filename"], r["val"]) for r in read_raster(spark, path).collect()} == {("a", 1.0), ("c", 3.0)}
+    # A manifest that was not finished does not count either.
+    (tmp_path / "raster" / "manifest" / "00000009").mkdir()
+    assert read_raster(spark, path).count() == 2 and write_raster(spark, new, path) == 2
+    assert {r["val"] for r in read_raster(spark, path).collect()} == {10.0, 30.0}
 
 
 def test_layers_by_year_and_version(spark, tmp_path):
@@ -248,3 +281,22 @@ def test_quantiles_are_exact(spark):
 def test_negative_values(spark):
     df = spark.createDataFrame([(1, 5, -2), (2, 0, None)], "id int, a int, b int")
     assert [(r["id"], r["column"], r["value"]) for r in negative_values(df, ["id"], ["a", "b"]).collect()] == [(1, "b", -2.0)]
+
+
+@pytest.mark.parametrize("accuracy", [50_000, 40])
+def test_quantiles_of_many_columns(spark, accuracy, monkeypatch):
+    """Also with a sketch so coarse that brackets matter; empty columns, nulls, not-a-numbers and ties."""
+    monkeypatch.setattr("terracell.operators.quantiles.ACCURACY", accuracy)
+    rng = random.Random(4)
+    nan = float("nan")
+    rows = [(rng.gauss(0, 1) if i % 7 else None, float(rng.randint(0, 3)), nan if i % 5 else 1.0 * i, None, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, none double, `d x` int").repartition(5)
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r["column"]: list(r)[1:] for r in column_quantiles(df, ["a", "b", "c", "none", "d x"], shares).collect()}
+    assert set(got) == {"a", "b", "c", "d x"}
+    for i, c in enumerate(("a", "b", "c", "d x")):
+        v = sorted(float(r[i if i < 3 else 4]) for r in rows if r[i if i < 3 else 4] is not None and r[i if i < 3 else 4] == r[i if i < 3 else 4])
+        for s, q in zip(shares, got[c]):
+            p = (len(v) - 1) * s
+            low = v[int(p)]
+            assert q == pytest.approx(low + (p - int(p)) * (v[min(int(p) + 1, len(v) - 1)] - low), abs=1e-12)

@@ -5,6 +5,7 @@ import sys
 
 import duckdb
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from terracell.operators.raster import RasterGrid
@@ -12,7 +13,7 @@ from terracell.plans.points import file_calculator
 from terracell.plans.registry import VARIABLES, BufferSize, compute, compute_many, find
 from terracell.sources.layers import Layers
 from terracell.sources.sinks import write_result
-from terracell.streaming.scoring import score_csv, score_stream
+from terracell.streaming.scoring import progress_of, score_csv, score_stream
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
@@ -79,7 +80,7 @@ def test_many_counts_share_one_pass(spark, tmp_path):
     for df in single.values():
         assert {r[0]: r[1] for r in df.collect()} == {k: r[df.columns[1]] for k, r in rows.items()}
     with pytest.raises(ValueError, match="asked for twice"):
-        compute_many(lay, [calls[0], calls[0]])
+        compute_many(lay, [calls[0]] * 3)
     with pytest.raises(ValueError, match="Invalid buffer size"):
         compute_many(lay, [calls[0], {**calls[1], "radius": 7}])
 
@@ -176,14 +177,19 @@ def test_scoring_files_once_and_as_they_arrive(spark, tmp_path):
     file = tmp_path / "in" / "a.csv"
     file.parent.mkdir()
     file.write_text("id,lon,lat\n5,127.5,38.0\n6,bad,38.0\n7,128.5,38.0\n")
-    scored, rejects = score_csv(spark, lay, str(file), "bus_stop", year=2023, radius=100)
+    totals = Observation()
+    scored, rejects = score_csv(spark, lay, str(file), "bus_stop", totals, year=2023, radius=100)
     assert {(r["point_id"], r["C_Bus_0100"]) for r in scored.collect()} == {(1, 5), (3, 0)}
     assert [r["row_no"] for r in rejects.collect()] == [2]
+    assert totals.get == {"rows": 3, "rejects": 1}
     out = str(tmp_path / "out")
     args = (spark, lay, str(file.parent), "id string, lon string, lat string", "bus_stop", out, str(tmp_path / "state"))
     score_stream(*args, year=2023, radius=100).awaitTermination()
     (file.parent / "b.csv").write_text("id,lon,lat\n5,127.5,38.0\n5,127.5,38.0\n,127.5,38.0\n")
-    score_stream(*args, year=2023, radius=100).awaitTermination()
+    told = []
+    score_stream(*args, year=2023, radius=100, files_per_batch=1, on_batch=told.append).awaitTermination()
+    done = [(r["batch"], r["rows"], r["rejects"], r["scored"]) for r in progress_of(spark, out).orderBy("batch").collect()]
+    assert done == [(0, 3, 1, 2), (1, 3, 0, 3)] and [(t["batch"], t["rows"], t["scored"]) for t in told] == [(1, 3, 3)]
     rows = spark.read.parquet(f"{out}/scored").collect()
     # Ids may repeat or lack; every row of every file is a point of its own.
     assert sorted((r["id"] or "", r["C_Bus_0100"]) for r in rows) == [("", 5), ("5", 5), ("5", 5), ("5", 5), ("7", 0)]
