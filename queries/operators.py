@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from terracell.operators import attributes, buffers, measures, overlay, quantile
 from terracell.operators.nearest import distance_to_all
 from terracell.plans.centers import intersection_areas
 from terracell.plans.registry import Request, compute, compute_many
+from terracell.sources import indexes
 from terracell.sources import points as point_source
 from terracell.sources import rasters as raster_source
 from terracell.sources import sinks
@@ -40,6 +42,13 @@ from .support import (
     rounded,
 )
 
+
+
+def _name(kind: str) -> str:
+    """A table name of its own for every run."""
+    return f"{kind}_{uuid.uuid4().hex}"
+
+
 # Sources and sinks
 
 # A coordinate file with other column names, an extra column and rows that are not numbers.
@@ -702,6 +711,26 @@ def hospital_counts_nested(spark: SparkSession, lay: Layers) -> DataFrame:
     return compute_many(lay, [{"name": "hospital_count", "year": y, "radius": r} for y, r in _GRID])
 
 
+@query("population_stored_overlaps", f"SELECT * FROM ({ORACLES['population']}) p JOIN ({ORACLES['house_type_count']}) h USING (tot_reg_cd)")
+def population_stored_overlaps(spark: SparkSession, lay: Layers) -> DataFrame:
+    """Two census variables from one overlap table, kept in buckets of the census unit."""
+    kept = indexes.store_overlaps(intersection_areas(Request(lay, None, 2010, 2010, 500)), _name("overlaps"), path=sinks.scratch_path(spark, "overlaps"))
+    wanted = [{"name": n, "border_type": "sgg", "overlaps": kept} for n in ("population", "house_type_count")]
+    return rounded(compute_many(lay, wanted, year=2010, radius=500))
+
+
+@query(
+    "borders_stored_tiles",
+    f"""SELECT * FROM ({ORACLES['border_road']}) r JOIN ({ORACLES['border_hospital']}) h USING (sigungu_cd) JOIN ({ORACLES['border_topographic_model']}) t USING (sigungu_cd)""",
+)
+def borders_stored_tiles(spark: SparkSession, lay: Layers) -> DataFrame:
+    """Road length, hospitals and elevation of borders whose tiles were kept in buckets of the grid cell."""
+    tiles = overlay.tile_polygons(lay.get("border_edge"), ["sigungu_cd"])
+    kept = indexes.store_tiles(tiles, _name("tiles"), path=sinks.scratch_path(spark, "tiles"))
+    wanted = [{"name": n, "year": y} for n, y in (("border_road", 2000), ("border_hospital", 2010), ("border_topographic_model", 2010))]
+    return rounded(compute_many(lay, wanted, grid=GRID, tiles=kept), 4, road_length=3, dem_mean=10, dsm_mean=10)
+
+
 RING = ["above_20", "below_20", "above_50", "below_50"]
 RING_DIGITS = {f"{c}_1000{again}": 6 for c in RING for again in ("", "_dsm_1000")}
 

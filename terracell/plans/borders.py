@@ -10,6 +10,7 @@ from ..operators.attributes import fill_units, merge_by_id, prefix_join
 from ..operators.measures import border_measures
 from ..operators.nearest import distance_to_all, distance_to_union, nearest
 from ..operators.overlay import (
+    Tiles,
     line_length_in_polygons,
     lines_within_polygons,
     overlay_areas,
@@ -26,6 +27,16 @@ LANDUSE_CODES = [110, 120, 130, 140, 150, 160, 200, 310, 320, 330, 400, 500, 600
 POLLUTANT_LABELS = {"co": "CO", "nox": "NOx", "nh3": "NH3", "voc": "VOC", "pm10": "PM10", "sox": "SOx", "tsp": "TSP"}
 
 
+def _tiles(q: Request, edges: DataFrame, code: str) -> Tiles:
+    """The border's tiles: stored ones if the request brings them along."""
+    given = q.options.get("tiles")
+    if given is None:
+        return tile_polygons(edges, [code])
+    if given.key != [code]:
+        raise ValueError(f"The tiles have key {given.key}, not ['{code}']")
+    return given
+
+
 def _codes(edges: DataFrame, code: str) -> DataFrame:
     return edges.select(code).distinct()
 
@@ -47,11 +58,11 @@ def emission_sums(found: list[DataFrame], unit: str) -> DataFrame:
     return total.groupBy(unit).agg(*[F.sum(p).alias(p) for p in POLLUTANTS])
 
 
-@variable("border_emission", UNIT_BORDER, years=EVERY_FIVE)
+@variable("border_emission", UNIT_BORDER, years=EVERY_FIVE, extras=("tiles",))
 def emission(q: Request) -> DataFrame:
     """Emissions of points, lines and areas that lie wholly inside the border."""
     edges, code = q.border()
-    tiles = tile_polygons(edges, [code])
+    tiles = _tiles(q, edges, code)
     points = sum_in_polygons(q.layers.at("emission_point", q.year), tiles, {p: F.col(p) for p in POLLUTANTS})
     lines, areas = (q.layers.at(n, q.year) for n in ("emission_line", "emission_area"))
     amounts = [F.first(p).alias(p) for p in POLLUTANTS]
@@ -132,33 +143,33 @@ def port_distance(q: Request) -> DataFrame:
 
 def _line_length(q: Request, layer: str, name: str) -> DataFrame:
     edges, code = q.border()
-    found = line_length_in_polygons(q.layers.at(layer, q.year), tile_polygons(edges, [code]), {name: F.lit(1.0)})
+    found = line_length_in_polygons(q.layers.at(layer, q.year), _tiles(q, edges, code), {name: F.lit(1.0)})
     return fill_units(_codes(edges, code), found, code, {name: 0.0})
 
 
-@variable("border_rail", UNIT_BORDER, years=EVERY_FIVE)
+@variable("border_rail", UNIT_BORDER, years=EVERY_FIVE, extras=("tiles",))
 def rail(q: Request) -> DataFrame:
     return _line_length(q, "rail_seg", "rail_length")
 
 
-@variable("border_road", UNIT_BORDER, years=EVERY_FIVE, remap={2000: 2005})
+@variable("border_road", UNIT_BORDER, years=EVERY_FIVE, remap={2000: 2005}, extras=("tiles",))
 def road(q: Request) -> DataFrame:
     return _line_length(q, "road_seg", "road_length")
 
 
-@variable("border_ndvi", UNIT_BORDER, years=EVERY_FIVE, extras=("statistic",))
+@variable("border_ndvi", UNIT_BORDER, years=EVERY_FIVE, extras=("statistic", "tiles"))
 def ndvi(q: Request) -> DataFrame:
     edges, code = q.border()
     cells = q.layers.at("ndvi_cell", q.year).filter(F.col("statistic") == q.options.get("statistic", "mean"))
     once = mosaic(cells, load_order(cells))
-    return zonal_statistics(once, tile_polygons(edges, [code]), q.raster("ndvi"), {"val": "ndvi"})
+    return zonal_statistics(once, _tiles(q, edges, code), q.raster("ndvi"), {"val": "ndvi"})
 
 
-@variable("border_topographic_model", UNIT_BORDER, years=EVERY_FIVE)
+@variable("border_topographic_model", UNIT_BORDER, years=EVERY_FIVE, extras=("tiles",))
 def topographic_model(q: Request) -> DataFrame:
     """Elevation and surface statistics; borders outside one raster keep the other's."""
     edges, code = q.border()
-    tiles = tile_polygons(edges, [code])
+    tiles = _tiles(q, edges, code)
     raster = q.layers.get("raster_cell")
     order, names = load_order(raster), ["dem", "dsm"]
     if q.raster("dem") == q.raster("dsm"):
@@ -172,29 +183,29 @@ def topographic_model(q: Request) -> DataFrame:
 RASTER_EMISSION_YEARS = {2001: 2000, 2005: 2005, 2010: 2010, 2015: 2015, 2019: 2020}
 
 
-@variable("border_raster_emission", UNIT_BORDER, years=tuple(RASTER_EMISSION_YEARS))
+@variable("border_raster_emission", UNIT_BORDER, years=tuple(RASTER_EMISSION_YEARS), extras=("tiles",))
 def raster_emission(q: Request) -> DataFrame:
     """Sum over the border of point + line + area emission rasters, all pollutants in one pass."""
     edges, code = q.layers.border(q.border_type, RASTER_EMISSION_YEARS[q.year])
     cells = q.layers.at("emission_cell", q.year)
     added = add_rasters(cells, "emission_type", ["point", "line", "area"], ["pollutant_type"], order=load_order(cells))
     wide = added.groupBy("col", "row").pivot("pollutant_type", POLLUTANTS).agg(F.first("val"))
-    sums = zonal_sums(wide, tile_polygons(edges, [code]), q.raster("emission"), POLLUTANTS)
+    sums = zonal_sums(wide, _tiles(q, edges, code), q.raster("emission"), POLLUTANTS)
     return sums.withColumnsRenamed({p: f"r_emission_{p}" for p in POLLUTANTS})
 
 
 def _facility_count(q: Request, layer: str, name: str) -> DataFrame:
     edges, code = q.border()
     alive = q.layers.get(layer).filter(open_in_year(q.year))
-    found = sum_in_polygons(alive, tile_polygons(edges, [code]), {name: F.lit(1)})
+    found = sum_in_polygons(alive, _tiles(q, edges, code), {name: F.lit(1)})
     return fill_units(_codes(edges, code), found, code, {name: 0})
 
 
-@variable("border_clinic", UNIT_BORDER, years=EVERY_FIVE)
+@variable("border_clinic", UNIT_BORDER, years=EVERY_FIVE, extras=("tiles",))
 def clinic(q: Request) -> DataFrame:
     return _facility_count(q, "clinics", "clinic_count")
 
 
-@variable("border_hospital", UNIT_BORDER, years=EVERY_FIVE)
+@variable("border_hospital", UNIT_BORDER, years=EVERY_FIVE, extras=("tiles",))
 def hospital(q: Request) -> DataFrame:
     return _facility_count(q, "hospitals", "hospital_count")
