@@ -5,7 +5,8 @@ one piece at least must then stand unchanged in the passage, near the place wher
 automaton finds the pieces of all items in one walk over a text; each hit names a window of the text, and the
 least edit distance between the item and any passage in that window decides.
 
-Items and texts are compared in lower case and with white space runs as one blank.
+Items and texts are compared in lower case and with white space runs as one blank. An item of fewer than ``PHRASE``
+words is looked for as it is, between blanks or the ends of the text.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql.types import StructType
 from terracell.llm.common import text_blocks
 
 RATE = 0.05
-MIN_WORDS = 5
+# Items of fewer words stand for an exact phrase: no edits, and on word bounds.
+PHRASE = 5
 # Bytes of test items that are broadcast at once; more are taken in further passes.
 ITEMS = 16 << 20
 
@@ -65,7 +67,8 @@ class Finder:
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
         self.items = items
-        self.budget = [math.floor(len(t) * rate) for _, t in items]
+        self.phrase = [t.count(" ") < PHRASE - 1 for _, t in items]
+        self.budget = [0 if p else math.floor(len(t) * rate) for (_, t), p in zip(items, self.phrase)]
         self.masks: dict[int, dict[str, int]] = {}
         places: dict[str, list[tuple[int, int]]] = {}
         for i, (_, item) in enumerate(items):
@@ -90,6 +93,12 @@ class Finder:
                     continue
                 k, m = self.budget[i], len(self.items[i][1])
                 begin = last + 1 - size - offset
+                if self.phrase[i]:
+                    if (not begin or text[begin - 1] == " ") and text[last + 1 : last + 2] in ("", " "):
+                        found[i] = (0, last + 1)
+                        if first_only:
+                            return found
+                    continue
                 # Hits whose windows begin in the same stretch share one, wide enough for all of them.
                 stretch = begin // (2 * k + 1)
                 if (i, stretch) in tried:
@@ -117,7 +126,7 @@ def _finder(items: tuple[tuple[int, str], ...], rate: float) -> Finder:
     return Finder(list(items), rate)
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", min_words: int = MIN_WORDS, most_bytes: int = ITEMS) -> Iterator[Broadcast]:
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", min_words: int = 1, most_bytes: int = ITEMS) -> Iterator[Broadcast]:
     """Normalised items, dealt by hash into broadcasts of about ``most_bytes``."""
     spark = benchmark.sparkSession
     chosen = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text")).dropDuplicates()
@@ -131,14 +140,14 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS,
+    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_words: int = 1,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, item_id, distance, item_chars, end) for every row of ``docs`` that holds a passage within ``rate`` * length
     edits of a test item: its least distance, and where that passage first ends in the normalised text.
 
-    Items that are null or of fewer than ``min_words`` words stand in ordinary texts and are not looked for; equal items
-    count once. Null and empty texts hold nothing. Repeated rows each give their rows, null ids stay
+    Items of fewer than ``PHRASE`` words are found without edits only, and between word bounds. Null items and those of fewer
+    than ``min_words`` words (one unless told otherwise) are not looked for; equal items count once. Null and empty texts hold nothing. Repeated rows each give their rows, null ids stay
     null, an empty table on either side gives no rows, other columns are ignored. Whole texts are searched.
     """
     names = ["doc_id", "item_id", "distance", "item_chars", "end"]
@@ -164,8 +173,9 @@ def leaks(
     return out
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with their own columns. Nothing is shuffled."""
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_words: int = 1, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no test item, with their own columns. Nothing is shuffled. ``min_words`` spares
+    documents from test items that are no more than common words."""
     at = docs.columns.index(text_col)
 
     def without(kept: DataFrame, shared: Broadcast) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracell.llm.common import stash, unstash, word_count
+from terracell.llm.components import components
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -150,7 +151,7 @@ def _shares(patterns: DataFrame, targets: DataFrame, epochs: int) -> DataFrame:
         alone = arcs.join(met, arcs.source.eqNullSafe(met.met), "left_anti").select("pattern", "size", F.least(epochs * F.col("size"), "quota").alias("taken"))
         arcs = arcs.join(met, arcs.source.eqNullSafe(met.met), "left_semi")
         if arcs.count() > ARCS:
-            raise ValueError(f"sources overlap in more than {ARCS} ways; merge rare sources first")
+            return _shares_apart(arcs, epochs).union(alone)
     rows = arcs.collect()
     pattern, source = {}, {}
     for r in sorted(rows, key=lambda r: ([(s is None, s or "") for s in r.pattern], r.source is None, r.source or "")):
@@ -160,6 +161,29 @@ def _shares(patterns: DataFrame, targets: DataFrame, epochs: int) -> DataFrame:
     return spark.createDataFrame(solved, "pattern array<string>, size long, taken long").union(alone)
 
 
+def _shares_apart(arcs: DataFrame, epochs: int) -> DataFrame:
+    """The same where the network is too large for the driver: each of its connected parts is solved in a task of its own."""
+    node = F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull())
+    met = arcs.select(node.alias("b"), F.xxhash64(F.to_json("pattern")).alias("a"), "pattern", "size", "source", "quota")
+    met = stash(met, "network")
+    labels = components(met.select("a", "b")).withColumnRenamed("node", "a")
+
+    def solve(part: pd.DataFrame) -> pd.DataFrame:
+        key = [tuple(p) for p in part["pattern"]]
+        size, members, source, quotas = {}, {}, {}, []
+        for p, n, s, quota in sorted(zip(key, part["size"], part["source"], part["quota"]), key=lambda r: ([(s is None, s or "") for s in r[0]], r[2] is None, r[2] or "")):
+            if s not in source:
+                source[s] = len(quotas)
+                quotas.append(int(quota))
+            size[p] = int(n)
+            members.setdefault(p, []).append(source[s])
+        taken = Flow(list(size.values()), [members[p] for p in size], quotas).solve(epochs)
+        return pd.DataFrame({"pattern": [list(p) for p in size], "size": list(size.values()), "taken": taken})
+
+    parts = met.join(labels, "a").select("label", "pattern", "size", "source", "quota")
+    return parts.groupBy("label").applyInPandas(solve, "pattern array<string>, size long, taken long")
+
+
 def _picks(units: DataFrame, shares: DataFrame) -> DataFrame:
     """(pattern, passes, edge_hash, edge_id, extra, left): documents before the edge but those left out, and
     the extra ones get one more pass."""

@@ -77,7 +77,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir), RULES)
 
 
-SPANS = {"several": 2, "words": 25, "lone": 50}
+SPANS = {"several": 2, "words": 12, "lone": 25}
 
 
 @query("op7_sentence_spans", oracles.spans_sql(**SPANS))

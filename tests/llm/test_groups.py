@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -154,6 +155,26 @@ def test_overlapping_sources_share_documents(spark):
     assert max(r.passes for r in rows if "b" in r.pattern or "a" in r.pattern) == 1
 
 
+def test_networks_in_parts(spark, monkeypatch):
+    """Networks too large for the driver are solved part by part, to the same amount and cost."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(60):
+        group = rng.randrange(4)
+        members = sorted({f"g{group}s{rng.randrange(3)}" for _ in range(rng.randint(1, 3))})
+        rows.append((members, rng.randint(1, 50)))
+    rows = list({tuple(m): (m, n) for m, n in rows}.values()) + [([None], 9), ([None, "g0s0"], 7)]
+    sources = sorted({s for m, _ in rows for s in m}, key=str)
+    patterns = spark.createDataFrame(rows, "pattern array<string>, size long")
+    targets = spark.createDataFrame([(s, float(rng.randint(0, 90))) for s in sources], "source string, target double")
+    one = {tuple(r.pattern): r.taken for r in mixing._shares(patterns, targets, 2).collect()}
+    monkeypatch.setattr(mixing, "ARCS", 3)
+    two = {tuple(r.pattern): r.taken for r in mixing._shares(patterns, targets, 2).collect()}
+    size = {tuple(m): n for m, n in rows}
+    cost = lambda t: (sum(t.values()), sum(max(0, v - size[k]) for k, v in t.items()))
+    assert set(one) == set(two) == set(size) and cost(one) == cost(two)
+
+
 def fingerprint(text):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))] if w else []
@@ -337,6 +358,44 @@ def test_pseudonyms_of_odd_rows(odd, nothing):
     assert pseudonyms.pseudonymize(nothing, "k").count() == 0
 
 
+class PlainLearner:
+    """FTRL-proximal with dicts, one row and one feature at a time; the bias has no L1."""
+
+    def __init__(self, own):
+        self.own, self.z, self.n = own, {}, {}
+
+    def weight(self, f):
+        z, l1 = self.z.get(f, 0.0), 0.0 if f == "bias" else self.own.l1
+        if abs(z) <= l1:
+            return 0.0
+        return -(z - math.copysign(l1, z)) / ((self.own.beta + math.sqrt(self.n[f])) / self.own.alpha + self.own.l2)
+
+    def learn(self, features, label):
+        w = {f: self.weight(f) for f in (*features, "bias")}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for f, v in w.items():
+            n = self.n.get(f, 0.0)
+            self.z[f] = self.z.get(f, 0.0) + g - (math.sqrt(n + g * g) - math.sqrt(n)) / self.own.alpha * v
+            self.n[f] = n + g * g
+
+
+def test_training_against_plain_ftrl(spark):
+    """Two rounds over one shard give the weights of the plain learner."""
+    own = toxicity.Settings(bits=12, l1=0.7, l2=0.1, shards=1, rounds=2)
+    rng = random.Random(9)
+    rows = [(i, words(rng, rng.randint(0, 25)) + " bad!" * (i % 3 == 0), int(i % 3 == 0)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, text string, label int")
+    at, weights, bias = toxicity.train(df, own)
+    plain, features = PlainLearner(own), toxicity.Features(own.bits)
+    order = df.selectExpr("xxhash64(id, text) AS place", "text", "label").orderBy("place", "label").collect()
+    for _ in range(own.rounds):
+        for r in order:
+            plain.learn(features([r.text.encode()])[1].tolist(), r.label)
+    want = {f: w for f in plain.z if f != "bias" for w in [plain.weight(f)] if w}
+    assert dict(zip(at.tolist(), weights.tolist())) == {f: pytest.approx(w) for f, w in want.items()} and want
+    assert bias == pytest.approx(plain.weight("bias"))
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(4)
     bad = [words(rng, 1) + "zz" for _ in range(8)]

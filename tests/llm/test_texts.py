@@ -161,7 +161,7 @@ def test_myers_against_plain_distance():
 def test_leaks_against_plain_distance(spark):
     rng = random.Random(8)
     items = [(i, " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(rng.randint(2, 40)))) for i in range(12)]
-    items += [(50, None), (51, ""), (52, items[0][1])]
+    items += [(50, None), (51, ""), (52, items[0][1]), (53, "Filler"), (54, "zz end"), (55, "nothing of it"), (56, "fill")]
     docs = []
     for d in range(60):
         item = list(rng.choice(items[:12])[1])
@@ -175,6 +175,8 @@ def test_leaks_against_plain_distance(spark):
         hits = []
         for i, item in items:
             item = decontaminate.normal(item or "")
+            if item and len(item.split()) < 5 and text is not None and f" {item} " in f" {decontaminate.normal(text)} ":
+                hits.append((d, i, 0))
             if len(item.split()) >= 5 and text is not None:
                 least, _ = brute_distance(item, decontaminate.normal(text))
                 if least <= int(len(item) * 0.05):
@@ -186,6 +188,9 @@ def test_leaks_against_plain_distance(spark):
     found = decontaminate.leaks(docs, benchmark)
     assert Counter((r.doc_id, r.item_id, r.distance) for r in found.collect()) == want
     assert decontaminate.drop_leaks(docs, benchmark).count() == clean
+    # The caller may spare documents from items that are no more than common words.
+    long = {(d, i, n) for d, i, n in want if i not in (53, 54, 55, 56)}
+    assert {(r.doc_id, r.item_id, r.distance) for r in decontaminate.leaks(docs, benchmark, min_words=3).collect()} <= long
 
 
 def test_leaks_of_odd_rows(spark, odd, nothing):
