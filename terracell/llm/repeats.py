@@ -100,14 +100,17 @@ def settle(rows: DataFrame) -> DataFrame:
 
 
 def with_verdicts(texts: DataFrame, verdicts: DataFrame, how: str = "left") -> DataFrame:
-    """(doc, twin, text, first, more): texts, compressed for the way, with the places of their verdicts as arrays."""
+    """(doc, twin, text, first, more): texts, compressed for the way, with the places of their verdicts as arrays.
+
+    Repeated rows share (doc, twin): each of them sends the same verdicts, which are listed once.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdCompressor(level=3)
         for batch, block in text_blocks(batches, 2):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([tool.compress(t) for t in block], pa.binary())], ["doc", "twin", "text"])
 
-    lists = verdicts.groupBy("doc", "twin").agg(F.collect_list(F.struct("first", "more")).alias("rows"))
+    lists = verdicts.groupBy("doc", "twin").agg(F.collect_set(F.struct("first", "more")).alias("rows"))
     lists = lists.select("doc", "twin", F.col("rows.first").alias("first"), F.col("rows.more").alias("more"))
     return texts.mapInArrow(pack, "doc long, twin int, text binary").join(lists, ["doc", "twin"], how).select("doc", "twin", "text", "first", "more")
 

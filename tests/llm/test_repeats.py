@@ -207,3 +207,14 @@ def test_removal_on_the_corpus(spark, corpus):
     rows = [(d, t) for d, t, _ in corpus]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     assert removal(df) == plain_removal(rows, 100)
+
+
+def test_repeated_rows_list_their_places_once(spark):
+    """Rows of one id (or none) and one text share their verdicts, whose list does not grow with them."""
+    text = words(random.Random(8), 80)
+    df = spark.createDataFrame([(0, text)] + [(None, text)] * 60 + [(3, text + text)] * 40, "doc_id long, text string").repartition(7)
+    texts = repeats.keyed(df, "doc_id", "text")
+    places = texts.selectExpr("doc", "twin", "explode(sequence(0L, 4L)) AS first", "7 AS more")
+    sizes = {len(r["first"]) for r in repeats.with_verdicts(texts, places).collect()}
+    assert sizes == {5}
+    assert removal(df) == plain_removal(df.collect(), 100)
