@@ -34,7 +34,14 @@ BATCH = 128
 DOCS = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
 
 
+def known_uri(uri: str) -> str:
+    """A folder's address as Arrow's file systems know it: Hadoop has names of its own for the same store."""
+    scheme, sep, rest = uri.partition("://")
+    return f"s3{sep}{rest}" if scheme in ("s3a", "s3n") else uri
+
+
 def _store(uri: str) -> tuple[pafs.FileSystem, str]:
+    uri = known_uri(uri)
     return pafs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
 
 

@@ -86,6 +86,11 @@ def test_token_files_round_trip(spark, corpus):
         at += r.n_tokens
 
 
+def test_scratch_folders_of_hadoop_names():
+    assert token_files.known_uri("s3a://bucket/a/b") == "s3://bucket/a/b" == token_files.known_uri("s3n://bucket/a/b")
+    assert [token_files.known_uri(u) for u in ("file:///a", "/a", "hdfs://n:8020/a", "s3://b/a")] == ["file:///a", "/a", "hdfs://n:8020/a", "s3://b/a"]
+
+
 def test_token_files_of_odd_rows(spark, odd, nothing):
     got = token_files.read_token_files(spark, files_of(odd)).orderBy("start").collect()
     rows = odd.collect()
