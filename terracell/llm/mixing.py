@@ -208,16 +208,16 @@ def _picks(units: DataFrame, shares: DataFrame) -> DataFrame:
     second = stash(edge(slot, "low", ["high", "low"]), "slots")
     # A slot of the second level holds one document in 16 million of its pattern.
     near = units.withColumns({"high": high, "low": low}).join(second, ["pattern", "high", "low"])
-    w = Window.partitionBy("pattern").orderBy("hash", F.col("doc_id").asc_nulls_first())
+    w = Window.partitionBy("pattern").orderBy("hash", "doc_id")
     run = near.withColumn("upto", F.sum("unit").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     past = run.filter(F.col("upto") > F.col("rest")).groupBy("pattern").agg(
-        F.min(F.struct("hash", F.col("doc_id").isNotNull().alias("has_id"), "doc_id", (F.col("rest") - F.col("upto") + F.col("unit")).alias("gap"))).alias("e")
+        F.min(F.struct("hash", "doc_id", (F.col("rest") - F.col("upto") + F.col("unit")).alias("gap"))).alias("e")
     )
     edges = stash(past.select("pattern", F.col("e.hash").alias("edge_hash"), F.col("e.doc_id").alias("edge_id"), F.col("e.gap").alias("gap")), "edges")
 
     # What the edge leaves open is filled by trading documents next to it: on either side up to four of each power
     # of two in size.
-    near = units.filter(F.col("doc_id").isNotNull()).join(edges.filter("gap > 0"), "pattern").withColumn("taken", _before(F.col("doc_id")))
+    near = units.join(edges.filter("gap > 0"), "pattern").withColumn("taken", _before(F.col("doc_id")))
     row = F.struct("hash", "doc_id", "unit")
     few = near.groupBy("pattern", "gap", "taken", F.floor(F.log2("unit")).alias("octave"), F.pmod("hash", F.lit(4)).alias("turn")).agg(
         F.max(row).alias("last"), F.min(row).alias("first")
@@ -252,9 +252,8 @@ def closest(units: list[int], goal: int, steps: int = 1 << 18) -> list[bool]:
 
 
 def _before(doc: Column) -> Column:
-    """Is a document (hash, id) before its pattern's edge? Null ids come first among equal hashes."""
-    tie = F.coalesce(doc < F.col("edge_id"), doc.isNull() & F.col("edge_id").isNotNull())
-    return F.coalesce((F.col("hash") < F.col("edge_hash")) | (F.col("hash") == F.col("edge_hash")) & tie, F.lit(False))
+    """Is a document (hash, id) before its pattern's edge?"""
+    return F.coalesce((F.col("hash") < F.col("edge_hash")) | (F.col("hash") == F.col("edge_hash")) & (doc < F.col("edge_id")), F.lit(False))
 
 
 def _hash(doc: Column, seed: int) -> Column:
@@ -270,8 +269,8 @@ def mix(
 
     ``sources`` names a column of one source, or of an array of sources (membership; empty counts as one null source).
     taken is a whole number of passes over the document, at most ``epochs``. The sum over a pattern misses the
-    flow by less than the small documents next to the edge. Rows of one id and pattern are taken alike, all
-    rows without id as one. Texts that are null or without words have size 0 and are never taken. No rows give no
+    flow by less than the small documents next to the edge. Rows of one id and pattern are taken alike, rows
+    without id like those of equal text. Texts that are null or without words have size 0 and are never taken. No rows give no
     rows. The same rows in any order and any partitions give the same mix.
     """
     kind = docs.select(sources).schema[0].dataType.simpleString()
@@ -280,8 +279,10 @@ def mix(
     if kind.startswith("array"):
         one = F.array_sort(F.array_distinct(source.cast("array<string>")))
         one = F.when(F.size(one) > 0, one).otherwise(F.array(F.lit(None).cast("string")))
-    doc = F.col(id_col).cast("long")
-    pattern, size = F.coalesce(one, F.array(F.lit(None).cast("string"))), word_count(F.col(text_col).cast("string"))
+    own, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    # Rows without id go by their texts, so that a source that has many of them can still be split.
+    doc = F.coalesce(own, F.xxhash64(F.lit(seed), text))
+    pattern, size = F.coalesce(one, F.array(F.lit(None).cast("string"))), word_count(text)
     measured = docs.select(doc.alias("doc_id"), pattern.alias("pattern"), size.alias("size"))
     units = measured.filter("size > 0").groupBy("doc_id", "pattern").agg(F.sum("size").alias("unit")).withColumn("hash", _hash(F.col("doc_id"), seed))
     units = stash(units, "units")
@@ -295,12 +296,12 @@ def mix(
     unstash(units)
 
     row = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
-    keyed = docs.select(row.alias("row"), doc.alias("doc_id"), pattern.alias("pattern"), size.alias("size"))
+    keyed = docs.select(row.alias("row"), own.alias("own_id"), doc.alias("doc_id"), pattern.alias("pattern"), size.alias("size"))
     chosen = keyed.withColumn("hash", _hash(F.col("doc_id"), seed)).join(picks, "pattern", "left")
     within = {c: F.coalesce(F.array_contains(c, F.col("doc_id")), F.lit(False)) for c in ("extra", "left")}
     again = (_before(F.col("doc_id")) & ~within["left"]) | within["extra"]
     passes = F.coalesce(F.col("passes"), F.lit(0)) + again.cast("long")
-    return chosen.select("row", "doc_id", "pattern", "size", F.when(F.col("size") > 0, passes).otherwise(F.lit(0)).alias("passes")), targets
+    return chosen.select("row", F.col("own_id").alias("doc_id"), "pattern", "size", F.when(F.col("size") > 0, passes).otherwise(F.lit(0)).alias("passes")), targets
 
 
 def mix_report(docs: DataFrame, **args) -> DataFrame:

@@ -18,15 +18,40 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 
+# Lengths of bank account numbers by country.
+ACCOUNTS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+# Country calling codes; those not listed by their first digits have three.
+CALLING = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3})"
+
+
+def _accounts() -> str:
+    """Account numbers in groups of four as long as their country has them, so that no neighbour is taken for a group."""
+    forms = []
+    for length, countries in ACCOUNTS.items():
+        groups, rest = divmod(length - 4, 4)
+        forms.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else ""))
+    known = "|".join(ACCOUNTS.values()).replace(" ", "|")
+    other = f"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return f"(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*forms, other])})"
+
+
+NATIONAL = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
+INTERNATIONAL = r"\+(?=(?:[ .()-]{0,2}[0-9]){8,15}(?![0-9]))[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,12}\)?){1,6}"
+
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # What a candidate of each kind looks like, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9]){_accounts()}(?![A-Za-z0-9])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}(?:-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}|[0-9]{2}(?:\.[0-9]{2}\.|/[0-9]{2}/|-[0-9]{2}-)[0-9]{4})(?![0-9A-Za-z/-])",
     "ip": rf"(?<![0-9A-Za-z.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
+    "phone": rf"(?<![0-9A-Za-z+])(?:{NATIONAL}|{INTERNATIONAL})(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})(?![0-9A-Za-z])",
     "secret": r"""(?<=(?:token|secret|password|api_key)(?: [=:] |[=:] ?)["'])(?=[0-9_-]{0,127}[A-Za-z])[A-Za-z0-9_-]{16,128}(?=["'])""",
 }
@@ -103,7 +128,7 @@ def _account(m: Column) -> Column:
 
 
 def _rest(m: Column) -> Column:
-    return F.regexp_replace(m, r"^\+[0-9]{1,3}", "")
+    return F.regexp_replace(m, f"^{CALLING}", "")
 
 
 def _name(m: Column) -> Column:
@@ -194,7 +219,7 @@ def _text_of(m: Column, kind: Column, form: Column, moved: Column) -> Column:
         return _put_back(m, F.concat(fresh, F.pmod(10 - _luhn(F.concat(fresh, F.lit("0"))), F.lit(10)).cast("string")))
 
     def phone(fresh: Column) -> Column:
-        return F.concat(F.regexp_extract(m, r"^\+[0-9]{1,3}", 0), _put_back(_rest(m), fresh))
+        return F.concat(F.regexp_extract(m, f"^{CALLING}", 0), _put_back(_rest(m), fresh))
 
     def date(new: Column) -> Column:
         sign = F.regexp_extract(m, "[-/.]", 0)
@@ -221,7 +246,9 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     """Per row of ``docs``: doc_id, n_found and n_<kind> (validated values), text with their pseudonyms in place.
 
     A null text stays null, with nothing found. Null ids stay null, repeated rows each give a row, no rows give no rows, other
-    columns are ignored. Whole texts are searched. Two-digit and mixed order dates are not touched. With the same ``key``
+    columns are ignored. Whole texts are searched. International
+    phone numbers keep their country's code; groups of digits that follow one a blank apart count as its own. Left in clear: dates
+    with two-digit years, month first, or outside 1900 to 2099, and phone numbers without country code in other groups than 3-3-4. With the same ``key``
     equal values, however grouped by blanks, dashes or dots, become equal pseudonyms.
     """
     text = F.col("text")

@@ -75,6 +75,16 @@ def test_mix_of_odd_rows(odd, nothing):
     assert mixing.mix_report(nothing).count() == 0 and mixing.mixed(nothing).count() == 0
 
 
+def test_rows_without_id_are_split(spark):
+    """A source most of whose rows have no id still meets its target; equal rows are taken alike."""
+    df = spark.range(2000).selectExpr("if(id % 4 = 0, id, null) AS doc_id", "concat(repeat('w ', 1 + int(id % 7)), int(id / 2)) AS text", "if(id % 3 = 0, 'b', 'a') AS source")
+    got, taken, target = check_mix(df)
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= max(14, 0.01 * t), (s, taken[s], t)
+    out = mixing.mixed(df)
+    assert out.columns == df.columns and out.filter("doc_id IS NULL").count() > 1000
+
+
 def test_hot_source_is_mixed_by_seeded_hash(spark):
     df = spark.range(3000).selectExpr("id AS doc_id", "repeat('w ', 1 + int(id % 97)) AS text", "if(id % 3 = 0, 'b', 'a') AS source")
     one, two = (Counter({r.doc_id: r.taken for r in mixing.mix_report(df, seed=s).collect()}) for s in (1, 2))
@@ -352,6 +362,34 @@ def test_what_does_not_validate_stays(spark):
     assert secret.n_secret == 1 and re.fullmatch(r'token = "[0-9a-f]{40}" x', secret.text) and "f3ef4d" not in secret.text
 
 
+def test_account_numbers_end_where_their_country_says(spark):
+    """A neighbour in capitals is no part of a number; each is found with or without blanks."""
+    accounts = ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]
+    rows = [(k, f"IBAN {a} BIC {a.replace(' ', '')} AB") for k, a in enumerate(accounts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pseudonyms.pseudonymize(df, "k").collect():
+        a = accounts[r.doc_id]
+        assert r.n_iban == 2 and a not in r.text and a.replace(" ", "") not in r.text
+        size = len(a)
+        apart, together = r.text[5 : 5 + size], r.text[5 + size + 5 : -3]
+        assert r.text.startswith("IBAN " + a[:2]) and r.text[5 + size :].startswith(" BIC ") and r.text.endswith(" AB")
+        assert apart.replace(" ", "") == together and mod97(together) == 1
+
+
+def test_international_phone_numbers(spark):
+    numbers = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49-30-901820", "+442079460958", "+353 (1) 679 3000", "+1 555 771 3000"]
+    rows = [(k, f"call {n}, now") for k, n in enumerate(numbers)] + [(50, "a +12 b, 3+4444 and +1234567")]
+    found = {r.doc_id: r for r in pseudonyms.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    form = lambda t: "".join("0" if c.isdigit() else c for c in t)
+    for k, n in enumerate(numbers):
+        assert found[k].n_phone == 1 and n not in found[k].text and form(found[k].text) == form(rows[k][1])
+    assert all(found[k].text[5:8] == code for k, code in ((0, "+44"), (1, "+33"), (2, "+49"), (3, "+44")))
+    # Equal numbers stay equal, however grouped.
+    digits = ["".join(c for c in found[k].text if c.isdigit()) for k in (0, 3)]
+    assert digits[0] == digits[1]
+    assert found[50].n_found == 0 and found[50].text == rows[-1][1]
+
+
 def test_pseudonyms_of_odd_rows(odd, nothing):
     got = pseudonyms.pseudonymize(odd, "k")
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((r.doc_id, r.text) for r in odd.collect())
