@@ -227,3 +227,40 @@ def test_lenses_of_discs(spark):
     got = {(r["tot_reg_cd"], r["other"]): r["area"] for r in buffer_overlaps(us, 100, shape="disc").collect()}
     assert got["a", "b"] == got["b", "a"] == pytest.approx(2 * 1e4 * math.acos(0.5) - 50 * math.sqrt(4e4 - 1e4))
     assert got["a", "c"] == got["a", "a"] == pytest.approx(math.pi * 1e4) and ("a", "d") not in got
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_of_zones_are_neither_broadcast_nor_shuffled(spark):
+    """Spark takes exploded cells for as small as the units and would send them through the driver."""
+    units = spark.range(300).selectExpr("cast(id as string) AS tot_reg_cd", "id * 37e0 % 1009 AS x", "id * 53e0 % 997 AS y")
+    points = spark.range(3000).selectExpr("id * 71e0 % 1013 AS x", "id * 97e0 % 991 AS y")
+    plans = [
+        _plan(buffer_points(units, points, 100, {"n": F.lit(1)}, steps=2)),
+        _plan(buffer_points_nested(units, points, [50, 100], {"n": F.lit(1)}, steps=2)),
+        _plan(buffer_pairs(units, points, 100)),
+        _plan(buffer_overlaps(units, 30)),
+    ]
+    for plan in plans:
+        assert "BroadcastExchange" not in plan and "SortMergeJoin" not in plan
+
+
+def test_parted_blocks_and_crowded_layers_count_the_same(spark, monkeypatch):
+    units = spark.range(400).selectExpr("cast(id as string) AS tot_reg_cd", "id * 37e0 % 1009 AS x", "id * 53e0 % 997 AS y")
+    points = spark.range(2000).selectExpr("id", "id * 71e0 % 1013 AS x", "id * 97e0 % 991 AS y")
+    near = F.hypot(points.x - units.x, points.y - units.y) <= 90
+    want = {r["tot_reg_cd"]: r["n"] for r in units.crossJoin(points.withColumnRenamed("id", "pid")).filter(near).groupBy("tot_reg_cd").agg(F.count("pid").alias("n")).collect()}
+
+    def found():
+        rows = buffer_points(units, points, 90, {"n": F.lit(1)}, shape="disc", steps=2).collect()
+        pairs = buffer_pairs(units, points, 90, shape="disc").groupBy("tot_reg_cd").count().collect()
+        assert {r["tot_reg_cd"]: r["count"] for r in pairs} == want
+        return {r["tot_reg_cd"]: r["n"] for r in rows}
+
+    monkeypatch.setattr(grid, "PART_UNITS", 3)
+    assert found() == want
+    monkeypatch.setattr(grid, "HELD_ROWS", 1)
+    assert found() == want
