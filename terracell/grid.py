@@ -211,6 +211,12 @@ class Blocks:
     def join(self, cells: DataFrame, placed: DataFrame, keys: list[str], side: Column) -> DataFrame:
         """Inner join of ``cells``, made of ``units`` without a shuffle, with rows in cells ``cx, cy`` of the given side."""
         left, bottom = (F.lit(o) + F.col(c) * side for o, c in ((GRID_X0, "cx"), (GRID_Y0, "cy")))
+        dealt = self.deal(placed, left, bottom, side).repartition(*BLOCK)
+        # Partitions by block serve the join by block and cell; the layer is held, the cells stream by.
+        return cells.join(dealt.hint("shuffle_hash"), [*BLOCK, *keys], "inner").drop(*BLOCK)
+
+    def deal(self, placed: DataFrame, left: Column, bottom: Column, side: Column) -> DataFrame:
+        """Rows for every block, or part of one, with units within reach of the square at (left, bottom)."""
         reach, size = F.lit(self.reach + 1e-3), F.lit(float(self.size))
         dealt = placed.withColumn("_bx", F.explode(F.sequence(cell_x(left - reach, self.size), cell_x(left + side + reach, self.size))))
         dealt = dealt.withColumn("_by", F.explode(F.sequence(cell_y(bottom - reach, self.size), cell_y(bottom + side + reach, self.size))))
@@ -219,12 +225,8 @@ class Blocks:
         gap_y = F.greatest(F.lit(0.0), south - bottom - side, bottom - south - size)
         dealt = dealt.filter(gap_x * gap_x + gap_y * gap_y <= reach * reach)
         if self.parts is None:
-            dealt = dealt.withColumn("_part", F.lit(0))
-        else:
-            dealt = _spread_salt(dealt.join(F.broadcast(self.parts), BLOCK[:2], "left"), "_n", "_part")
-        dealt = dealt.repartition(*BLOCK)
-        # Partitions by block serve the join by block and cell; the layer is held, the cells stream by.
-        return cells.join(dealt.hint("shuffle_hash"), [*BLOCK, *keys], "inner").drop(*BLOCK)
+            return dealt.withColumn("_part", F.lit(0))
+        return _spread_salt(dealt.join(F.broadcast(self.parts), BLOCK[:2], "left"), "_n", "_part")
 
 
 def _cell_reach(x: Column, y: Column, size: float, grow: float = 0.0) -> tuple[Column, Column]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import OUTSET, SIDES, STEP, arc_turns, in_zone, segment_length, shrink_of, with_zone_share
 from ..grid import (
+    BLOCK,
     CELL,
     Blocks,
     Density,
@@ -32,6 +33,8 @@ from ..grid import (
     spread,
     with_cell,
 )
+from ..session import ship
+from .counting import counter
 from .overlay import clip_by_polygons, inside_signs, tile_polygons
 from .segments import split_at_grid
 
@@ -104,6 +107,46 @@ def _gather(hits: DataFrame, whole: DataFrame | None, key: list[str], names: lis
     return hits.groupBy(*key).agg(*_sums(names))
 
 
+def _whole_sums(
+    units: DataFrame, points: DataFrame, radii: list[float], measures: dict[str, Column], unit: str, shape: str
+) -> DataFrame | None:
+    """Sums of whole numbers over the points in each unit's zones, an array by radius (ascending) a measure, counted block by block.
+
+    None where a measure is no whole number, whose running totals would not be exact, or the points are too crowded for a block.
+    """
+    chosen = points.select("x", "y", *[m.alias(n) for n, m in measures.items()])
+    fields = [chosen.schema[n] for n in measures]
+    if any(f.dataType.typeName() not in ("byte", "short", "integer", "long") for f in fields):
+        return None
+    # Without any value that is not null, a sum is null.
+    sums = {n: F.sum(F.coalesce(F.col(n).cast("long"), F.lit(0))) for n in measures}
+    sums |= {f"_any{i}": F.count(f.name) for i, f in enumerate(fields) if f.nullable} | {"_rows": F.count(F.lit(1))}
+    spots = chosen.groupBy(F.col("x").alias("px"), F.col("y").alias("py")).agg(*[s.alias(n) for n, s in sums.items()])
+    centers = units.select(unit, "x", "y")
+    stats = measure_density(radii[-1], points=chosen.select("x", "y").distinct(), units=centers)
+    block = block_size(radii[-1], stats["units"], stats["points"], max(1.0, len(sums) / 4))
+    if block is None:
+        return None
+    ship(units.sparkSession)
+    blocks = Blocks(centers.filter("x IS NOT NULL AND y IS NOT NULL"), block, radii[-1], stats["units"])
+    dealt = blocks.deal(spots.filter("px IS NOT NULL AND py IS NOT NULL"), F.col("px"), F.col("py"), F.lit(0.0))
+    kind = centers.schema[unit].dataType.simpleString()
+    columns = [f"_{i}_{n}" for i in range(len(radii)) for n in range(len(sums))]
+    run = counter(unit, list(sums), radii, shape)
+    schema = ", ".join([f"`{unit}` {kind}", *[f"{c} long" for c in columns]])
+    found = blocks.units.groupBy(*BLOCK).cogroup(dealt.groupBy(*BLOCK)).applyInArrow(run, schema)
+    at = {n: k for k, n in enumerate(sums)}
+
+    def value(i: int, k: int) -> Column:
+        sum_, any_ = F.col(f"_{i}_{k}"), f"_any{k}"
+        return F.when(F.col(f"_{i}_{at[any_]}") > 0, sum_) if any_ in at else F.when(F.col(f"_{i}_{at['_rows']}") > 0, sum_)
+
+    arrays = [F.array(*[value(i, k) for i in range(len(radii))]).alias(n) for k, n in enumerate(measures)]
+    found = found.filter(F.col(f"_{len(radii) - 1}_{at['_rows']}") > 0).select(unit, *arrays)
+    # A unit has one zone for each of its places: what they hold adds up.
+    return found.groupBy(unit).agg(*[F.array(*[F.sum(F.col(n)[i]) for i in range(len(radii))]).alias(n) for n in measures])
+
+
 def buffer_points(
     units: DataFrame,
     points: DataFrame,
@@ -120,6 +163,9 @@ def buffer_points(
     overrides the measured choice of grid.
     """
     by, names = by or [], list(measures)
+    counted = None if by or steps is not None else _whole_sums(units, points, [float(radius)], measures, unit, shape)
+    if counted is not None:
+        return counted.select(unit, *[F.col(n)[0].alias(n) for n in names])
     # Points at one spot act as one, however many there are.
     spots = points.select("x", "y", *by, *[m.alias(n) for n, m in measures.items()]).groupBy("x", "y", *by).agg(
         *_sums(names)
@@ -152,6 +198,10 @@ def buffer_points_nested(
     point in their largest zone are absent.
     """
     names, rising = list(measures), sorted(set(float(r) for r in radii))
+    counted = None if steps is not None else _whole_sums(units, points, rising, measures, unit, shape)
+    if counted is not None:
+        at = [rising.index(float(r)) for r in radii]
+        return counted.select(unit, *[F.array(*[F.col(n)[i] for i in at]).alias(n) for n in names])
     spots = points.select("x", "y", *[m.alias(n) for n, m in measures.items()]).groupBy("x", "y").agg(*_sums(names))
     centers = _spread(units, unit)
     stats = measure_density(rising[-1], points=spots, units=centers)

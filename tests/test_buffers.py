@@ -264,3 +264,21 @@ def test_parted_blocks_and_crowded_layers_count_the_same(spark, monkeypatch):
     assert found() == want
     monkeypatch.setattr(grid, "HELD_ROWS", 1)
     assert found() == want
+
+
+@pytest.mark.parametrize("shape", ["poly32", "disc"])
+def test_counting_by_blocks_agrees_with_covers(spark, shape, monkeypatch):
+    monkeypatch.setattr(grid, "PART_UNITS", 20)
+    units = spark.range(150).selectExpr("cast(id as string) AS tot_reg_cd", "id * 37e0 % 1009 AS x", "id * 53e0 % 997 AS y")
+    points = spark.range(6000).selectExpr("id * 71e0 % 1013 AS x", "id * 97e0 % 991 AS y", "CASE WHEN id % 3 = 0 THEN id END AS v")
+    measures = {"n": F.lit(1), "v": F.col("v")}
+    counted = buffer_points_nested(units, points, [150, 40, 3], measures, shape=shape)
+    covered = buffer_points_nested(units, points, [150, 40, 3], measures, shape=shape, steps=2)
+    assert "FlatMapCoGroupsInArrow" in _plan(counted)
+
+    def told(df):
+        return {r[0]: (r["n"], r["v"]) for r in df.selectExpr("tot_reg_cd", "transform(n, e -> coalesce(e, 0)) AS n", "v").collect()}
+
+    assert told(counted) == told(covered)
+    one = {r[0]: (r[1], r[2]) for r in buffer_points(units, points, 40, measures, shape=shape).collect()}
+    assert one == {r[0]: (r[1], r[2]) for r in buffer_points(units, points, 40, measures, shape=shape, steps=1).collect()}
