@@ -282,3 +282,21 @@ def test_counting_by_blocks_agrees_with_covers(spark, shape, monkeypatch):
     assert told(counted) == told(covered)
     one = {r[0]: (r[1], r[2]) for r in buffer_points(units, points, 40, measures, shape=shape).collect()}
     assert one == {r[0]: (r[1], r[2]) for r in buffer_points(units, points, 40, measures, shape=shape, steps=1).collect()}
+
+
+def test_lines_measured_by_blocks_agree_with_covers(spark, monkeypatch):
+    monkeypatch.setattr(grid, "PART_UNITS", 20)
+    units = spark.range(120).selectExpr("cast(id as string) AS tot_reg_cd", "id * 37e0 % 1009 AS x", "id * 53e0 % 997 AS y")
+    # Short and long lines, level and upright ones, one without length, one without a weight, one whose weight is not finite.
+    lines = spark.range(800).selectExpr(
+        "id * 71e0 % 1013 AS x1", "id * 97e0 % 991 AS y1", "id * 71e0 % 1013 + id * 31 % 400 * (id % 3 - 1) AS x2", "id * 97e0 % 991 + id * 17 % 300 * (id % 4 - 1) AS y2",
+        "CASE WHEN id = 5 THEN double('NaN') WHEN id % 10 > 0 THEN id % 7 + 0.5e0 END AS w",
+    )
+    for shape in ("poly32", "disc"):
+        for chosen in (lines, lines.filter("NOT isnan(w)")):
+            got, want = (
+                {r[0]: r[1] for r in buffer_lines(units, chosen, 150, {"w": F.col("w")}, shape=shape, steps=steps).collect()} for steps in (None, 2)
+            )
+            want = {k: v or 0.0 for k, v in want.items()}
+            assert {k: got.get(k, 0.0) for k in want} == pytest.approx(want, rel=1e-12, abs=1e-7, nan_ok=True)
+    assert "FlatMapCoGroupsInArrow" in _plan(buffer_lines(units, lines, 150, {"w": F.col("w")}))
