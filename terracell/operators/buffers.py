@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from ..grid import (
     with_cell,
 )
 from ..session import ship
-from .counting import counter, measurer
+from .counting import counter, gon_overlaps, measurer
 from .overlay import clip_by_polygons, inside_signs, tile_polygons
 from .segments import split_at_grid
 
@@ -483,7 +484,7 @@ def buffer_overlaps(units: DataFrame, radius: float, unit: str = "tot_reg_cd", s
     """Overlap area of every two 32-gon, or disc, buffers of one radius that meet (a buffer meets itself).
 
     Equal 32-gons map onto each other through the midpoint of their centres, so both halves of
-    the boundary sum are equal and only one side's edges are clipped. Two equal discs share a lens, whose area
+    the boundary sum are equal and only one side's edges are clipped, pair by pair in arrays: a pair stays one row. Two equal discs share a lens, whose area
     follows from the distance of their centres.
     """
     centers = _spread(units, unit)
@@ -506,10 +507,11 @@ def buffer_overlaps(units: DataFrame, radius: float, unit: str = "tot_reg_cd", s
     same = (dx == 0) & (dy == 0)
     full = F.lit(SIDES / 2 * math.sin(STEP) * radius * radius)
     whole = pairs.filter(same).select(unit, "other", full.alias("area"))
-    sides = buffer_edges(pairs.filter(~same), radius)
-    ax, ay, bx, by = (F.col(a) - F.col(b) for a, b in (("ax", "px"), ("ay", "py"), ("bx", "px"), ("by", "py")))
-    mx, my = dx / 2, dy / 2
-    cross = (ax + mx) * (by + my) - (bx + mx) * (ay + my)
-    held = with_zone_share(sides, (ax, ay, bx, by), radius, "poly32")
-    parts = held.groupBy(unit, "other").agg(F.sum(F.col("_share") * cross).alias("area"))
+    ship(units.sparkSession)
+
+    @F.pandas_udf("double")
+    def common(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series(gon_overlaps(x.to_numpy(), y.to_numpy(), radius))
+
+    parts = pairs.filter(~same).select(unit, "other", common(dx, dy).alias("area"))
     return parts.filter(F.col("area") > 0).unionByName(whole)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from ..functions.geometry import APOTHEM, STEP
+from ..functions.geometry import APOTHEM, SIDES, STEP
 
 # Numbers in one array of a task at most, and cells of a grid row to a side of a zone.
 CHUNK, FINEST = 100_000, 512
@@ -61,6 +61,16 @@ def shares(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray, r: fl
     return out
 
 
+def gon_overlaps(dx: np.ndarray, dy: np.ndarray, r: float) -> np.ndarray:
+    """Common area of a 32-gon around the origin and the same around each (dx, dy): by symmetry twice that of one's sides in the other."""
+    area = np.zeros(len(dx))
+    for k in range(SIDES):
+        (ax, ay), (bx, by) = ((r * np.cos(a * STEP), r * np.sin(a * STEP)) for a in (k, k + 1))
+        cross = (ax - dx / 2) * (by - dy / 2) - (bx - dx / 2) * (ay - dy / 2)
+        area += shares(ax - dx, ay - dy, bx - dx, by - dy, r, "poly32") * cross
+    return area
+
+
 class CellGrid:
     """Features in the order of the cells of a grid, and running totals of their values in that order."""
 

@@ -300,3 +300,14 @@ def test_lines_measured_by_blocks_agree_with_covers(spark, monkeypatch):
             want = {k: v or 0.0 for k, v in want.items()}
             assert {k: got.get(k, 0.0) for k in want} == pytest.approx(want, rel=1e-12, abs=1e-7, nan_ok=True)
     assert "FlatMapCoGroupsInArrow" in _plan(buffer_lines(units, lines, 150, {"w": F.col("w")}))
+
+
+def test_overlapping_buffers_stay_one_row_a_pair(spark):
+    units = spark.range(40).selectExpr("cast(id as string) AS tot_reg_cd", "id * 37e0 % 199 AS x", "id * 53e0 % 197 AS y")
+    found = buffer_overlaps(units, 60)
+    plan = _plan(found)
+    # No side of a buffer becomes a row, nothing is grouped by pairs.
+    assert "ArrowEvalPython" in plan and "Aggregate" not in plan
+    area = {(r[0], r["other"]): r["area"] for r in found.collect()}
+    assert all(a == pytest.approx(area[v, u], rel=1e-9) for (u, v), a in area.items())
+    assert len(area) > 40 and all(area[str(i), str(i)] == pytest.approx(GON * 3600) for i in range(40))
