@@ -3,10 +3,12 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import square
 
 from terracell import grid
+from terracell.operators import counting
 from terracell.operators import nearest as nearest_module
 from terracell.operators.nearest import distance_to_all, distance_to_union, nearest
 
@@ -125,3 +127,54 @@ def test_one_row_per_feature(spark):
                                   "fid int, seg int, x1 double, y1 double, x2 double, y2 double")
     got = distance_to_all(frame(spark, [("u", 0.0, 0.0)]), layer, "tot_reg_cd", "fid")
     assert {r["fid"]: r["distance"] for r in got.collect()} == {1: 2.0, 2: 7.0}
+
+
+def brute(x, y, segs):
+    def squared(s):
+        x1, y1, x2, y2 = s
+        dx, dy = x2 - x1, y2 - y1
+        t = max(0.0, min(1.0, ((x - x1) * dx + (y - y1) * dy) / ((dx * dx + dy * dy) or 1.0)))
+        return (x - x1 - t * dx) ** 2 + (y - y1 - t * dy) ** 2
+
+    return math.sqrt(min(squared(s) for s in segs))
+
+
+@pytest.mark.parametrize("pieces", [2_000_000, 300])
+def test_grids_of_a_block_find_the_nearest_edge(pieces, monkeypatch):
+    """Crowded and thin places, edges without length, level and upright ones, units among them and far off."""
+    monkeypatch.setattr(counting, "PIECES", pieces)
+    rng = random.Random(21)
+    segs = [(x, y, x + rng.uniform(-400, 400), y + rng.uniform(-400, 400)) for x, y in [(rng.uniform(0, 3000), rng.uniform(0, 3000)) for _ in range(150)]]
+    segs += [(x, y, x, y) for x, y in [(rng.gauss(700, 4), rng.gauss(700, 4)) for _ in range(150)]]
+    segs += [(10.0, 20.0, 900.0, 20.0), (50.0, -30.0, 50.0, 2000.0), (-9000.0, 40.0, -9000.0, 41.0)]
+    units = [(rng.uniform(-200, 3200), rng.uniform(-200, 3200)) for _ in range(120)] + [(rng.gauss(700, 5), rng.gauss(700, 5)) for _ in range(60)]
+    units += [(50_000.0, -70_000.0), (-8999.0, 0.0), (50.0, 100.0), (-1000.0, 20.0)]
+    ends = [np.array(c) for c in zip(*segs)]
+    got = np.sqrt(counting.least_distances(ends, *[np.array(c) for c in zip(*units)]))
+    assert got == pytest.approx([brute(x, y, segs) for x, y in units], abs=1e-7)
+    assert np.isinf(counting.least_distances([np.zeros(0)] * 4, np.zeros(2), np.zeros(2))).all()
+
+
+def test_lines_are_not_cut_finer_for_blocks_to_meet_them(spark, monkeypatch):
+    """Blocks of a layer, slices of their edges and parts of their units agree with brute force; units far from all edges too."""
+    for name, value in (("BLOCK_EDGES", 100), ("BLOCK_AIM", 10), ("HELD_EDGES", 20), ("HELD_UNITS", 3)):
+        monkeypatch.setattr(nearest_module, name, value)
+    rng = random.Random(22)
+    segs = [(x, y, x + rng.uniform(-900, 900), y + rng.uniform(-900, 900)) for x, y in [(rng.uniform(0, 5000), rng.uniform(0, 5000)) for _ in range(400)]]
+    us = [(f"u{i}", rng.uniform(-800, 5800), rng.uniform(-800, 5800)) for i in range(150)] + [("far", 90_000.0, 3.0), ("none", None, 1.0)]
+    layer = spark.createDataFrame([*segs, (None, 1.0, 2.0, 3.0)], "x1 double, y1 double, x2 double, y2 double")
+    monkeypatch.setattr(nearest_module, "_finest", counted(nearest_module._finest, asked := []))
+    got = {r[0]: r[1] for r in nearest(frame(spark, us), layer).collect()}
+    assert got == pytest.approx({u: brute(x, y, segs) for u, x, y in us if x is not None})
+    assert len(asked) == 1
+    # Without a unit far off nothing goes by the cells that cut all lines.
+    near_ = [u for u in us[:150] if max(abs(u[1] - 2500), abs(u[2] - 2500)) < 2500]
+    assert nearest(frame(spark, near_), layer).count() == len(near_) and len(asked) == 1
+
+
+def counted(run, calls):
+    def call(*args):
+        calls.append(args)
+        return run(*args)
+
+    return call
