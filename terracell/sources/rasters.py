@@ -108,7 +108,8 @@ def write_raster(spark: SparkSession, cells: DataFrame, path: str, first: bool =
         cells = kept.select(*cells.columns).unionByName(cells)
         old = _manifest(spark, path, states[-1])
     load = uuid.uuid4().hex
-    cells.write.partitionBy(*PARTITIONS).parquet(f"{path}/{DATA}/{load}")
+    # A task sorts all that it writes by partition. Dealt by partition first, and evened out by size, none gets more for a larger input.
+    cells.hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).parquet(f"{path}/{DATA}/{load}")
     written = spark.read.parquet(f"{path}/{DATA}/{load}").select(*PARTITIONS).distinct()
     rows = written.withColumn("load", F.lit(load))
     if old is not None:

@@ -300,3 +300,23 @@ def test_quantiles_of_many_columns(spark, accuracy, monkeypatch):
             p = (len(v) - 1) * s
             low = v[int(p)]
             assert q == pytest.approx(low + (p - int(p)) * (v[min(int(p) + 1, len(v) - 1)] - low), abs=1e-12)
+
+
+def test_a_raster_load_is_dealt_over_tasks_by_partition(spark, tmp_path):
+    """Cells of one task go to several, so that none sorts the whole load; no cell is lost."""
+    from terracell.sources.rasters import read_raster, write_raster
+
+    cells = spark.range(2000).selectExpr(
+        "cast(id % 50 AS int) AS col", "cast(id / 50 AS int) AS row", "id * 1.0D AS val", "2019 AS year",
+        "concat('t', id % 4) AS emission_type", "concat('p', id % 5) AS pollutant_type", "concat('f', id % 20) AS filename",
+    ).coalesce(1)
+    path, key = str(tmp_path / "store"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        write_raster(spark, cells, path, first=True)
+    finally:
+        spark.conf.unset(key)
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "store" / "data").rglob("part-*.parquet")}
+    assert len(tasks) > 1
+    back = read_raster(spark, path).agg({"val": "sum", "col": "count"}).first()
+    assert back["sum(val)"] == sum(range(2000)) and back["count(col)"] == 2000
