@@ -3,12 +3,14 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import ring, square
 from pyspark.sql import functions as F
 
 from terracell import grid
 from terracell.functions.geometry import APOTHEM, in_poly32
+from terracell.operators import counting
 from terracell.operators.buffers import (
     buffer_areas,
     buffer_holds,
@@ -311,3 +313,42 @@ def test_overlapping_buffers_stay_one_row_a_pair(spark):
     area = {(r[0], r["other"]): r["area"] for r in found.collect()}
     assert all(a == pytest.approx(area[v, u], rel=1e-9) for (u, v), a in area.items())
     assert len(area) > 40 and all(area[str(i), str(i)] == pytest.approx(GON * 3600) for i in range(40))
+
+
+def test_pairs_join_no_cells_of_zones(spark):
+    """Cells of zones were shuffled to meet the points; now units and points move once, and what lies far from all units not at all."""
+    units = spark.range(300).selectExpr("cast(id as string) AS tot_reg_cd", "id * 37e0 % 1009 AS x", "id * 53e0 % 997 AS y")
+    points = spark.range(3000).selectExpr("id", "id * 71e0 % 1013 AS x", "id * 97e0 % 991 + if(id % 3 = 0, 1e6, 0e0) AS y")
+    for found in (buffer_pairs(units, points, 100), buffer_pairs(units, points, 100, hole=80, keep=["id"]), buffer_overlaps(units, 30, shape="disc")):
+        plan = _plan(found)
+        assert "MapInArrow" in plan and "Join" not in plan
+    blocks = grid.Blocks(units, 100, 100, grid.Density(300, 100, 10))
+    dealt = blocks.deal(points, F.col("x"), F.col("y"), F.lit(0.0))
+    assert dealt.filter("y >= 1e6").isEmpty() and dealt.select("id").distinct().count() == 2000
+
+
+@pytest.mark.parametrize("hole", [0.0, 80.0])
+@pytest.mark.parametrize("shape", ["poly32", "disc"])
+def test_pairs_of_a_block_match_brute_force(shape, hole, monkeypatch):
+    """Chunks smaller than what a unit or a grid row finds, points on one spot and at the edge of the grid."""
+    rng = np.random.default_rng(3)
+    x, y = np.concatenate((rng.uniform(0, 500, 900), np.full(60, 500.0))), np.concatenate((rng.uniform(0, 400, 900), np.full(60, 400.0)))
+    ux, uy = rng.uniform(-120, 620, 50), rng.uniform(-120, 520, 50)
+    ux[:3], uy[:3] = x[:3], y[:3]
+    dx, dy = (x[None] - ux[:, None]).ravel(), (y[None] - uy[:, None]).ravel()
+    held = counting.in_zone(dx, dy, 100.0, shape)
+    if hole:
+        held &= ~counting.in_zone(dx, dy, hole, shape)
+    pairs = counting.PairGrid(x, y, [np.arange(len(x))], 100.0)
+    for chunk in (7, 100_000):
+        monkeypatch.setattr(counting, "CHUNK", chunk)
+        found = [np.stack(p, 1) for p in pairs.pairs(ux, uy, 100.0, shape, hole)]
+        assert max(len(f) for f in found) <= chunk
+        assert sorted(map(tuple, np.concatenate(found))) == list(zip(*np.nonzero(held.reshape(len(ux), len(x)))))
+
+
+def test_pairs_keep_rows_without_a_place_out(spark):
+    units = spark.createDataFrame([("a", 0.0, 0.0), ("b", None, 0.0), ("c", float("nan"), 0.0)], "tot_reg_cd string, x double, y double")
+    points = spark.createDataFrame([(1, 0, 1, None), (2, None, 1, "n"), (3, 2, 2, "v")], "id int, x int, y int, v string")
+    got = sorted(tuple(r) for r in buffer_pairs(units, points, 10).collect())
+    assert got == [("a", 0.0, 0.0, 1, 0, 1, None), ("a", 0.0, 0.0, 3, 2, 2, "v")]
