@@ -195,6 +195,89 @@ def block_slices(radius: float, units: Density, layer: Density, pieces: float =
     return size, math.ceil(held / HELD_ROWS)
 
 
+# Groups of tasks that tiles are parted into, if units are many, and numbers that a unit with its result takes when it moves.
+TASKS, UNIT_LOAD = 64, 16
+TILE = [*BLOCK, "_slice"]
+Box = tuple[float | None, float | None, float | None, float | None]
+
+
+def tile_size(radius: float, units: Density, layer: Density, load: float, pieces: float = 1.0) -> tuple[float, int]:
+    """Side of the tiles by which features meet zones of a radius at the least movement, and into how many slices those of a full one are dealt.
+
+    Both densities are those of a grid of the radius; ``load`` is how many numbers a feature takes when it moves, ``pieces`` how many rows
+    it makes in memory.
+    """
+    span = radius * math.sqrt(max(layer.cells, 1))
+    choices = []
+    for step in range(-3, 5):
+        size = radius * 2.0**step
+        tiles = max(1.0, span / size) ** 2
+        reached = min((math.ceil(span / size) + 1) ** 2, (1 + 2 * radius / size) ** 2)
+        slices = max(1, math.ceil(min(layer.rows, layer.peak * max(1, 4**step)) * pieces / HELD_ROWS))
+        cost = units.rows * reached * slices * UNIT_LOAD + layer.rows * max(1.0, TASKS / tiles) * load
+        choices.append((cost, -size, slices))
+    _, size, slices = min(choices)
+    return -size, slices
+
+
+def _zero() -> Column:
+    """Nought as a key: Spark would put a literal into a partitioning, not know it again by its column, and move everything once more."""
+    return F.pmod(F.col("_bx"), F.lit(1)).cast("int")
+
+
+class Tiles:
+    """Features dealt to tasks by square tiles, each to one, and units to every tile that their zones may reach: for sums, which add up over tiles.
+
+    A wide zone reaches most of a layer, so features dealt to units would move many times over; a unit is but its place. Tiles that units
+    crowd are parted by units, and their features repeated; where a tile has too many features, slices of them meet its units one by one.
+    """
+
+    def __init__(self, units: DataFrame, size: float, reach: float, density: Density, box: Box, slices: int = 1):
+        """``box`` are the least x and y and the greatest ones of the features."""
+        self.size, self.slices, self.parts = size, slices, None
+        self.tasks = 2 * TASKS if density.rows > 8 * PART_UNITS else None
+        if None in box:
+            units, box = units.filter(F.lit(False)), (0.0, 0.0, 0.0, 0.0)
+        far, (west, south, east, north) = F.lit(reach + 1e-3), (float(v) for v in box)
+        x, y = F.col("x"), F.col("y")
+        ends = [(math.floor((a - o) / size), math.floor((b - o) / size)) for a, b, o in ((west, east, GRID_X0), (south, north, GRID_Y0))]
+        placed = units.filter((x >= west - far) & (x <= east + far) & (y >= south - far) & (y <= north + far))
+        for c, v, place, (low, high) in (("_bx", x, cell_x, ends[0]), ("_by", y, cell_y, ends[1])):
+            first, last = F.greatest(place(v - far, size), F.lit(low)), F.least(place(v + far, size), F.lit(high))
+            placed = placed.withColumn(c, F.explode(F.sequence(F.least(first, last), last)))
+        gap_x, gap_y = (
+            F.greatest(F.lit(0.0), line(F.col(c), size) - v, v - line(F.col(c), size) - size) for c, v, line in (("_bx", x, line_x), ("_by", y, line_y))
+        )
+        placed = placed.filter(gap_x * gap_x + gap_y * gap_y <= far * far)
+        dealt = density.rows * min(math.prod(b - a + 1 for a, b in ends), (1 + 2 * reach / size) ** 2)
+        most = int(max(PART_UNITS, dealt // TASKS))
+        if density.rows > PART_UNITS:
+            # Taken at once, so that both sides see the same parts; at most some TASKS rows.
+            full = _hot_cells(placed, BLOCK[:2], most, "_n").collect()
+            if full:
+                self.parts = units.sparkSession.createDataFrame([tuple(r) for r in full], "_bx long, _by long, _n int")
+        if self.parts is None:
+            placed = placed.withColumn("_part", _zero())
+        else:
+            placed = _pick_salt(placed.join(F.broadcast(self.parts), BLOCK[:2], "left"), "_n", "_part", list(units.columns))
+        every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))) if slices > 1 else _zero()
+        self.units = self._grouped(placed.withColumn("_slice", every))
+
+    def _grouped(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.tasks, *TILE) if self.tasks else df.repartition(*TILE)
+
+    def meet(self, features: DataFrame, run: Callable, schema: str) -> DataFrame:
+        """Rows that ``run`` makes of the units and the features (in tiles ``cx, cy`` of this size) of every tile, or part or slice of one."""
+        own = [c for c in features.columns if c not in CELL]
+        part = F.pmod(F.xxhash64(*own), F.lit(self.slices)).cast("int") if self.slices > 1 else _zero()
+        dealt = features.withColumnsRenamed({"cx": "_bx", "cy": "_by"}).withColumn("_slice", part)
+        if self.parts is None:
+            dealt = dealt.withColumn("_part", _zero())
+        else:
+            dealt = _spread_salt(dealt.join(F.broadcast(self.parts), BLOCK[:2], "left"), "_n", "_part")
+        return self.units.groupBy(*TILE).cogroup(self._grouped(dealt).groupBy(*TILE)).applyInArrow(run, schema)
+
+
 class Blocks:
     """Units dealt to tasks by square blocks, so that the cells of their zones are made and looked up in one task.
 

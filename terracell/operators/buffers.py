@@ -22,6 +22,7 @@ from ..grid import (
     CELL,
     Blocks,
     Density,
+    Tiles,
     block_size,
     block_slices,
     cell_join,
@@ -34,10 +35,11 @@ from ..grid import (
     pyramid,
     ring_cells,
     spread,
+    tile_size,
     with_cell,
 )
 from ..session import ship
-from .counting import area_measurer, counter, gon_start, gon_overlaps, holder, matcher, measurer
+from .counting import area_measurer, counter, gon_overlaps, holder, matcher, measurer, zone_area, zone_start
 from .overlay import clip_by_polygons, inside_signs, tile_polygons
 from .segments import split_at_grid
 
@@ -61,6 +63,19 @@ def _mean_width(segs: DataFrame) -> float:
     return segs.agg(F.avg(F.abs(F.col("x2") - F.col("x1")) + F.abs(F.col("y2") - F.col("y1")))).first()[0] or 0.0
 
 
+def _extent(x: tuple[str, ...], y: tuple[str, ...]) -> list[Column]:
+    """Least x and y, greatest x and y of any of the columns."""
+    least, greatest = (lambda cs: F.least(*cs) if len(cs) > 1 else F.col(cs[0])), (lambda cs: F.greatest(*cs) if len(cs) > 1 else F.col(cs[0]))
+    return [F.min(least(x)), F.min(least(y)), F.max(greatest(x)), F.max(greatest(y))]
+
+
+def _width_and_extent(segs: DataFrame) -> tuple[float, tuple]:
+    """:func:`_mean_width` and the box of the segments, in one job."""
+    width = F.avg(F.abs(F.col("x2") - F.col("x1")) + F.abs(F.col("y2") - F.col("y1")))
+    found = segs.agg(width, *_extent(("x1", "x2"), ("y1", "y2"))).first()
+    return found[0] or 0.0, tuple(found[1:])
+
+
 def _middles(segs: DataFrame) -> DataFrame:
     return segs.select(((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"))
 
@@ -113,9 +128,9 @@ def _gather(hits: DataFrame, whole: DataFrame | None, key: list[str], names: lis
 def _whole_sums(
     units: DataFrame, points: DataFrame, radii: list[float], measures: dict[str, Column], unit: str, shape: str
 ) -> DataFrame | None:
-    """Sums of whole numbers over the points in each unit's zones, an array by radius (ascending) a measure, counted block by block.
+    """Sums of whole numbers over the points in each unit's zones, an array by radius (ascending) a measure, counted tile by tile.
 
-    None where a measure is no whole number, whose running totals would not be exact, or the points are too crowded for a block.
+    None where a measure is no whole number, whose running totals would not be exact.
     """
     chosen = points.select("x", "y", *[m.alias(n) for n, m in measures.items()])
     fields = [chosen.schema[n] for n in measures]
@@ -127,17 +142,16 @@ def _whole_sums(
     spots = chosen.groupBy(F.col("x").alias("px"), F.col("y").alias("py")).agg(*[s.alias(n) for n, s in sums.items()])
     centers = units.select(unit, "x", "y")
     stats = measure_density(radii[-1], points=chosen.select("x", "y").distinct(), units=centers)
-    block = block_size(radii[-1], stats["units"], stats["points"], max(1.0, len(sums) / 4))
-    if block is None:
-        return None
     ship(units.sparkSession)
-    blocks = Blocks(centers.filter("x IS NOT NULL AND y IS NOT NULL"), block, radii[-1], stats["units"])
-    dealt = blocks.deal(spots.filter("px IS NOT NULL AND py IS NOT NULL"), F.col("px"), F.col("py"), F.lit(0.0))
+    known = spots.filter("px IS NOT NULL AND py IS NOT NULL")
+    size, slices = tile_size(radii[-1], stats["units"], stats["points"], 4 + len(sums), max(1.0, len(sums) / 4))
+    box = tuple(chosen.filter("x IS NOT NULL AND y IS NOT NULL").agg(*_extent(("x",), ("y",))).first())
+    tiles = Tiles(centers.filter("x IS NOT NULL AND y IS NOT NULL"), size, radii[-1], stats["units"], box, slices)
     kind = centers.schema[unit].dataType.simpleString()
     columns = [f"_{i}_{n}" for i in range(len(radii)) for n in range(len(sums))]
-    run = counter(unit, list(sums), radii, shape)
     schema = ", ".join([f"`{unit}` {kind}", *[f"{c} long" for c in columns]])
-    found = blocks.units.groupBy(*BLOCK).cogroup(dealt.groupBy(*BLOCK)).applyInArrow(run, schema)
+    found = tiles.meet(with_cell(known, size, "px", "py"), counter(unit, list(sums), radii, shape), schema)
+    found = found.groupBy(unit).agg(*_sums(columns))
     at = {n: k for k, n in enumerate(sums)}
 
     def value(i: int, k: int) -> Column:
@@ -145,9 +159,7 @@ def _whole_sums(
         return F.when(F.col(f"_{i}_{at[any_]}") > 0, sum_) if any_ in at else F.when(F.col(f"_{i}_{at['_rows']}") > 0, sum_)
 
     arrays = [F.array(*[value(i, k) for i in range(len(radii))]).alias(n) for k, n in enumerate(measures)]
-    found = found.filter(F.col(f"_{len(radii) - 1}_{at['_rows']}") > 0).select(unit, *arrays)
-    # A unit has one zone for each of its places: what they hold adds up.
-    return found.groupBy(unit).agg(*[F.array(*[F.sum(F.col(n)[i]) for i in range(len(radii))]).alias(n) for n in measures])
+    return found.filter(F.col(f"_{len(radii) - 1}_{at['_rows']}") > 0).select(unit, *arrays)
 
 
 def buffer_points(
@@ -237,21 +249,18 @@ def buffer_points_nested(
     return hits.groupBy(unit).agg(*sums)
 
 
-def _line_sums(centers: DataFrame, lines: DataFrame, names: list[str], radius: float, unit: str, shape: str) -> DataFrame | None:
-    """Sums of weight x length of lines inside each unit's zone, block by block; None where the lines are too crowded for a block."""
+def _line_sums(centers: DataFrame, lines: DataFrame, names: list[str], radius: float, unit: str, shape: str) -> DataFrame:
+    """Sums of weight x length of lines inside each unit's zone, tile by tile."""
+    # A line without a weight counts nowhere.
+    known = lines.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in lines.columns))
     stats = measure_density(radius, lines=_middles(lines), units=centers)
-    block = block_size(radius, stats["units"], stats["lines"], 1 + 8 * _mean_width(lines) / radius)
-    if block is None:
-        return None
+    width, box = _width_and_extent(known)
+    size, slices = tile_size(radius, stats["units"], stats["lines"], 4 + len(names), 1 + 8 * width / radius)
     ship(centers.sparkSession)
-    blocks = Blocks(centers.filter("x IS NOT NULL AND y IS NOT NULL"), block, radius, stats["units"])
-    # A line without a weight counts nowhere. Lines longer than a block are cut, so that none goes to blocks that it does not come near.
-    pieces = split_at_grid(lines.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in lines.columns)), block).drop(*CELL)
-    left, bottom = F.least("x1", "x2"), F.least("y1", "y2")
-    dealt = blocks.deal(pieces, left, bottom, F.greatest("x1", "x2") - left, F.greatest("y1", "y2") - bottom)
+    tiles = Tiles(centers.filter("x IS NOT NULL AND y IS NOT NULL"), size, radius, stats["units"], box, slices)
     kind = centers.schema[unit].dataType.simpleString()
     schema = ", ".join([f"`{unit}` {kind}", *[f"_{i} double" for i in range(len(names))], "_rows long"])
-    found = blocks.units.groupBy(*BLOCK).cogroup(dealt.groupBy(*BLOCK)).applyInArrow(measurer(unit, names, radius, shape), schema)
+    found = tiles.meet(split_at_grid(known, size), measurer(unit, names, radius, shape), schema)
     return found.filter("_rows > 0").groupBy(unit).agg(*[F.sum(f"_{i}").alias(n) for i, n in enumerate(names)])
 
 
@@ -270,9 +279,7 @@ def buffer_lines(
     lines = segs.select("x1", "y1", "x2", "y2", *[w.alias(n) for n, w in weights.items()])
     if steps is None and len(names) == 1:
         doubled = lines.withColumn(names[0], F.col(names[0]).cast("double"))
-        measured = _line_sums(units.select(unit, "x", "y"), doubled, names, float(radius), unit, shape)
-        if measured is not None:
-            return measured
+        return _line_sums(units.select(unit, "x", "y"), doubled, names, float(radius), unit, shape)
     stats = measure_density(radius, lines=_middles(lines), units=centers)
     cover = _Cover(centers, radius, stats["lines"], stats["units"], shape, steps=steps, width=_mean_width(lines))
     length = segment_length(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
@@ -309,35 +316,30 @@ def buffer_edges(units: DataFrame, radius: float) -> DataFrame:
     )
 
 
-# Groups of polygons that a block measures one by one.
+# Groups of polygons that a tile measures one by one.
 AREA_GROUPS = 100
 
 
-def _area_sums(centers: DataFrame, ring: DataFrame, by: list[str], radius: float, unit: str) -> DataFrame | None:
-    """Area of each unit's 32-gon covered by polygons, boundary by blocks; None for more groups than a block should measure one by one, or edges
-    too crowded for a block.
+def _area_sums(centers: DataFrame, ring: DataFrame, by: list[str], radius: float, unit: str, shape: str) -> DataFrame | None:
+    """Area of each unit's zone covered by polygons, boundary by tiles; None for more groups than a tile should measure one by one.
 
     Only one place of a unit's outline is looked up among the polygons; where boundary crosses the outline tells the rest.
     """
     if not by or ring.select(*by).distinct().limit(AREA_GROUPS + 1).count() > AREA_GROUPS:
         return None
     stats = measure_density(radius, lines=_middles(ring), units=centers)
-    block = block_size(radius, stats["units"], stats["lines"], 1 + 8 * _mean_width(ring) / radius)
-    if block is None:
-        return None
     ship(centers.sparkSession)
     known = centers.filter("x IS NOT NULL AND y IS NOT NULL")
-    blocks = Blocks(known, block, radius, stats["units"])
     whole = ring.filter("x1 IS NOT NULL AND y1 IS NOT NULL AND x2 IS NOT NULL AND y2 IS NOT NULL")
-    pieces = split_at_grid(whole.withColumns({f"_{c}": F.col(c) for c in ("x1", "y1", "x2", "y2")}), block).drop(*CELL)
-    left, bottom = F.least("x1", "x2"), F.least("y1", "y2")
-    dealt = blocks.deal(pieces, left, bottom, F.greatest("x1", "x2") - left, F.greatest("y1", "y2") - bottom)
+    width, box = _width_and_extent(whole)
+    size, slices = tile_size(radius, stats["units"], stats["lines"], 8 + len(by), 1 + 8 * width / radius)
+    tiles = Tiles(known, size, radius, stats["units"], box, slices)
+    pieces = split_at_grid(whole.withColumns({f"_{c}": F.col(c) for c in ("x1", "y1", "x2", "y2")}), size)
     fields = [f"`{c}` {d.schema[c].dataType.simpleString()}" for d, cs in ((centers, [unit]), (ring, by)) for c in cs]
-    run = area_measurer(unit, by, radius)
-    outline = blocks.units.groupBy(*BLOCK).cogroup(dealt.groupBy(*BLOCK)).applyInArrow(run, ", ".join([*fields, "area double"]))
-    dx, dy = gon_start(radius)
+    outline = tiles.meet(pieces, area_measurer(unit, by, radius, shape), ", ".join([*fields, "area double"]))
+    dx, dy = zone_start(radius, shape)
     start = _spread(known, unit).select(unit, (F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
-    full = F.lit(SIDES / 2 * math.sin(STEP) * radius * radius)
+    full = F.lit(zone_area(radius, shape))
     inside = inside_signs(start, tile_polygons(ring, by)).select(unit, *by, (F.col("_s") * full).alias("area"))
     return _gather(outline, inside, [unit, *by], ["area"])
 
@@ -357,13 +359,13 @@ def buffer_areas(
     By Green's theorem the overlap area is half the sum of the cross products along polygon
     boundary inside the buffer plus buffer boundary inside the polygons.  Both parts are plain
     sums over (unit, edge) pairs, so polygons are never assembled; polygons of one ``by`` group
-    that overlap each other count each on its own. Without ``blocks`` the boundary is not measured block by block, which
+    that overlap each other count each on its own. Without ``blocks`` the boundary is not measured tile by tile, which
     few wide polygons do not need. The outline of a disc is measured by the angles at which polygon
     boundary crosses it, so it is as exact as that of a 32-gon and cheaper.
     """
     ring = edges.select(*by, "x1", "y1", "x2", "y2")
-    if blocks and steps is None and shape == "poly32":
-        measured = _area_sums(units.select(unit, "x", "y"), ring, by, float(radius), unit)
+    if blocks and steps is None:
+        measured = _area_sums(units.select(unit, "x", "y"), ring, by, float(radius), unit, shape)
         if measured is not None:
             return measured
     centers = _spread(units, unit)
@@ -415,9 +417,7 @@ def _whole_cell_outline(cover: _Cover, pieces: DataFrame, by: list[str], unit: s
 def _held_sums(
     centers: DataFrame, segs: DataFrame, names: list[str], radius: float, unit: str, feature: str
 ) -> DataFrame | None:
-    """Sums of whole numbers over the features that each unit's 32-gon holds, block by block; None where a measure is no whole number.
-
-    Sums add up over features, so where a block has too many of them, slices of the features meet its units one by one.
+    """Sums of whole numbers over the features that each unit's 32-gon holds, tile by tile; None where a measure is no whole number.
     """
     if any(segs.schema[n].dataType.typeName() not in ("byte", "short", "integer", "long") for n in names):
         return None
@@ -432,19 +432,19 @@ def _held_sums(
     shapes = shapes.filter("_known").select(
         "mx", "my", F.col("_at.x").alias("xs"), F.col("_at.y").alias("ys"), *[f"_v{i}" for i in range(len(names))]
     )
-    places = segs.filter(known).groupBy(feature).agg(*[F.min(F.least(a, b)).alias(m) for m, a, b in (("x", "x1", "x2"), ("y", "y1", "y2"))], F.count(F.lit(1)).alias("_n"))
+    spans = [F.min(F.least(a, b)).alias(m) for m, a, b in (("x", "x1", "x2"), ("y", "y1", "y2"))]
+    spans += [F.max(F.greatest(a, b)).alias(m) for m, a, b in (("qx", "x1", "x2"), ("qy", "y1", "y2"))]
+    places = segs.filter(known).groupBy(feature).agg(*spans, F.count(F.lit(1)).alias("_n"))
     stats = measure_density(radius, features=places.select("x", "y"), units=centers)
-    edges = places.agg(F.avg("_n")).first()[0] or 1.0
-    block, slices = block_slices(radius, stats["units"], stats["features"], (4 + 2 * edges + len(names)) / 4)
+    edges, *box = places.agg(F.avg("_n"), F.min("x"), F.min("y"), F.max("qx"), F.max("qy")).first()
+    load = 4 + 2 * (edges or 1.0) + len(names)
+    size, slices = tile_size(radius, stats["units"], stats["features"], load + 4, load / 4)
     ship(centers.sparkSession)
-    blocks = Blocks(centers.filter("x IS NOT NULL AND y IS NOT NULL"), block, radius, stats["units"])
-    dealt = blocks.deal(shapes, F.col("mx"), F.col("my"), F.lit(0.0)).drop("mx", "my")
-    sliced = blocks.units.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    dealt = dealt.withColumn("_slice", F.pmod(F.xxhash64("xs", "ys"), F.lit(slices)).cast("int"))
+    tiles = Tiles(centers.filter("x IS NOT NULL AND y IS NOT NULL"), size, radius, stats["units"], tuple(box), slices)
     kind = centers.schema[unit].dataType.simpleString()
     schema = ", ".join([f"`{unit}` {kind}", *[f"_{i} long" for i in range(len(names))], "_rows long"])
     run = holder(unit, [f"_v{i}" for i in range(len(names))], radius, "poly32")
-    found = sliced.groupBy(*BLOCK, "_slice").cogroup(dealt.groupBy(*BLOCK, "_slice")).applyInArrow(run, schema)
+    found = tiles.meet(with_cell(shapes, size, "mx", "my").drop("mx", "my"), run, schema)
     return found.filter("_rows > 0").groupBy(unit).agg(*[F.sum(f"_{i}").alias(n) for i, n in enumerate(names)])
 
 

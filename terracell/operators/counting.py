@@ -233,6 +233,28 @@ class PairGrid(PointGrid):
         return np.stack((at[0], at[2]), 2).ravel(), np.stack((at[1] - at[0], at[3] - at[2]), 2).ravel()
 
 
+def cut_lines(ends: list[np.ndarray], size: float, corner: tuple[float, float]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Ends of the pieces that a grid cuts the lines into, the line of each, and its part of the line's length."""
+    x1, y1, x2, y2 = ends
+    every = np.arange(len(x1))
+    line, stops = [every, every], [np.zeros(len(x1)), np.ones(len(x1))]
+    for p, q, origin in ((x1, x2, corner[0]), (y1, y2, corner[1])):
+        a, b = (np.floor((v - origin) / size).astype(np.int64) for v in (p, q))
+        crossed = np.abs(b - a)
+        own = np.repeat(every, crossed)
+        nth = np.arange(len(own)) - np.repeat(np.cumsum(crossed) - crossed, crossed)
+        at = origin + (np.minimum(a, b)[own] + 1 + nth) * size
+        line.append(own)
+        stops.append(np.clip((at - p[own]) / (q - p)[own], 0.0, 1.0))
+    line, stops = np.concatenate(line), np.concatenate(stops)
+    order = np.lexsort((stops, line))
+    line, stops = line[order], stops[order]
+    kept = np.flatnonzero((line[1:] == line[:-1]) & (stops[1:] > stops[:-1]))
+    line, t0, t1 = line[kept], stops[kept], stops[kept + 1]
+    at = [np.where(t == 1, q[line], p[line] + t * (q - p)[line]) for t in (t0, t1) for p, q in ((x1, x2), (y1, y2))]
+    return at, line, t1 - t0
+
+
 class LineGrid(CellGrid):
     """Line pieces with weight x length as their values; a value of whole numbers counts the pieces of which a part is inside."""
 
@@ -245,27 +267,11 @@ class LineGrid(CellGrid):
     def _cut(
         self, ends: list[np.ndarray], reach: float, corner: tuple[float, float] | None = None
     ) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """Ends of the pieces that the grid cuts the lines into, the line of each, and its part of the line's length."""
+        """Pieces of the lines, of which each lies in a cell."""
         x1, y1, x2, y2 = ends
         self.size = reach / 8
         self.x0, self.y0 = corner or (min(x1.min(), x2.min()), min(y1.min(), y2.min()))
-        every = np.arange(len(x1))
-        line, stops = [every, every], [np.zeros(len(x1)), np.ones(len(x1))]
-        for p, q, origin in ((x1, x2, self.x0), (y1, y2, self.y0)):
-            a, b = (np.floor((v - origin) / self.size).astype(np.int64) for v in (p, q))
-            crossed = np.abs(b - a)
-            own = np.repeat(every, crossed)
-            nth = np.arange(len(own)) - np.repeat(np.cumsum(crossed) - crossed, crossed)
-            at = origin + (np.minimum(a, b)[own] + 1 + nth) * self.size
-            line.append(own)
-            stops.append(np.clip((at - p[own]) / (q - p)[own], 0.0, 1.0))
-        line, stops = np.concatenate(line), np.concatenate(stops)
-        order = np.lexsort((stops, line))
-        line, stops = line[order], stops[order]
-        kept = np.flatnonzero((line[1:] == line[:-1]) & (stops[1:] > stops[:-1]))
-        line, t0, t1 = line[kept], stops[kept], stops[kept + 1]
-        at = [np.where(t == 1, q[line], p[line] + t * (q - p)[line]) for t in (t0, t1) for p, q in ((x1, x2), (y1, y2))]
-        return at, line, t1 - t0
+        return cut_lines(ends, self.size, (self.x0, self.y0))
 
     def _tested(self, place: np.ndarray, x: np.ndarray, y: np.ndarray, r: float, shape: str) -> list[np.ndarray]:
         share = shares(*[e[place] - o for e, o in zip(self.ends, (x, y, x, y))], r, shape)
@@ -278,8 +284,10 @@ class LineGrid(CellGrid):
         return [*found, (share > 0).astype(np.int64)]
 
 
-def _swept(x: np.ndarray, y: np.ndarray, r: float) -> np.ndarray:
-    """Area that the ray from the middle of a 32-gon sweeps on the way from its first corner to a place on its outline."""
+def _swept(x: np.ndarray, y: np.ndarray, r: float, shape: str = "poly32") -> np.ndarray:
+    """Area that the ray from the middle of a zone sweeps on the way from its first corner to a place on its outline."""
+    if shape == "disc":
+        return np.mod(np.arctan2(y, x), 2 * np.pi) * r * r / 2
     k = np.floor(np.mod(np.arctan2(y, x), 2 * np.pi) / STEP)
     return k * (np.sin(STEP) * r * r / 2) + r * (np.cos(k * STEP) * y - np.sin(k * STEP) * x) / 2
 
@@ -290,8 +298,17 @@ def gon_start(r: float) -> tuple[float, float]:
     return float(away * np.cos(OUTSET)), float(away * np.sin(OUTSET))
 
 
+def zone_start(r: float, shape: str) -> tuple[float, float]:
+    """The same for either shape."""
+    return (float(r * np.cos(OUTSET)), float(r * np.sin(OUTSET))) if shape == "disc" else gon_start(r)
+
+
+def zone_area(r: float, shape: str) -> float:
+    return float(r * r * (np.pi if shape == "disc" else SIDES / 2 * np.sin(STEP)))
+
+
 class AreaGrid(LineGrid):
-    """Pieces of polygon boundary with what they add to the area of the polygons inside a 32-gon.
+    """Pieces of polygon boundary with what they add to the area of the polygons inside a zone.
 
     Half the cross products of boundary inside, moved from a corner of the grid to the centre by two more sums, and at the
     rim the part of the outline that lies inside the polygons: where a piece comes in the outline leaves the polygon, and
@@ -305,9 +322,9 @@ class AreaGrid(LineGrid):
         values = [x1 * y2 - x2 * y1, x2 - x1, y2 - y1, np.zeros(len(line)), np.ones(len(line), np.int64)]
         self._file((at[0] + at[2]) / 2, (at[1] + at[3]) / 2, values, at)
 
-    def areas(self, ux: np.ndarray, uy: np.ndarray, r: float) -> tuple[np.ndarray, np.ndarray]:
+    def areas(self, ux: np.ndarray, uy: np.ndarray, r: float, shape: str = "poly32") -> tuple[np.ndarray, np.ndarray]:
         """Areas without those of outlines begun inside, and how many pieces are inside or cross the outline."""
-        cross, dx, dy, rim, rows = self.sums(ux, uy, r, "poly32")
+        cross, dx, dy, rim, rows = self.sums(ux, uy, r, shape)
         return ((cross + (self.x0 - ux) * dy - (self.y0 - uy) * dx) / 2 + rim).astype(np.float64), rows
 
     def _tested(self, place: np.ndarray, x: np.ndarray, y: np.ndarray, r: float, shape: str) -> list[np.ndarray]:
@@ -318,11 +335,11 @@ class AreaGrid(LineGrid):
         # Whether a piece crosses follows from its ends alone, so pieces that share an end agree.
         in_a, in_b = in_zone(ax, ay, r, shape), in_zone(bx, by, r, shape)
         through = ~in_a & ~in_b & (share > 0)
-        whole, begun = SIDES * np.sin(STEP) * r * r / 2, _swept(*(np.array(v) for v in gon_start(r)), r)
+        whole, begun = zone_area(r, shape), _swept(*(np.array(v) for v in zone_start(r, shape)), r, shape)
         for found, t, sign in (((in_a & ~in_b) | through, leave, 1.0), ((~in_a & in_b) | through, enter, -1.0)):
             at = np.flatnonzero(found)
             t = np.clip(t[at], 0.0, 1.0)
-            part[at] += sign * (whole - np.mod(_swept(ax[at] + t * (bx - ax)[at], ay[at] + t * (by - ay)[at], r) - begun, whole))
+            part[at] += sign * (whole - np.mod(_swept(ax[at] + t * (bx - ax)[at], ay[at] + t * (by - ay)[at], r, shape) - begun, whole))
         none = np.zeros(len(place))
         return [none, none, none, part, ((share > 0) | (in_a != in_b)).astype(np.int64)]
 
@@ -456,14 +473,22 @@ def holder(unit: str, names: list[str], radius: float, shape: str):
 
 
 def measurer(unit: str, names: list[str], radius: float, shape: str):
-    """The function for a block: units and lines to one row a unit with its sums of weight x length and its pieces."""
+    """The function for a tile: units and lines to one row a unit with its sums of weight x length and its pieces."""
+    from . import rims
 
     def run(units: pa.Table, lines: pa.Table) -> pa.Table:
         ux, uy = (units.column(c).to_numpy() for c in ("x", "y"))
         found = [np.zeros(len(ux)) for _ in names] + [np.zeros(len(ux), np.int64)]
         if len(ux) and lines.num_rows:
-            ends = [lines.column(c).to_numpy() for c in ("x1", "y1", "x2", "y2")]
-            found = LineGrid(ends, [lines.column(n).to_numpy() for n in names], radius).sums(ux, uy, radius, shape)
+            ends, weights = [lines.column(c).to_numpy() for c in ("x1", "y1", "x2", "y2")], [lines.column(n).to_numpy() for n in names]
+            size = None
+            if shape == "poly32" and len(names) == 1 and np.isfinite(weights[0]).all():
+                wide, high = (max(p.max(), q.max()) - min(p.min(), q.min()) for p, q in (ends[::2], ends[1::2]))
+                size = rims.rim_size(len(ux), lines.num_rows, float(np.hypot(ends[2] - ends[0], ends[3] - ends[1]).sum()), wide, high, radius)
+            if size:
+                found = rims.gon_lengths(ends, weights[0], ux, uy, radius, size)
+            else:
+                found = LineGrid(ends, weights, radius).sums(ux, uy, radius, shape)
         return pa.table([units.column(unit), *[pa.array(s) for s in found]], [unit, *[f"_{n}" for n in range(len(names))], "_rows"])
 
     return run
@@ -680,8 +705,8 @@ def _on_lines(piece: list[np.ndarray], line: list[np.ndarray], ux: np.ndarray, u
     return ends
 
 
-def area_measurer(unit: str, by: list[str], radius: float):
-    """The function for a block: units and polygon edges to one row for a unit and group of polygons that has boundary in its 32-gon."""
+def area_measurer(unit: str, by: list[str], radius: float, shape: str):
+    """The function for a tile: units and polygon edges to one row for a unit and group of polygons that has boundary in its zone."""
 
     def run(units: pa.Table, edges: pa.Table) -> pa.Table:
         ux, uy = (units.column(c).to_numpy() for c in ("x", "y"))
@@ -692,7 +717,7 @@ def area_measurer(unit: str, by: list[str], radius: float):
         groups = edges.select(by).to_pandas().groupby(by, dropna=False, sort=False).ngroup().to_numpy() if len(ux) else np.zeros(0, np.int64)
         order = np.argsort(groups, kind="stable")
         for rows in np.split(order, np.flatnonzero(np.diff(groups[order])) + 1) if len(order) else []:
-            found, pieces = AreaGrid([e[rows] for e in ends], radius).areas(ux, uy, radius)
+            found, pieces = AreaGrid([e[rows] for e in ends], radius).areas(ux, uy, radius, shape)
             met = np.flatnonzero(pieces)
             own.append(met)
             group.append(np.full(len(met), rows[0]))
