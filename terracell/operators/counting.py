@@ -70,12 +70,45 @@ def spans(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray, r: flo
 
 
 def gon_overlaps(dx: np.ndarray, dy: np.ndarray, r: float) -> np.ndarray:
-    """Common area of a 32-gon around the origin and the same around each (dx, dy): by symmetry twice that of one's sides in the other."""
-    area = np.zeros(len(dx))
-    for k in range(SIDES):
-        (ax, ay), (bx, by) = ((r * np.cos(a * STEP), r * np.sin(a * STEP)) for a in (k, k + 1))
-        cross = (ax - dx / 2) * (by - dy / 2) - (bx - dx / 2) * (ay - dy / 2)
-        area += shares(ax - dx, ay - dy, bx - dx, by - dy, r, "poly32") * cross
+    """Common area of a 32-gon around the origin and the same around each (dx, dy).
+
+    By symmetry each has half of the common outline, from one crossing to that opposite, so the area follows from where the outlines
+    cross: the end of a chord along the way between both centres that is as long as the way.
+    """
+    d, area = np.hypot(dx, dy), np.zeros(len(dx))
+    area[d == 0] = SIDES / 2 * np.sin(STEP) * r * r
+    met = np.flatnonzero((d > 0) & (d < 2 * r))
+    dx, dy, d = dx[met], dy[met], d[met]
+    way = np.mod(np.arctan2(dy, dx), 2 * np.pi)
+    ex, ey = dx / d, dy / d
+    # The chord of a circle lies further out, and tangents to the length of chords, which is concave, only lead inwards: up to the right sides.
+    off = np.sqrt(r * r - d * d / 4)
+    top = np.round((way + np.pi / 2) / STEP).astype(np.int64)
+    x, y = np.zeros(len(d)), np.zeros(len(d))
+    right, left, todo = np.full(len(d), -1), np.full(len(d), -1), np.arange(len(d))
+    nx, ny = np.cos((np.arange(SIDES) + 0.5) * STEP), np.sin((np.arange(SIDES) + 0.5) * STEP)
+    for _ in range(SIDES // 2):
+        turn = np.arcsin(np.clip(off[todo] / r, -1.0, 1.0))
+        i = np.minimum(np.floor((way[todo] + turn) / STEP).astype(np.int64), top[todo] - 1)
+        j = np.maximum(np.floor((way[todo] + np.pi - turn) / STEP).astype(np.int64), top[todo])
+        new = (i != right[todo]) | (j != left[todo])
+        # Opposite sides mean that the longest chords are too short.
+        off[todo[j - i == SIDES // 2]] = -1.0
+        new &= j - i != SIDES // 2
+        todo, i, j = todo[new], i[new], j[new]
+        if not len(todo):
+            break
+        right[todo], left[todo] = i, j
+        a, b, c, e = nx[i % SIDES], ny[i % SIDES], nx[j % SIDES], ny[j % SIDES]
+        over, det = r * APOTHEM + c * dx[todo] + e * dy[todo], a * e - b * c
+        x[todo], y[todo] = (r * APOTHEM * e - b * over) / det, (a * over - c * r * APOTHEM) / det
+        off[todo] = ex[todo] * y[todo] - ey[todo] * x[todo]
+    # Below the middle there is no chord that long.
+    some = np.flatnonzero(off >= 0)
+    x, y, dx, dy = x[some], y[some], dx[some], dy[some]
+    whole = SIDES * np.sin(STEP) * r * r / 2
+    swept = np.mod(_swept(x, y, r) - _swept(dx - x, dy - y, r), whole)
+    area[met[some]] = np.maximum(0.0, 2 * swept - (dx * y - dy * x))
     return area
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from terracell import grid
 from terracell.operators import counting, rims
-from terracell.operators.buffers import buffer_areas, buffer_holds, buffer_lines, buffer_points
+from terracell.operators.buffers import buffer_areas, buffer_holds, buffer_lines, buffer_overlaps, buffer_points
 
 
 def layer(lines: int, units: int, seed: int = 2) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -83,3 +83,31 @@ def test_tiles_parted_and_sliced_match_brute_force(spark, held, few, monkeypatch
     assert [got.get(str(i), 0.0) for i in range(80)] == pytest.approx(list(want), abs=1e-6)
     # Without any feature there are no tiles.
     assert buffer_lines(units, lines.filter("w > 99"), 150, {"w": F.col("w")}).count() == 0
+
+
+def test_common_areas_are_measured_once(spark):
+    """Pairs were found in two branches, and measured for a filter and for the result."""
+    units = spark.range(40).selectExpr("cast(id as string) AS tot_reg_cd", "id * 37e0 % 199 AS x", "id * 53e0 % 197 AS y")
+    plan = buffer_overlaps(units, 60)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("MapInArrow") == 1
+
+
+def test_common_areas_clip_no_sides(monkeypatch):
+    """Every pair of 32-gons clipped 32 sides; now their area follows from where their outlines cross."""
+    rng = np.random.default_rng(6)
+    dx, dy = rng.uniform(-620, 620, (2, 4000))
+    turns = np.arange(64) * np.pi / 32 + 1e-5
+    # Along and beside corners and sides, from next to nothing to next to no overlap, and at one spot.
+    for d in (0.01, 1.0, 58.0, 300.0, 590.0, 597.0, 599.0, 599.9999):
+        dx, dy = np.concatenate((dx, d * np.cos(turns))), np.concatenate((dy, d * np.sin(turns)))
+    dx, dy = np.append(dx, 0.0), np.append(dy, 0.0)
+    want, r = np.zeros(len(dx)), 300.0
+    for k in range(32):
+        (ax, ay), (bx, by) = ((r * np.cos(a * np.pi / 16), r * np.sin(a * np.pi / 16)) for a in (k, k + 1))
+        cross = (ax - dx / 2) * (by - dy / 2) - (bx - dx / 2) * (ay - dy / 2)
+        want += counting.shares(ax - dx, ay - dy, bx - dx, by - dy, r, "poly32") * cross
+    want[-1] = 16 * np.sin(np.pi / 16) * r * r
+    monkeypatch.setattr(counting, "shares", None)
+    monkeypatch.setattr(counting, "spans", None)
+    assert counting.gon_overlaps(dx, dy, r) == pytest.approx(want, abs=1e-4)
+    assert np.abs(counting.gon_overlaps(dx, dy, r) - want)[:4000].max() < 1e-7
